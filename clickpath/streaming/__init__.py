@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The analysed job is a single batch run over parquet tables; it has no
+watermark, streaming window, stateful or late-data operator, so there is
+nothing to express with Structured Streaming here. Every operator in
+``clickpath.operators`` is a plain DataFrame transformation and can be
+applied to each micro-batch through ``writeStream.foreachBatch`` if a caller
+needs that.
+"""
