@@ -4,10 +4,12 @@ from clickpath.functions.dates import (
     after,
     before,
     date_hour,
+    epoch_micros,
     format_date,
     format_date_key,
     format_time,
     format_time_minute,
+    hour_text,
     minus,
     parse_date_key,
     parse_time,
@@ -31,11 +33,13 @@ __all__ = [
     "after",
     "before",
     "date_hour",
+    "epoch_micros",
     "format_date",
     "format_date_key",
     "format_double",
     "format_time",
     "format_time_minute",
+    "hour_text",
     "id_list",
     "int_div",
     "is_empty",

@@ -8,10 +8,12 @@ does not exist, gives null instead of rolling over.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clickpath.schemas import DATE_FORMAT, DATE_KEY_FORMAT, TIME_FORMAT, TIME_MINUTE_FORMAT
+from clickpath.schemas import DATE_KEY_FORMAT, TIME_FORMAT
 
 ColumnOrName = Column | str
 
@@ -47,25 +49,50 @@ def parse_date_key(c: ColumnOrName) -> Column:
     return parse_ntz(c, DATE_KEY_FORMAT).cast("date")
 
 
+def _text(c: ColumnOrName) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` text of a timestamp.
+
+    Casting a ``timestamp_ntz`` to text involves no zone (``date_format``
+    would pass through a zone-aware timestamp); the first 19 characters drop
+    any fraction of a second.
+    """
+    return F.substring(_col(c).cast("string"), 1, 19)
+
+
 def format_time(c: ColumnOrName) -> Column:
-    return F.date_format(_col(c), TIME_FORMAT)
+    """``yyyy-MM-dd HH:mm:ss``."""
+    return _text(c)
 
 
 def format_date(c: ColumnOrName) -> Column:
-    return F.date_format(_col(c), DATE_FORMAT)
+    """``yyyy-MM-dd``."""
+    return F.substring(_text(c), 1, 10)
+
+
+def hour_text(c: ColumnOrName) -> Column:
+    """``HH`` (two digits)."""
+    return F.substring(_text(c), 12, 2)
 
 
 def format_date_key(c: ColumnOrName) -> Column:
-    return F.date_format(_col(c), DATE_KEY_FORMAT)
+    """``yyyyMMdd``."""
+    return F.regexp_replace(format_date(c), "-", "")
 
 
 def format_time_minute(c: ColumnOrName) -> Column:
-    return F.date_format(_col(c), TIME_MINUTE_FORMAT)
+    """``yyyyMMddHHmm``."""
+    return F.regexp_replace(F.substring(_text(c), 1, 16), "[- :]", "")
 
 
 def date_hour(c: ColumnOrName) -> Column:
     """``yyyy-MM-dd_HH`` bucket key of a timestamp."""
-    return F.date_format(_col(c), "yyyy-MM-dd_HH")
+    return F.concat(format_date(c), F.lit("_"), hour_text(c))
+
+
+def epoch_micros(c: ColumnOrName) -> Column:
+    """Microseconds since 1970-01-01 00:00:00 of a ``timestamp_ntz`` (wall clock)."""
+    epoch = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, _col(c))
 
 
 def before(t1: ColumnOrName, t2: ColumnOrName) -> Column:

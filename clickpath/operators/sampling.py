@@ -8,15 +8,25 @@ kept: a uniform draw without replacement that is the same on every run and
 under any partitioning.
 
 Plan shape: the per-hour counts are a small table (at most 24 rows per
-calendar day), so the quota arithmetic runs on it and its join back to the
-sessions is turned into a broadcast by AQE after measuring it. The rank is a
-``row_number`` window partitioned by (date, hour) whose filter also carries
-the literal bound ``rank <= total`` (implied by ``rank <= quota``), which lets
-Spark insert a partial ``WindowGroupLimit`` before the shuffle: every map
-task forwards at most ``total`` sessions per hour, so a hot hour cannot
-overload one task. Detail rows of the sample join a side of at most
-``total`` rows, a proven bound, so it is broadcast and the action log is
-never shuffled.
+calendar day, a bound set by the date span, not by the data volume), so the
+quota arithmetic runs on it and it is broadcast into the join with the
+sessions.
+
+The draw is a ``row_number`` window partitioned by (date, hour). A hot hour
+(say a third of all sessions) must not land whole in one task:
+
+* ``total`` up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by
+  default): the filter carries the literal bound ``rank <= total`` (implied by
+  ``rank <= quota``), so Spark inserts a partial ``WindowGroupLimit`` before the
+  shuffle and every map task forwards at most ``total`` sessions per hour.
+* larger ``total``: a salted two-phase top-k. Phase 1 ranks inside
+  (date, hour, salt) groups, ``salt = xxhash64(session_id) mod salt_buckets``,
+  and keeps each group's first ``quota``; phase 2 ranks the survivors per
+  (date, hour). The hour's global first ``quota`` are among the survivors, so
+  the result is exact, and a hot hour is spread over ``salt_buckets`` tasks.
+
+Detail rows of the sample join a side of at most ``total`` rows, a proven
+bound, so it is broadcast and the action log is never shuffled.
 """
 
 from __future__ import annotations
@@ -24,19 +34,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickpath.functions.dates import format_date, hour_text
 from clickpath.functions.numbers import int_div
 
 DEFAULT_TOTAL = 100
 DEFAULT_SEED = "0"
+DEFAULT_SALT_BUCKETS = 64
 # Samples up to this many rows are broadcast to the detail join.
 BROADCAST_SAMPLE_ROWS = 1_000_000
 
 
 def with_hour_key(sessions: DataFrame) -> DataFrame:
     """Adds ``date`` (yyyy-MM-dd) and ``hour`` (HH) of the session start."""
-    return sessions.withColumn("date", F.date_format("start_time", "yyyy-MM-dd")).withColumn(
-        "hour", F.date_format("start_time", "HH")
-    )
+    return sessions.withColumn("date", format_date("start_time")).withColumn("hour", hour_text("start_time"))
 
 
 def hour_counts(sessions: DataFrame) -> DataFrame:
@@ -70,18 +80,47 @@ def hour_quotas(counts: DataFrame, total: int = DEFAULT_TOTAL) -> DataFrame:
     )
 
 
-def sample_sessions(sessions: DataFrame, total: int = DEFAULT_TOTAL, seed: str = DEFAULT_SEED) -> DataFrame:
+def _group_limit_threshold(df: DataFrame) -> int:
+    try:
+        return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    except Exception:  # noqa: BLE001 - conf not readable (e.g. restricted session)
+        return 1000
+
+
+def sample_sessions(
+    sessions: DataFrame,
+    total: int = DEFAULT_TOTAL,
+    seed: str = DEFAULT_SEED,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+) -> DataFrame:
     """The sampled session rows (all input columns plus date, hour, draw rank)."""
     keyed = with_hour_key(sessions)
     quotas = hour_quotas(hour_counts(sessions), total).where(F.col("hour_quota") > 0)
-    draw = F.md5(F.concat(F.col("session_id"), F.lit(":"), F.lit(str(seed))))
-    w = Window.partitionBy("date", "hour").orderBy(draw, F.col("session_id"))
+    # the quota table has at most 24 rows per calendar day: broadcast, so the
+    # sessions are not shuffled by (date, hour) for the join
+    small = F.broadcast(quotas.select("date", "hour", "hour_quota"))
+    cand = keyed.join(small, ["date", "hour"], "inner").withColumn(
+        "_draw", F.md5(F.concat(F.col("session_id"), F.lit(":"), F.lit(str(seed))))
+    )
+    order = (F.col("_draw"), F.col("session_id"))
+    if total > _group_limit_threshold(sessions):
+        salted = Window.partitionBy("date", "hour", "_salt").orderBy(*order)
+        parts = int(sessions.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        cand = (
+            cand.withColumn("_salt", F.pmod(F.xxhash64("session_id"), F.lit(salt_buckets)))
+            # explicit exchange on all three keys: a (date, hour) partitioning
+            # would satisfy the window too and keep a hot hour in one task
+            .repartition(parts, "date", "hour", "_salt")
+            .withColumn("_r1", F.row_number().over(salted))
+            .where(F.col("_r1") <= F.col("hour_quota"))
+            .drop("_salt", "_r1")
+        )
+    w = Window.partitionBy("date", "hour").orderBy(*order)
     ranked = (
-        keyed.join(quotas.select("date", "hour", "hour_quota"), ["date", "hour"], "inner")
-        .withColumn("draw_rank", F.row_number().over(w))
+        cand.withColumn("draw_rank", F.row_number().over(w))
         .where((F.col("draw_rank") <= F.col("hour_quota")) & (F.col("draw_rank") <= F.lit(total)))
     )
-    return ranked.drop("hour_quota")
+    return ranked.drop("hour_quota", "_draw")
 
 
 def sample_details(sample: DataFrame, actions: DataFrame, total: int = DEFAULT_TOTAL) -> DataFrame:

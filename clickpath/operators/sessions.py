@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.functions.dates import format_time, seconds_between
+from clickpath.functions.dates import epoch_micros, format_time, seconds_between
 from clickpath.schemas import DETAIL_COLUMNS
 
 SESSION_COLUMNS = [
@@ -30,6 +30,24 @@ SESSION_COLUMNS = [
 USER_ATTRIBUTES = ["age", "professional", "city", "sex"]
 
 
+_DEC = "decimal(38,0)"
+
+
+def _first_user(t: Column, user: Column) -> Column:
+    """User id of the earliest action; ties go to the smallest id.
+
+    (time, user) is packed into one decimal(38,0) key,
+    ``micros_since_epoch * 2^64 + (user + 2^63)``, whose minimum orders by time
+    and then by id. A fixed-width minimum keeps the session aggregate a plain
+    ``HashAggregate`` (a struct minimum would force a sort-based aggregate).
+    Actions without time or user are not considered.
+    """
+    span = F.lit(str(2**64)).cast(_DEC)
+    offset = F.lit(str(2**63)).cast(_DEC)
+    key = F.when(t.isNotNull() & user.isNotNull(), epoch_micros(t).cast(_DEC) * span + (user.cast(_DEC) + offset))
+    return (F.pmod(F.min(key), span) - offset).cast("long")
+
+
 def aggregate_sessions(actions: DataFrame) -> DataFrame:
     """One row per session.
 
@@ -42,11 +60,10 @@ def aggregate_sessions(actions: DataFrame) -> DataFrame:
     """
     t = F.col("action_time")
     kw = F.col("search_keyword")
-    first_user = F.min(F.when(t.isNotNull(), F.struct(t.alias("t"), F.col("user_id").alias("u"))))
     return (
         actions.groupBy("session_id")
         .agg(
-            first_user.getField("u").alias("user_id"),
+            _first_user(t, F.col("user_id")).alias("user_id"),
             F.min(t).alias("start_time"),
             F.max(t).alias("end_time"),
             F.count(F.lit(1)).alias("step_length"),

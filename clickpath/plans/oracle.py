@@ -54,7 +54,8 @@ USERS_CTE = """users AS (
 def _sessions_cte(name: str = "sessions", source: str = "actions") -> str:
     return f"""{name} AS (
   SELECT session_id,
-    (min({{'t': action_time, 'u': user_id}}) FILTER (WHERE action_time IS NOT NULL)).u AS user_id,
+    (min({{'t': action_time, 'u': user_id}}) FILTER (WHERE action_time IS NOT NULL AND user_id IS NOT NULL)).u
+      AS user_id,
     min(action_time) AS start_time,
     max(action_time) AS end_time,
     date_diff('second', min(action_time), max(action_time)) AS visit_length,

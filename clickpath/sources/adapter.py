@@ -53,7 +53,7 @@ def actions_from_events(
     eid = F.col("event_id")
     k = F.get_json_object("props", "$.k").try_cast("bigint")
     product = (eid % PRODUCT_MODULUS).cast("string")
-    date = F.date_format("ts", "yyyy-MM-dd")
+    date = F.to_date("ts").cast("string")  # no zone involved for timestamp_ntz
     return ev.select(
         date.alias("date"),
         F.col("user_id").cast("long").alias("user_id"),
