@@ -48,10 +48,12 @@ def actions_from_events(
         ev = ev.where(F.col("ts") >= _ts_bound(start_date))
     if end_date is not None:
         ev = ev.where(F.col("ts") < _ts_bound(end_date, plus_days=1))
+    # parse the JSON once per row; `k` feeds several conditional columns below
+    ev = ev.select("event_id", "ts", "user_id", "event_type", F.json_tuple("props", "k").alias("k_text"))
 
     kind = F.col("event_type")
     eid = F.col("event_id")
-    k = F.get_json_object("props", "$.k").try_cast("bigint")
+    k = F.col("k_text").try_cast("bigint")
     product = (eid % PRODUCT_MODULUS).cast("string")
     date = F.to_date("ts").cast("string")  # no zone involved for timestamp_ntz
     return ev.select(
