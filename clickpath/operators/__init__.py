@@ -25,9 +25,11 @@ from clickpath.operators.sessions import (
     attach_users,
     dedupe_users,
     detail_record,
+    expand_copies,
     full_sessions,
     render_sessions,
     session_details,
+    weighted_details,
 )
 from clickpath.operators.stats import aggr_stat, length_histogram, step_bucket, visit_bucket
 
@@ -47,6 +49,7 @@ __all__ = [
     "click_counts",
     "dedupe_users",
     "detail_record",
+    "expand_copies",
     "full_sessions",
     "hour_counts",
     "hour_quotas",
@@ -64,4 +67,5 @@ __all__ = [
     "top_session_details",
     "top_sessions",
     "visit_bucket",
+    "weighted_details",
 ]

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickpath.operators.sessions import weight
+
 # Ranked-session sides up to this many rows are broadcast to the detail join;
 # larger ones are left to AQE, which measures them first.
 BROADCAST_ROWS = 1_000_000
@@ -25,7 +27,7 @@ def category_session_clicks(details: DataFrame) -> DataFrame:
     return (
         details.where(F.col("click_category_id").isNotNull())
         .groupBy(F.col("click_category_id").alias("category_id"), "session_id")
-        .agg(F.count(F.lit(1)).alias("click_count"))
+        .agg(F.sum(weight(details)).alias("click_count"))
     )
 
 
@@ -51,6 +53,7 @@ def top_session_details(ranked: DataFrame, details: DataFrame, n: int = 10, k: i
     """Detail rows of every ranked session, tagged with its category.
 
     A session ranked in several categories yields its rows once per category.
+    Weighted details keep their ``copies`` column (``detail_record`` expands it).
     """
     side = ranked.select("category_id", "session_id")
     if k * n <= BROADCAST_ROWS:

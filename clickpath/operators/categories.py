@@ -1,5 +1,8 @@
 """Hot categories: clicks, orders and payments per category, and the top k.
 
+Detail tables may carry a ``copies`` weight (see
+``sessions.weighted_details``); every count is then a sum of weights.
+
 One pass: every action is exploded into its (category, kind) items and a
 single hash aggregate keyed by category counts the three kinds with a
 map-side partial step, so only one row per category per task is shuffled,
@@ -14,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickpath.functions.strings import id_list
+from clickpath.operators.sessions import weight
 
 ITEM_TYPE = "array<struct<category_id:bigint,kind:string>>"
 CLICK, ORDER, PAY = "click", "order", "pay"
@@ -32,8 +36,9 @@ def category_actions(details: DataFrame) -> DataFrame:
         _items(id_list("order_category_ids"), ORDER),
         _items(id_list("pay_category_ids"), PAY),
     )
-    return details.select("session_id", F.explode(items).alias("item")).select(
-        "session_id", F.col("item.category_id").alias("category_id"), F.col("item.kind").alias("kind")
+    w = weight(details).alias("copies")
+    return details.select("session_id", w, F.explode(items).alias("item")).select(
+        "session_id", "copies", F.col("item.category_id").alias("category_id"), F.col("item.kind").alias("kind")
     )
 
 
@@ -46,16 +51,16 @@ def click_counts(details: DataFrame) -> DataFrame:
     return (
         details.where(F.col("click_category_id").isNotNull())
         .groupBy(F.col("click_category_id").alias("category_id"))
-        .agg(F.count(F.lit(1)).alias("click_count"))
+        .agg(F.sum(weight(details)).alias("click_count"))
     )
 
 
 def _list_counts(details: DataFrame, column: str, out: str) -> DataFrame:
     return (
         details.where(F.col(column).isNotNull())
-        .select(F.explode(id_list(column)).alias("category_id"))
+        .select(weight(details).alias("copies"), F.explode(id_list(column)).alias("category_id"))
         .groupBy("category_id")
-        .agg(F.count(F.lit(1)).alias(out))
+        .agg(F.sum("copies").alias(out))
     )
 
 
@@ -69,14 +74,14 @@ def pay_counts(details: DataFrame) -> DataFrame:
 
 def category_counts(details: DataFrame) -> DataFrame:
     """``(category_id, click_count, order_count, pay_count)`` in one aggregation."""
-    kind = F.col("kind")
+    kind, w, zero = F.col("kind"), F.col("copies"), F.lit(0).cast("long")
     return (
         category_actions(details)
         .groupBy("category_id")
         .agg(
-            F.count_if(kind == CLICK).alias("click_count"),
-            F.count_if(kind == ORDER).alias("order_count"),
-            F.count_if(kind == PAY).alias("pay_count"),
+            F.sum(F.when(kind == CLICK, w).otherwise(zero)).alias("click_count"),
+            F.sum(F.when(kind == ORDER, w).otherwise(zero)).alias("order_count"),
+            F.sum(F.when(kind == PAY, w).otherwise(zero)).alias("pay_count"),
         )
     )
 

@@ -122,8 +122,37 @@ def session_details(sessions: DataFrame, actions: DataFrame) -> DataFrame:
     return actions.join(sessions.select("session_id"), "session_id", "inner")
 
 
+def weighted_details(sessions: DataFrame, actions: DataFrame) -> DataFrame:
+    """The actions of the given sessions, each once, with ``copies`` = how often
+    its session is listed.
+
+    Same information as :func:`session_details` without materialising the
+    fan-out (a user id repeated in the user table lists a session several
+    times): counts over the result use ``sum(copies)``, and detail outputs
+    expand rows with :func:`expand_copies`. The per-session count is an
+    aggregate already partitioned by ``session_id``, so the join with the
+    actions adds no shuffle on that side.
+    """
+    copies = sessions.groupBy("session_id").agg(F.count(F.lit(1)).alias("copies"))
+    return actions.join(copies, "session_id", "inner")
+
+
+def weight(df: DataFrame) -> Column:
+    """Row weight: ``copies`` of a weighted detail table, else 1."""
+    return F.col("copies") if "copies" in df.columns else F.lit(1).cast("long")
+
+
+def expand_copies(df: DataFrame) -> DataFrame:
+    """Repeat every row ``copies`` times and drop the column (no-op without it)."""
+    if "copies" not in df.columns:
+        return df
+    rep = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy")
+    return df.select("*", rep).drop("_copy", "copies")
+
+
 def detail_record(details: DataFrame, *keep: str) -> DataFrame:
-    """Per-action output record with the action time as text."""
+    """Per-action output record with the action time as text (weighted rows are expanded)."""
+    details = expand_copies(details)
     cols: list[Column | str] = [F.col(c) for c in keep]
     for c in DETAIL_COLUMNS:
         cols.append(format_time(c).alias(c) if c == "action_time" else F.col(c))

@@ -24,7 +24,7 @@ from clickpath.operators.active import top_session_details, top_sessions
 from clickpath.operators.categories import top_categories
 from clickpath.operators.filters import DEFAULT_FILTER, SessionFilter, apply_filter
 from clickpath.operators.sampling import DEFAULT_SEED, DEFAULT_TOTAL, sample_details, sample_sessions
-from clickpath.operators.sessions import detail_record, full_sessions, render_sessions, session_details
+from clickpath.operators.sessions import detail_record, full_sessions, render_sessions, weighted_details
 from clickpath.operators.stats import aggr_stat
 from clickpath.session import checkpoint_dir
 from clickpath.sources.sinks import write_parquet
@@ -108,7 +108,8 @@ def run_analyses(
     emit("session_aggr_stat", stat_all)
     emit("session_aggr_stat_filtered", stat_filtered)
 
-    details = _materialize(spark, session_details(filtered, actions), f"{scratch}/details")
+    # one row per action of a passing session, weighted by how often the session is listed
+    details = _materialize(spark, weighted_details(filtered, actions), f"{scratch}/details")
     hot = _materialize(spark, category_analysis(details, params.top_k), f"{scratch}/top_categories")
     emit("top_categories", hot)
 

@@ -60,6 +60,7 @@ from clickpath.operators import (
     top_categories,
     top_session_details,
     top_sessions,
+    weighted_details,
 )
 from clickpath.schemas import ACTION_COLUMNS
 from clickpath.sources.adapter import load_actions, load_products, load_users
@@ -115,7 +116,8 @@ def _full(spark, d):
 
 
 def _details(spark, d):
-    return session_details(apply_filter(_full(spark, d), DEFAULT_FILTER), _actions(spark, d))
+    """Actions of the sessions passing the default filter, weighted by ``copies``."""
+    return weighted_details(apply_filter(_full(spark, d), DEFAULT_FILTER), _actions(spark, d))
 
 
 def _render_actions(df: DataFrame) -> DataFrame:
@@ -214,7 +216,7 @@ def q_sample_details(spark, d):
 
 # --- details, categories, active sessions -------------------------------------------
 def q_session_details(spark, d):
-    return detail_record(_details(spark, d))
+    return detail_record(session_details(apply_filter(_full(spark, d), DEFAULT_FILTER), _actions(spark, d)))
 
 
 def q_category_ids(spark, d):

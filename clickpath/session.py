@@ -57,6 +57,5 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
     local = tempfile.mkdtemp(prefix="clickpath-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -104,3 +104,36 @@ def test_top_group_limit_is_partial_before_shuffle(spark):
     df.count()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_weighted_details_equal_materialised_fan_out(spark):
+    from clickpath.operators import (
+        attach_users,
+        aggregate_sessions,
+        detail_record,
+        session_details,
+        weighted_details,
+    )
+    from tests.conftest import make_users, user
+
+    rows = [
+        action("a", 1, click=1, orders="1,2"),
+        action("a", 1, click=2, pays="3"),
+        action("b", 2, click=1),
+        action("b", 2, click=1),
+        action("c", 3, click=2, orders="2"),
+    ]
+    acts = make_actions(spark, rows)
+    # user 1 listed three times, user 2 twice, user 3 once
+    users = make_users(spark, [user(1, age=20), user(1, age=21), user(1, age=22), user(2), user(2), user(3)])
+    full = attach_users(aggregate_sessions(acts), users)
+    plain, weighted = session_details(full, acts), weighted_details(full, acts)
+    assert plain.count() == 3 * 2 + 2 * 2 + 1 and weighted.count() == 5
+
+    def same(f):
+        return sorted(tuple(r) for r in f(plain).collect()) == sorted(tuple(r) for r in f(weighted).collect())
+
+    assert same(category_counts) and same(click_counts) and same(order_counts) and same(pay_counts)
+    assert same(category_session_clicks) and same(lambda d: top_sessions(d, top_categories(d), n=2))
+    assert same(detail_record)
+    assert same(lambda d: detail_record(top_session_details(top_sessions(d, top_categories(d), n=2), d), "category_id"))
