@@ -17,6 +17,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # partial top-n before the shuffle also for sample totals above 1000
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

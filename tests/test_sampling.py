@@ -74,16 +74,19 @@ def test_sample_properties(spark):
 def test_salted_path_equals_single_window(spark):
     s = _full(spark)
     total = 3000
-    salted_df = sample_sessions(s, total, "3", salt_buckets=5).select("session_id", "draw_rank")
-    salted = {tuple(r) for r in salted_df.collect()}
-    assert "_salt" in salted_df._jdf.queryExecution().executedPlan().toString()
-    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    old = spark.conf.get(key)
     try:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "100000")
+        spark.conf.set(key, "1000")  # total above the threshold: salted two-phase draw
+        salted_df = sample_sessions(s, total, "3", salt_buckets=5).select("session_id", "draw_rank")
+        salted = {tuple(r) for r in salted_df.collect()}
+        assert "_salt" in salted_df._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set(key, "100000")  # one window with a partial group limit
         plain_df = sample_sessions(s, total, "3").select("session_id", "draw_rank")
         plain = {tuple(r) for r in plain_df.collect()}
+        assert "_salt" not in plain_df._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
+        spark.conf.set(key, old)
     assert salted == plain and len(plain) > 0
 
 
