@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from clickpath.operators.active import top_session_details, top_sessions
 from clickpath.operators.categories import top_categories
-from clickpath.operators.filters import DEFAULT_FILTER, SessionFilter, apply_filter
+from clickpath.operators.filters import DEFAULT_FILTER, SessionFilter, action_range, apply_filter
 from clickpath.operators.sampling import DEFAULT_SEED, DEFAULT_TOTAL, sample_details, sample_sessions
 from clickpath.operators.sessions import detail_record, full_sessions, render_sessions, weighted_details
 from clickpath.operators.stats import aggr_stat
@@ -40,6 +40,8 @@ class AnalysisParams:
     top_k: int = 10
     top_n: int = 10
     dedupe_users: bool = False
+    start_date: str | None = None  # inclusive action date range, yyyy-MM-dd
+    end_date: str | None = None
 
 
 def session_analysis(sessions: DataFrame, flt: SessionFilter = DEFAULT_FILTER) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -88,6 +90,7 @@ def run_analyses(
     column to every output, as the analysed job tagged its records.
     """
     scratch = f"{checkpoint_dir(spark).rstrip('/')}/clickpath-{uuid.uuid4().hex}"
+    actions = action_range(actions, params.start_date, params.end_date)
     out = out_dir.rstrip("/")
     written: dict[str, str] = {}
 

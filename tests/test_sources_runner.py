@@ -114,3 +114,19 @@ def test_run_analyses_matches_registered_queries(spark, tmp_path):
     want = {r[0] for r in QUERIES["sample_sessions"](spark, SF01).select("session_id").collect()}
     assert sample_ids == want and len(want) > 0
     assert rd(out["session_random_extract_detail"]).count() == QUERIES["sample_details"](spark, SF01).count()
+
+
+def test_cli_runs_batch_job(spark, tmp_path):
+    from clickpath.__main__ import main
+
+    out = str(tmp_path / "cli")
+    written = main(
+        ["--sf-dir", SF01, "--out", out, "--start-date", "2024-01-05", "--end-date", "2024-01-20",
+         "--sex", "female", "--sample-total", "2000", "--seed", "1", "--top-n", "3", "--task-id", "7"]
+    )
+    top = spark.read.parquet(written["top_sessions"])
+    assert top.count() > 0 and top.agg(F.max("rank")).first()[0] <= 3
+    assert {r.task_id for r in top.select("task_id").distinct().collect()} == {7}
+    rows = spark.read.parquet(written["top_session_details"])
+    days = {r[0][:10] for r in rows.select("action_time").distinct().collect()}
+    assert min(days) >= "2024-01-05" and max(days) <= "2024-01-20"
