@@ -8,9 +8,10 @@ kept: a uniform draw without replacement that is the same on every run and
 under any partitioning.
 
 Plan shape: the per-hour counts are a small table (at most 24 rows per
-calendar day, a bound set by the date span, not by the data volume), so the
-quota arithmetic runs on it and it is broadcast into the join with the
-sessions.
+calendar day, a bound set by the date span, not by the data volume); the
+quota arithmetic runs on it (day totals by a date-partitioned window, the
+number of days by a scalar subquery) and it is broadcast into the join with
+the sessions.
 
 The draw is a ``row_number`` window partitioned by (date, hour). A hot hour
 (say a third of all sessions) must not land whole in one task:
@@ -61,20 +62,18 @@ def hour_counts(sessions: DataFrame) -> DataFrame:
 def hour_quotas(counts: DataFrame, total: int = DEFAULT_TOTAL) -> DataFrame:
     """Per (date, hour): sessions, day sessions, days, day quota and hour quota.
 
-    ``counts`` is the small output of :func:`hour_counts`; the two windows
-    over it are bounded by the calendar (24 rows per day), not by the data.
+    ``counts`` is the output of :func:`hour_counts`. The number of days is a
+    scalar subquery (a distributed distinct count whose single value is
+    inlined into the plan), the day totals a window partitioned by date: no
+    step gathers the table into one partition.
     """
-    by_day = Window.partitionBy("date")
-    whole = Window.partitionBy()
-    ranked = counts.withColumn("day_sessions", F.sum("sessions").over(by_day)).withColumn(
-        "day_rank", F.dense_rank().over(Window.orderBy("date"))
-    )
-    days = F.max("day_rank").over(whole).cast("long")
-    with_days = ranked.withColumn("days", days)
+    days = counts.select(F.count_distinct("date")).scalar().cast("long")
     day_quota = int_div(F.lit(total).cast("long"), F.col("days"))
     hour_quota = F.least(F.col("sessions"), int_div(F.col("sessions") * F.col("day_quota"), F.col("day_sessions")))
     return (
-        with_days.withColumn("day_quota", day_quota)
+        counts.withColumn("day_sessions", F.sum("sessions").over(Window.partitionBy("date")))
+        .withColumn("days", days)
+        .withColumn("day_quota", day_quota)
         .withColumn("hour_quota", hour_quota)
         .select("date", "hour", "sessions", "day_sessions", "days", "day_quota", "hour_quota")
     )
