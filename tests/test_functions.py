@@ -84,6 +84,19 @@ def test_parse_is_strict(spark):
     assert [str(k) if k else None for k in keys] == ["2018-02-03", None, None]
 
 
+def test_fast_parse_equals_format_parse(spark):
+    from clickpath.functions.dates import parse_ntz
+
+    vals = [
+        "2018-02-03 10:11:12", "2018-02-30 00:00:00", "2018-02-03 24:00:00", "2018-02-03 23:60:00",
+        "2018-13-03 10:11:12", "2018-02-03", "2018-02-03T10:11:12", " 2018-02-03 10:11:12", "2018-02-29 00:00:00",
+        "2016-02-29 00:00:00", "9999-12-31 23:59:59", "2018-2-3 10:11:12", "", None, "2018-02-03 10:11:12.5",
+    ]
+    df = _one_col(spark, vals)
+    rows = df.select(parse_time("s"), parse_ntz("s", "yyyy-MM-dd HH:mm:ss")).collect()
+    assert all(r[0] == r[1] for r in rows)
+
+
 def test_before_after_minus(spark):
     df = spark.createDataFrame(
         [("2018-02-03 10:00:00", "2018-02-03 10:01:05"), ("2018-02-03 10:00:00", "bad"), ("x", "y")], "a string, b string"
