@@ -44,7 +44,10 @@ def _java_split(c: Column, delimiter: str) -> Column:
     keeps them; stripping trailing delimiters first gives Java's result.
     """
     quoted = re.escape(delimiter)
-    return F.split(F.regexp_replace(c, f"(?:{quoted})+$", ""), quoted)
+    stripped = F.regexp_replace(c, f"(?:{quoted})+$", "")
+    # text made of delimiters only splits into no parts at all; "" into one
+    only_delims = (F.length(c) > 0) & (stripped == F.lit(""))
+    return F.when(only_delims, F.array().cast("array<string>")).otherwise(F.split(stripped, quoted))
 
 
 def kv_get(c: ColumnOrName, field: str, delimiter: str = "|") -> Column:

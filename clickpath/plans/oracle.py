@@ -269,15 +269,20 @@ def _record_cte() -> str:
     return f", rec AS (SELECT session_id, visit_length, concat_ws('|', {', '.join(parts)}) AS record FROM session_full)"
 
 
+def _java_split(rec: str) -> str:
+    stripped = f"regexp_replace({rec}, '(?:\\|)+$', '')"
+    return f"(CASE WHEN length({rec}) > 0 AND {stripped} = '' THEN []::VARCHAR[] ELSE string_split({stripped}, '|') END)"
+
+
 def _kv_get(rec: str, field: str) -> str:
-    frags = f"string_split(regexp_replace({rec}, '(?:\\|)+$', ''), '|')"
+    frags = _java_split(rec)
     pairs = f"list_transform({frags}, lambda f: string_split(regexp_replace(f, '=+$', ''), '='))"
     hits = f"list_filter({pairs}, lambda p: len(p) = 2 AND p[1] = '{field}')"
     return f"{hits}[1][2]"
 
 
 def _kv_set(rec: str, field: str, value: str) -> str:
-    frags = f"string_split(regexp_replace({rec}, '(?:\\|)+$', ''), '|')"
+    frags = _java_split(rec)
     pos = f"list_position(list_transform({frags}, lambda f: split_part(f, '=', 1)), '{field}')"
     return (
         f"array_to_string(list_transform({frags}, lambda f, i: CASE WHEN i = {pos} "

@@ -130,3 +130,15 @@ def test_cli_runs_batch_job(spark, tmp_path):
     rows = spark.read.parquet(written["top_session_details"])
     days = {r[0][:10] for r in rows.select("action_time").distinct().collect()}
     assert min(days) >= "2024-01-05" and max(days) <= "2024-01-20"
+
+
+def test_run_analyses_on_empty_tables(spark, tmp_path):
+    acts = spark.createDataFrame([], ACTION_SCHEMA)
+    users = spark.createDataFrame([], USER_SCHEMA)
+    out = run_analyses(spark, acts, users, str(tmp_path / "out"))
+    rd = spark.read.parquet
+    stat = rd(out["session_aggr_stat"]).collect()
+    assert len(stat) == 1 and stat[0].session_count == 0
+    assert all(v is None for k, v in stat[0].asDict().items() if k.endswith("_ratio"))
+    for name in ("session_random_extract", "session_random_extract_detail", "top_categories", "top_sessions", "top_session_details"):
+        assert rd(out[name]).count() == 0, name
