@@ -32,6 +32,7 @@ from clickpath.operators.sessions import (
     weighted_details,
 )
 from clickpath.operators.stats import aggr_stat, length_histogram, step_bucket, visit_bucket
+from clickpath.operators.topn import ranked_top
 
 __all__ = [
     "DEFAULT_FILTER",
@@ -58,6 +59,7 @@ __all__ = [
     "order_counts",
     "pay_counts",
     "rank_categories",
+    "ranked_top",
     "render_sessions",
     "sample_details",
     "sample_sessions",

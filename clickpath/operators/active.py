@@ -3,19 +3,21 @@
 Plan shape: the hot categories are a top-k result, at most ``k`` rows, so
 they are broadcast into a left-semi join that drops every other click
 before anything is shuffled. Clicks per (category, session) are a hash
-aggregate with a map-side partial step. The per-category ranking is a
-``row_number`` window with the literal bound ``rank <= n``; Spark then adds a
-partial ``WindowGroupLimit`` before the shuffle, so each task forwards at
-most ``n`` sessions per category and a hot category stays cheap. The detail
+aggregate with a map-side partial step. The per-category ranking is
+``topn.ranked_top``: a partial ``WindowGroupLimit`` before the shuffle (each
+task forwards at most ``n`` sessions per category), or a salted two-phase
+rank when ``n`` exceeds Spark's group-limit threshold, so a hot category
+never lands whole in one task. The detail
 join takes the ranked sessions (at most ``k * n`` rows) as its broadcast side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpath.operators.sessions import weight
+from clickpath.operators.topn import DEFAULT_SALT_BUCKETS, ranked_top
 
 # Ranked-session sides up to this many rows are broadcast to the detail join;
 # larger ones are left to AQE, which measures them first.
@@ -31,7 +33,9 @@ def category_session_clicks(details: DataFrame) -> DataFrame:
     )
 
 
-def top_sessions(details: DataFrame, hot: DataFrame, n: int = 10, k: int = 10) -> DataFrame:
+def top_sessions(
+    details: DataFrame, hot: DataFrame, n: int = 10, k: int = 10, salt_buckets: int = DEFAULT_SALT_BUCKETS
+) -> DataFrame:
     """Per hot category the ``n`` sessions with most clicks (ties: smaller session id).
 
     ``hot`` holds ``category_id`` and at most ``k`` rows (a top-k result).
@@ -41,12 +45,16 @@ def top_sessions(details: DataFrame, hot: DataFrame, n: int = 10, k: int = 10) -
         hot_ids = F.broadcast(hot_ids)
     hot_clicks = details.join(hot_ids, details["click_category_id"] == hot_ids["category_id"], "left_semi")
     counts = category_session_clicks(hot_clicks)
-    w = Window.partitionBy("category_id").orderBy(F.col("click_count").desc(), F.col("session_id").asc())
-    return (
-        counts.withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= F.lit(n))
-        .select("category_id", "session_id", "click_count", "rank")
+    ranked = ranked_top(
+        counts,
+        by=["category_id"],
+        order=[F.col("click_count").desc(), F.col("session_id").asc()],
+        max_rank=n,
+        rank_col="rank",
+        salt_key="session_id",
+        salt_buckets=salt_buckets,
     )
+    return ranked.select("category_id", "session_id", "click_count", "rank")
 
 
 def top_session_details(ranked: DataFrame, details: DataFrame, n: int = 10, k: int = 10) -> DataFrame:

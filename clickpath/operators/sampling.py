@@ -13,18 +13,11 @@ quota arithmetic runs on it (day totals by a date-partitioned window, the
 number of days by a scalar subquery) and it is broadcast into the join with
 the sessions.
 
-The draw is a ``row_number`` window partitioned by (date, hour). A hot hour
-(say a third of all sessions) must not land whole in one task:
-
-* ``total`` up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by
-  default): the filter carries the literal bound ``rank <= total`` (implied by
-  ``rank <= quota``), so Spark inserts a partial ``WindowGroupLimit`` before the
-  shuffle and every map task forwards at most ``total`` sessions per hour.
-* larger ``total``: a salted two-phase top-k. Phase 1 ranks inside
-  (date, hour, salt) groups, ``salt = xxhash64(session_id) mod salt_buckets``,
-  and keeps each group's first ``quota``; phase 2 ranks the survivors per
-  (date, hour). The hour's global first ``quota`` are among the survivors, so
-  the result is exact, and a hot hour is spread over ``salt_buckets`` tasks.
+The draw is a ``row_number`` per (date, hour) bounded by ``total`` (every hour
+quota is at most the day quota, at most ``total``), run by
+``topn.ranked_top``: a partial ``WindowGroupLimit`` before the shuffle, or a
+salted two-phase rank for totals above Spark's group-limit threshold, so a
+hot hour (say a third of all sessions) never lands whole in one task.
 
 Detail rows of the sample join a side of at most ``total`` rows, a proven
 bound, so it is broadcast and the action log is never shuffled.
@@ -37,10 +30,10 @@ from pyspark.sql import functions as F
 
 from clickpath.functions.dates import format_date, hour_text
 from clickpath.functions.numbers import int_div
+from clickpath.operators.topn import DEFAULT_SALT_BUCKETS, ranked_top
 
 DEFAULT_TOTAL = 100
 DEFAULT_SEED = "0"
-DEFAULT_SALT_BUCKETS = 64
 # Samples up to this many rows are broadcast to the detail join.
 BROADCAST_SAMPLE_ROWS = 1_000_000
 
@@ -79,13 +72,6 @@ def hour_quotas(counts: DataFrame, total: int = DEFAULT_TOTAL) -> DataFrame:
     )
 
 
-def _group_limit_threshold(df: DataFrame) -> int:
-    try:
-        return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    except Exception:  # noqa: BLE001 - conf not readable (e.g. restricted session)
-        return 1000
-
-
 def sample_sessions(
     sessions: DataFrame,
     total: int = DEFAULT_TOTAL,
@@ -101,23 +87,15 @@ def sample_sessions(
     cand = keyed.join(small, ["date", "hour"], "inner").withColumn(
         "_draw", F.md5(F.concat(F.col("session_id"), F.lit(":"), F.lit(str(seed))))
     )
-    order = (F.col("_draw"), F.col("session_id"))
-    if total > _group_limit_threshold(sessions):
-        salted = Window.partitionBy("date", "hour", "_salt").orderBy(*order)
-        parts = int(sessions.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        cand = (
-            cand.withColumn("_salt", F.pmod(F.xxhash64("session_id"), F.lit(salt_buckets)))
-            # explicit exchange on all three keys: a (date, hour) partitioning
-            # would satisfy the window too and keep a hot hour in one task
-            .repartition(parts, "date", "hour", "_salt")
-            .withColumn("_r1", F.row_number().over(salted))
-            .where(F.col("_r1") <= F.col("hour_quota"))
-            .drop("_salt", "_r1")
-        )
-    w = Window.partitionBy("date", "hour").orderBy(*order)
-    ranked = (
-        cand.withColumn("draw_rank", F.row_number().over(w))
-        .where((F.col("draw_rank") <= F.col("hour_quota")) & (F.col("draw_rank") <= F.lit(total)))
+    ranked = ranked_top(
+        cand,
+        by=["date", "hour"],
+        order=[F.col("_draw"), F.col("session_id")],
+        max_rank=total,  # hour quota <= day quota <= total
+        rank_col="draw_rank",
+        limit=F.col("hour_quota"),
+        salt_key="session_id",
+        salt_buckets=salt_buckets,
     )
     return ranked.drop("hour_quota", "_draw")
 

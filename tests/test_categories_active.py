@@ -137,3 +137,21 @@ def test_weighted_details_equal_materialised_fan_out(spark):
     assert same(category_session_clicks) and same(lambda d: top_sessions(d, top_categories(d), n=2))
     assert same(detail_record)
     assert same(lambda d: detail_record(top_session_details(top_sessions(d, top_categories(d), n=2), d), "category_id"))
+
+
+def test_top_sessions_salted_path_equals_group_limit(spark):
+    from clickpath.plans.catalog import _details as details
+
+    d = details(spark, SF01)
+    hot = top_categories(d, 10)
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "2")  # n above the threshold: salted two-phase rank
+        salted_df = top_sessions(d, hot, n=5, salt_buckets=3)
+        salted = sorted(tuple(r) for r in salted_df.collect())
+        assert "_salt" in salted_df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, old)
+    plain = sorted(tuple(r) for r in top_sessions(d, hot, n=5).collect())
+    assert salted == plain and len(plain) == 50
