@@ -17,11 +17,13 @@ from clickpath.operators.filters import (
     SessionFilter,
     action_range,
     apply_filter,
+    apply_filter_by_actions,
     non_null,
 )
 from clickpath.operators.sampling import hour_counts, hour_quotas, sample_details, sample_sessions
 from clickpath.operators.sessions import (
     aggregate_sessions,
+    attach_lists,
     attach_users,
     dedupe_users,
     detail_record,
@@ -41,6 +43,8 @@ __all__ = [
     "aggr_stat",
     "aggregate_sessions",
     "apply_filter",
+    "apply_filter_by_actions",
+    "attach_lists",
     "attach_users",
     "category_actions",
     "category_counts",

@@ -31,7 +31,8 @@ class SessionFilter:
     keywords: Sequence[str] | None = None
     category_ids: Sequence[int] | None = None
 
-    def predicates(self) -> list[Column]:
+    def predicates(self, lists: bool = True) -> list[Column]:
+        """Column predicates; ``lists=False`` leaves out keywords and categories."""
         preds: list[Column] = []
         if self.start_age is not None and self.end_age is not None:
             preds.append(age_between(self.start_age, self.end_age))
@@ -41,14 +42,14 @@ class SessionFilter:
             preds.append(value_in("city", self.cities))
         if self.sex is not None and self.sex != "":
             preds.append(value_equals("sex", self.sex))
-        if self.keywords:
+        if lists and self.keywords:
             preds.append(list_overlaps("keywords", self.keywords))
-        if self.category_ids:
+        if lists and self.category_ids:
             preds.append(list_overlaps("click_categories", [int(c) for c in self.category_ids]))
         return preds
 
-    def condition(self) -> Column:
-        return reduce(lambda a, b: a & b, self.predicates(), F.lit(True))
+    def condition(self, lists: bool = True) -> Column:
+        return reduce(lambda a, b: a & b, self.predicates(lists), F.lit(True))
 
 
 # The filter the analysed job runs with: age 0 to 100, nothing else.
@@ -76,6 +77,27 @@ def apply_filter(sessions: DataFrame, flt: SessionFilter = DEFAULT_FILTER) -> Da
     return sessions.where(flt.condition())
 
 
+def apply_filter_by_actions(sessions: DataFrame, actions: DataFrame, flt: SessionFilter = DEFAULT_FILTER) -> DataFrame:
+    """:func:`apply_filter` for sessions aggregated without their keyword and
+    category sets: those two conditions become left-semi joins with the
+    sessions that have a matching action.
+
+    The matching session ids are de-duplicated with a partial aggregate in
+    every map task before the shuffle, so a session with a huge number of
+    matching actions ships one id per task.
+    """
+    out = sessions.where(flt.condition(lists=False))
+    if flt.keywords:
+        kw = F.col("search_keyword")
+        hits = actions.where(kw.isin(list(flt.keywords)) & (kw != "")).select("session_id").distinct()
+        out = out.join(hits, "session_id", "left_semi")
+    if flt.category_ids:
+        ids = [int(c) for c in flt.category_ids]
+        hits = actions.where(F.col("click_category_id").isin(ids)).select("session_id").distinct()
+        out = out.join(hits, "session_id", "left_semi")
+    return out
+
+
 def action_range(actions: DataFrame, start_date: str | None = None, end_date: str | None = None) -> DataFrame:
     """Actions whose ``date`` text lies in ``[start_date, end_date]`` (``yyyy-MM-dd``)."""
     cond = F.lit(True)

@@ -28,6 +28,7 @@ SESSION_COLUMNS = [
     "click_categories",
 ]
 USER_ATTRIBUTES = ["age", "professional", "city", "sex"]
+LIST_COLUMNS = ["keywords", "click_categories"]
 
 
 _DEC = "decimal(38,0)"
@@ -48,7 +49,7 @@ def _first_user(t: Column, user: Column) -> Column:
     return (F.pmod(F.min(key), span) - offset).cast("long")
 
 
-def aggregate_sessions(actions: DataFrame) -> DataFrame:
+def aggregate_sessions(actions: DataFrame, with_lists: bool = True) -> DataFrame:
     """One row per session.
 
     ``user_id``       user of the earliest action (ties: smallest id)
@@ -57,24 +58,55 @@ def aggregate_sessions(actions: DataFrame) -> DataFrame:
     ``step_length``   number of actions
     ``keywords``      sorted distinct non-empty search keywords
     ``click_categories`` sorted distinct clicked category ids
+
+    ``with_lists=False`` leaves out the two set columns: the aggregate is then
+    a plain ``HashAggregate`` of fixed-width buffers, whatever the size of a
+    session (see :func:`attach_lists` to add the sets to selected sessions).
     """
     t = F.col("action_time")
-    kw = F.col("search_keyword")
+    aggs = [
+        _first_user(t, F.col("user_id")).alias("user_id"),
+        F.min(t).alias("start_time"),
+        F.max(t).alias("end_time"),
+        F.count(F.lit(1)).alias("step_length"),
+    ]
+    cols = [c for c in SESSION_COLUMNS if with_lists or c not in LIST_COLUMNS]
+    if with_lists:
+        aggs += _list_aggs()
     return (
         actions.groupBy("session_id")
-        .agg(
-            _first_user(t, F.col("user_id")).alias("user_id"),
-            F.min(t).alias("start_time"),
-            F.max(t).alias("end_time"),
-            F.count(F.lit(1)).alias("step_length"),
-            F.array_sort(F.collect_set(F.when(kw != "", kw))).alias("keywords"),
-            F.array_sort(F.collect_set("click_category_id")).alias("click_categories"),
-        )
+        .agg(*aggs)
         .withColumn("visit_length", seconds_between("start_time", "end_time"))
-        .select(*SESSION_COLUMNS)
+        .select(*cols)
     )
 
 
+def _list_aggs() -> list[Column]:
+    kw = F.col("search_keyword")
+    return [
+        F.array_sort(F.collect_set(F.when(kw != "", kw))).alias("keywords"),
+        F.array_sort(F.collect_set("click_category_id")).alias("click_categories"),
+    ]
+
+
+def attach_lists(sessions: DataFrame, actions: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+    """Add ``keywords`` / ``click_categories`` to the given sessions only.
+
+    Used for a few selected sessions (a sample): their actions are picked by a
+    semi join (the session ids are broadcast when ``max_broadcast_rows``
+    bounds them) and aggregated; sessions without actions get empty sets.
+    """
+    ids = sessions.select("session_id").distinct()
+    if max_broadcast_rows is not None:
+        ids = F.broadcast(ids)
+    lists = actions.join(ids, "session_id", "left_semi").groupBy("session_id").agg(*_list_aggs())
+    empty_kw = F.array().cast("array<string>")
+    empty_cat = F.array().cast("array<bigint>")
+    return sessions.join(lists, "session_id", "left").withColumn(
+        "keywords", F.coalesce("keywords", empty_kw)
+    ).withColumn("click_categories", F.coalesce("click_categories", empty_cat))
+
+
 def dedupe_users(users: DataFrame) -> DataFrame:
     """One row per ``user_id`` (the smallest attribute tuple), for data whose ids repeat."""
     others = [c for c in users.columns if c != "user_id"]
@@ -89,14 +121,13 @@ def attach_users(sessions: DataFrame, users: DataFrame, dedupe: bool = False) ->
     session row, as the analysed job does, unless ``dedupe`` is set.
     """
     u = dedupe_users(users) if dedupe else users
-    return sessions.join(u.select("user_id", *USER_ATTRIBUTES), "user_id", "inner").select(
-        *SESSION_COLUMNS, *USER_ATTRIBUTES
-    )
+    cols = [c for c in SESSION_COLUMNS if c in sessions.columns]
+    return sessions.join(u.select("user_id", *USER_ATTRIBUTES), "user_id", "inner").select(*cols, *USER_ATTRIBUTES)
 
 
-def full_sessions(actions: DataFrame, users: DataFrame, dedupe: bool = False) -> DataFrame:
+def full_sessions(actions: DataFrame, users: DataFrame, dedupe: bool = False, with_lists: bool = True) -> DataFrame:
     """Aggregate per session, then enrich with the user's attributes."""
-    return attach_users(aggregate_sessions(actions), users, dedupe)
+    return attach_users(aggregate_sessions(actions, with_lists), users, dedupe)
 
 
 def render_sessions(sessions: DataFrame) -> DataFrame:

@@ -22,9 +22,22 @@ from pyspark.sql import functions as F
 
 from clickpath.operators.active import top_session_details, top_sessions
 from clickpath.operators.categories import top_categories
-from clickpath.operators.filters import DEFAULT_FILTER, SessionFilter, action_range, apply_filter
+from clickpath.operators.filters import (
+    DEFAULT_FILTER,
+    SessionFilter,
+    action_range,
+    apply_filter,
+    apply_filter_by_actions,
+)
 from clickpath.operators.sampling import DEFAULT_SEED, DEFAULT_TOTAL, sample_details, sample_sessions
-from clickpath.operators.sessions import detail_record, full_sessions, render_sessions, weighted_details
+from clickpath.operators.sessions import (
+    LIST_COLUMNS,
+    attach_lists,
+    detail_record,
+    full_sessions,
+    render_sessions,
+    weighted_details,
+)
 from clickpath.operators.stats import aggr_stat
 from clickpath.session import checkpoint_dir
 from clickpath.sources.sinks import write_parquet
@@ -44,18 +57,34 @@ class AnalysisParams:
     end_date: str | None = None
 
 
-def session_analysis(sessions: DataFrame, flt: SessionFilter = DEFAULT_FILTER) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """P1: ``(filtered sessions, statistics of all sessions, statistics of the filtered)``."""
-    filtered = apply_filter(sessions, flt)
+def session_analysis(
+    sessions: DataFrame, flt: SessionFilter = DEFAULT_FILTER, actions: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """P1: ``(filtered sessions, statistics of all sessions, statistics of the filtered)``.
+
+    Sessions without their set columns need ``actions`` for keyword and
+    category conditions.
+    """
+    if "keywords" in sessions.columns or actions is None:
+        filtered = apply_filter(sessions, flt)
+    else:
+        filtered = apply_filter_by_actions(sessions, actions, flt)
     return filtered, aggr_stat(sessions), aggr_stat(filtered)
 
 
 def sample_analysis(
     sessions: DataFrame, actions: DataFrame, total: int = DEFAULT_TOTAL, seed: str = DEFAULT_SEED
 ) -> tuple[DataFrame, DataFrame]:
-    """P2: ``(sampled session records, their action rows)``; samples unfiltered sessions."""
+    """P2: ``(sampled session records, their action rows)``; samples unfiltered sessions.
+
+    Set columns missing from ``sessions`` are built for the sampled sessions
+    only (at most ``total`` of them).
+    """
     sample = sample_sessions(sessions, total, seed)
-    record = render_sessions(sample.select("session_id", "start_time", "keywords", "click_categories"))
+    picked = sample.select("session_id", "start_time", *[c for c in LIST_COLUMNS if c in sample.columns])
+    if "keywords" not in picked.columns:
+        picked = attach_lists(picked, actions, max_broadcast_rows=total)
+    record = render_sessions(picked.select("session_id", "start_time", *LIST_COLUMNS))
     return record, detail_record(sample_details(sample, actions, total))
 
 
@@ -101,13 +130,17 @@ def run_analyses(
         write_parquet(df, path)
         written[name] = path
 
-    sessions = _materialize(spark, full_sessions(actions, users, params.dedupe_users), f"{scratch}/sessions")
+    # sessions without their keyword / category sets: fixed-width aggregate,
+    # filters on sets become semi joins, sets are built for sampled sessions only
+    sessions = _materialize(
+        spark, full_sessions(actions, users, params.dedupe_users, with_lists=False), f"{scratch}/sessions"
+    )
 
     sample, sample_rows = sample_analysis(sessions, actions, params.sample_total, params.sample_seed)
     emit("session_random_extract", sample)
     emit("session_random_extract_detail", sample_rows)
 
-    filtered, stat_all, stat_filtered = session_analysis(sessions, params.session_filter)
+    filtered, stat_all, stat_filtered = session_analysis(sessions, params.session_filter, actions)
     emit("session_aggr_stat", stat_all)
     emit("session_aggr_stat_filtered", stat_filtered)
 

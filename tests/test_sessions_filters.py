@@ -122,3 +122,24 @@ def test_render_keeps_non_ascii(spark):
     acts = make_actions(spark, [action("z", 1, keyword="温泉"), action("z", 1, keyword="日本料理")])
     r = render_sessions(aggregate_sessions(acts)).first()
     assert r.search_keywords.split(",") == sorted(["温泉", "日本料理"])
+
+
+def test_filter_by_actions_equals_set_filter(spark):
+    from clickpath.operators import apply_filter_by_actions, attach_lists, render_sessions
+    from clickpath.plans.catalog import FILTERS, _actions, _full
+    from clickpath.sources.adapter import load_users
+    from tests.conftest import SF01
+
+    acts = _actions(spark, SF01)
+    with_sets = _full(spark, SF01)
+    without = attach_users(aggregate_sessions(acts, with_lists=False), load_users(spark, SF01))
+    assert "keywords" not in without.columns
+    for name, flt in FILTERS.items():
+        a = {r.session_id for r in apply_filter(with_sets, flt).select("session_id").collect()}
+        b = {r.session_id for r in apply_filter_by_actions(without, acts, flt).select("session_id").collect()}
+        assert a == b, name
+    # sets attached afterwards equal the sets aggregated with the session
+    some = without.where("user_id % 7 = 0")
+    got = {r.session_id: (r.search_keywords, r.click_category_ids) for r in render_sessions(attach_lists(some, acts)).collect()}
+    want = {r.session_id: (r.search_keywords, r.click_category_ids) for r in render_sessions(with_sets.where("user_id % 7 = 0")).collect()}
+    assert got == want and len(got) > 0
