@@ -13,7 +13,7 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clickpath.schemas import DATE_KEY_FORMAT, TIME_FORMAT
+from clickpath.schemas import DATE_KEY_FORMAT
 
 ColumnOrName = Column | str
 

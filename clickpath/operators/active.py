@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickpath.operators.filters import non_null
 from clickpath.operators.sessions import weight
 from clickpath.operators.topn import DEFAULT_SALT_BUCKETS, ranked_top
 
@@ -27,7 +28,7 @@ BROADCAST_ROWS = 1_000_000
 def category_session_clicks(details: DataFrame) -> DataFrame:
     """``(category_id, session_id, click_count)`` for every clicked category."""
     return (
-        details.where(F.col("click_category_id").isNotNull())
+        non_null(details, "click_category_id")
         .groupBy(F.col("click_category_id").alias("category_id"), "session_id")
         .agg(F.sum(weight(details)).alias("click_count"))
     )

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickpath.functions.strings import id_list
+from clickpath.operators.filters import non_null
 from clickpath.operators.sessions import weight
 
 ITEM_TYPE = "array<struct<category_id:bigint,kind:string>>"
@@ -49,7 +50,7 @@ def category_ids(details: DataFrame) -> DataFrame:
 
 def click_counts(details: DataFrame) -> DataFrame:
     return (
-        details.where(F.col("click_category_id").isNotNull())
+        non_null(details, "click_category_id")
         .groupBy(F.col("click_category_id").alias("category_id"))
         .agg(F.sum(weight(details)).alias("click_count"))
     )
@@ -57,7 +58,7 @@ def click_counts(details: DataFrame) -> DataFrame:
 
 def _list_counts(details: DataFrame, column: str, out: str) -> DataFrame:
     return (
-        details.where(F.col(column).isNotNull())
+        non_null(details, column)
         .select(weight(details).alias("copies"), F.explode(id_list(column)).alias("category_id"))
         .groupBy("category_id")
         .agg(F.sum("copies").alias(out))

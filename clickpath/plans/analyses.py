@@ -42,9 +42,6 @@ from clickpath.operators.stats import aggr_stat
 from clickpath.session import checkpoint_dir
 from clickpath.sources.sinks import write_parquet
 
-SAMPLE_COLUMNS = ["session_id", "start_time", "search_keywords", "click_category_ids"]
-
-
 @dataclass(frozen=True)
 class AnalysisParams:
     session_filter: SessionFilter = field(default_factory=lambda: DEFAULT_FILTER)
