@@ -44,6 +44,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--sex")
     p.add_argument("--keywords")
     p.add_argument("--category-ids")
+    p.add_argument("--params", help="filter as a task parameter string, e.g. 'startAge=0|endAge=100|sex=male'")
     p.add_argument("--sample-total", type=int, default=100)
     p.add_argument("--seed", default="0")
     p.add_argument("--top-k", type=int, default=10)
@@ -67,8 +68,10 @@ def main(argv=None) -> dict[str, str]:
         users = load_users(spark, a.sf_dir)
     else:
         actions, users = read_actions(spark, a.actions), read_users(spark, a.users)
-    params = AnalysisParams(
-        session_filter=SessionFilter(
+    if a.params is not None:
+        flt = SessionFilter.from_params(a.params)
+    else:
+        flt = SessionFilter(
             start_age=a.start_age,
             end_age=a.end_age,
             professionals=_ints(a.professionals),
@@ -76,7 +79,9 @@ def main(argv=None) -> dict[str, str]:
             sex=a.sex,
             keywords=_strs(a.keywords),
             category_ids=_ints(a.category_ids),
-        ),
+        )
+    params = AnalysisParams(
+        session_filter=flt,
         sample_total=a.sample_total,
         sample_seed=a.seed,
         top_k=a.top_k,

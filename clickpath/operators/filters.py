@@ -51,6 +51,65 @@ class SessionFilter:
     def condition(self, lists: bool = True) -> Column:
         return reduce(lambda a, b: a & b, self.predicates(lists), F.lit(True))
 
+    @classmethod
+    def from_params(cls, text: str | None) -> "SessionFilter":
+        """Read a ``name=value|name=value`` task parameter string.
+
+        A fragment counts when it has exactly one ``=`` with text on both
+        sides (after trailing ``=`` are dropped); the first fragment of a name
+        wins; list values are comma-separated. Unknown names are ignored.
+        """
+        values: dict[str, str] = {}
+        for frag in (text or "").split("|"):
+            parts = frag.rstrip("=").split("=")
+            if len(parts) == 2 and parts[0] in PARAM_NAMES and parts[0] not in values:
+                values[parts[0]] = parts[1]
+
+        def ints(name):
+            raw = values.get(name)
+            return [int(x) for x in raw.split(",") if x.strip() != ""] if raw else None
+
+        def strs(name):
+            raw = values.get(name)
+            return [x for x in raw.split(",") if x != ""] if raw else None
+
+        def one_int(name):
+            raw = values.get(name)
+            return int(raw) if raw not in (None, "") else None
+
+        return cls(
+            start_age=one_int("startAge"),
+            end_age=one_int("endAge"),
+            professionals=ints("professionals"),
+            cities=ints("cities"),
+            sex=values.get("sex") or None,
+            keywords=strs("keywords"),
+            category_ids=ints("categoryIds"),
+        )
+
+    def to_params(self) -> str:
+        """The ``name=value|…`` parameter string of this filter (absent values left out)."""
+        items = [
+            ("startAge", self.start_age),
+            ("endAge", self.end_age),
+            ("professionals", self.professionals),
+            ("cities", self.cities),
+            ("sex", self.sex),
+            ("keywords", self.keywords),
+            ("categoryIds", self.category_ids),
+        ]
+        out = []
+        for name, v in items:
+            if v is None or v == "" or (isinstance(v, (list, tuple)) and not v):
+                continue
+            text = ",".join(str(x) for x in v) if isinstance(v, (list, tuple)) else str(v)
+            out.append(f"{name}={text}")
+        return "|".join(out)
+
+
+# Parameter names of the task parameter string (fixed values).
+PARAM_NAMES = ["startAge", "endAge", "professionals", "cities", "sex", "keywords", "categoryIds"]
+
 
 # The filter the analysed job runs with: age 0 to 100, nothing else.
 DEFAULT_FILTER = SessionFilter(start_age=0, end_age=100)

@@ -143,3 +143,15 @@ def test_filter_by_actions_equals_set_filter(spark):
     got = {r.session_id: (r.search_keywords, r.click_category_ids) for r in render_sessions(attach_lists(some, acts)).collect()}
     want = {r.session_id: (r.search_keywords, r.click_category_ids) for r in render_sessions(with_sets.where("user_id % 7 = 0")).collect()}
     assert got == want and len(got) > 0
+
+
+def test_filter_parameter_string_round_trip():
+    f = SessionFilter.from_params("startAge=0|endAge=100|")
+    assert f == SessionFilter(start_age=0, end_age=100)
+    g = SessionFilter.from_params("startAge=10|endAge=50|professionals=1,2|cities=3|sex=female|keywords=火锅,温泉|categoryIds=5,6")
+    assert g == SessionFilter(10, 50, [1, 2], [3], "female", ["火锅", "温泉"], [5, 6])
+    assert SessionFilter.from_params(g.to_params()) == g
+    # empty values, repeated names and unknown names
+    h = SessionFilter.from_params("sex=|sex=male|professionals=|foo=1|cities=1==2|endAge=9")
+    assert h == SessionFilter(end_age=9, sex="male")
+    assert SessionFilter.from_params(None) == SessionFilter() and SessionFilter().to_params() == ""
