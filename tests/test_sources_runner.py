@@ -142,3 +142,14 @@ def test_run_analyses_on_empty_tables(spark, tmp_path):
     assert all(v is None for k, v in stat[0].asDict().items() if k.endswith("_ratio"))
     for name in ("session_random_extract", "session_random_extract_detail", "top_categories", "top_sessions", "top_session_details"):
         assert rd(out[name]).count() == 0, name
+
+
+def test_date_partitioned_log_prunes_partitions(spark, tmp_path):
+    from clickpath.operators import action_range
+
+    path = str(tmp_path / "by_date")
+    write_parquet(generate_actions(spark, 2000, parallel=2), path, partition_by=["date"])
+    df = action_range(read_actions(spark, path), "2018-01-10", "2018-01-12")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2018-01-10" in plan
+    assert {r.date for r in df.select("date").distinct().collect()} <= {"2018-01-10", "2018-01-11", "2018-01-12"}
