@@ -11,10 +11,12 @@ out small and splits skewed partitions.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.functions.dates import epoch_micros, format_time, seconds_between
+from clickpath.functions.dates import format_time, seconds_between
 from clickpath.schemas import DETAIL_COLUMNS
 
 SESSION_COLUMNS = [
@@ -32,21 +34,55 @@ LIST_COLUMNS = ["keywords", "click_categories"]
 
 
 _DEC = "decimal(38,0)"
+_USER_BITS = 29  # user ids below 2^29 share a 64-bit key with whole epoch seconds below 2^34
+_SECOND_LIMIT = 2**34
 
 
 def _first_user(t: Column, user: Column) -> Column:
     """User id of the earliest action; ties go to the smallest id.
 
-    (time, user) is packed into one decimal(38,0) key,
-    ``micros_since_epoch * 2^64 + (user + 2^63)``, whose minimum orders by time
-    and then by id. A fixed-width minimum keeps the session aggregate a plain
-    ``HashAggregate`` (a struct minimum would force a sort-based aggregate).
-    Actions without time or user are not considered.
+    Implemented as the minimum of a (time, user) key, in two fixed-width
+    buffers so the session aggregate stays a plain ``HashAggregate`` (a
+    struct minimum would force a sort-based aggregate):
+
+    * ``long`` key ``seconds << 29 | user`` for actions at a whole second in
+      1970..2514 with ``0 <= user < 2^29`` (every table here);
+    * ``decimal(38,0)`` key ``micros * 2^64 + (user + 2^63)`` for all others,
+      computed only for those rows (decimal arithmetic is several times
+      slower per row).
+
+    The two minima are decoded and compared once per session. Actions
+    without time or user are not considered.
     """
+    epoch = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    # seconds.micros since the epoch as a long-backed decimal: zone-free interval
+    # arithmetic, cheaper per row than timestamp_diff
+    exact = (t - epoch).cast("interval second").try_cast("decimal(18,6)")
+    secs = exact.cast("long")
+    known = t.isNotNull() & user.isNotNull()
+    packable = (
+        exact.isNotNull()
+        & (exact == secs)
+        & secs.between(0, _SECOND_LIMIT - 1)
+        & user.between(0, 2**_USER_BITS - 1)
+    )
     span = F.lit(str(2**64)).cast(_DEC)
     offset = F.lit(str(2**63)).cast(_DEC)
-    key = F.when(t.isNotNull() & user.isNotNull(), epoch_micros(t).cast(_DEC) * span + (user.cast(_DEC) + offset))
-    return (F.pmod(F.min(key), span) - offset).cast("long")
+    micros = F.timestamp_diff("MICROSECOND", epoch, t)  # evaluated for the wide rows only
+    small = F.min(F.when(known & packable, F.shiftleft(secs, _USER_BITS) + user))
+    wide = F.min(F.when(known & ~packable, micros.cast(_DEC) * span + (user.cast(_DEC) + offset)))
+    # decode once per session
+    small_micros = F.shiftright(small, _USER_BITS) * 1_000_000
+    small_user = F.pmod(small, F.lit(2**_USER_BITS))
+    wide_micros = ((wide - F.pmod(wide, span)) / span).cast("long")
+    wide_user = (F.pmod(wide, span) - offset).cast("long")
+    small_first = (small_micros < wide_micros) | ((small_micros == wide_micros) & (small_user < wide_user))
+    return (
+        F.when(wide.isNull(), small_user)
+        .when(small.isNull(), wide_user)
+        .when(small_first, small_user)
+        .otherwise(wide_user)
+    )
 
 
 def aggregate_sessions(actions: DataFrame, with_lists: bool = True) -> DataFrame:

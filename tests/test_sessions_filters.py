@@ -155,3 +155,33 @@ def test_filter_parameter_string_round_trip():
     h = SessionFilter.from_params("sex=|sex=male|professionals=|foo=1|cities=1==2|endAge=9")
     assert h == SessionFilter(end_age=9, sex="male")
     assert SessionFilter.from_params(None) == SessionFilter() and SessionFilter().to_params() == ""
+
+
+def test_first_user_mixed_key_paths(spark):
+    big = 2**40  # beyond the 29-bit packed key: takes the decimal path
+    rows = [
+        # whole seconds, small ids: packed key
+        action("p", 9, "2024-01-01 10:00:00"),
+        action("p", 4, "2024-01-01 10:00:00"),
+        # a big id tied with a small one at the earliest second: the smaller id wins
+        action("q", big, "2024-01-01 10:00:00"),
+        action("q", 7, "2024-01-01 10:00:00"),
+        action("q", 3, "2024-01-01 10:00:05"),
+        # a big id strictly earlier than every small id
+        action("r", big + 1, "2024-01-01 09:59:59"),
+        action("r", 2, "2024-01-01 10:00:00"),
+        # pre-1970 time (decimal path) earlier than a packed one
+        action("s", 5, "1969-12-31 23:59:59"),
+        action("s", 1, "2024-01-01 00:00:00"),
+        # negative id only
+        action("t", -3, "2024-01-01 00:00:00"),
+    ]
+    df = make_actions(spark, rows)
+    # sub-second times (decimal path) order before the whole second they fall in
+    frac = spark.createDataFrame(
+        [("u", 8, ts("2024-01-01 10:00:00.5")), ("u", 6, ts("2024-01-01 10:00:01")), ("v", 6, ts("2024-01-01 10:00:00.5")), ("v", 8, ts("2024-01-01 10:00:00"))],
+        "session_id string, user_id long, action_time timestamp_ntz",
+    )
+    full = df.unionByName(frac, allowMissingColumns=True)
+    got = {r.session_id: r.user_id for r in aggregate_sessions(full, with_lists=False).collect()}
+    assert got == {"p": 4, "q": 7, "r": big + 1, "s": 5, "t": -3, "u": 8, "v": 8}
