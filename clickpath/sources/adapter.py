@@ -48,8 +48,12 @@ def actions_from_events(
         ev = ev.where(F.col("ts") >= _ts_bound(start_date))
     if end_date is not None:
         ev = ev.where(F.col("ts") < _ts_bound(end_date, plus_days=1))
-    # parse the JSON once per row; `k` feeds several conditional columns below
-    ev = ev.select("event_id", "ts", "user_id", "event_type", F.json_tuple("props", "k").alias("k_text"))
+    # parse the JSON once, and only for the event kinds that use `k` (its own
+    # projection: `k` feeds several conditional columns below)
+    uses_k = F.col("event_type").isin("click", "signup", "purchase")
+    ev = ev.select(
+        "event_id", "ts", "user_id", "event_type", F.when(uses_k, F.get_json_object("props", "$.k")).alias("k_text")
+    )
 
     kind = F.col("event_type")
     eid = F.col("event_id")
