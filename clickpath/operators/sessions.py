@@ -31,6 +31,8 @@ SESSION_COLUMNS = [
 ]
 USER_ATTRIBUTES = ["age", "professional", "city", "sex"]
 LIST_COLUMNS = ["keywords", "click_categories"]
+# Sides with a proven row bound up to this size are broadcast.
+BROADCAST_ROWS = 1_000_000
 
 
 _DEC = "decimal(38,0)"
@@ -130,10 +132,11 @@ def attach_lists(sessions: DataFrame, actions: DataFrame, max_broadcast_rows: in
 
     Used for a few selected sessions (a sample): their actions are picked by a
     semi join (the session ids are broadcast when ``max_broadcast_rows``
-    bounds them) and aggregated; sessions without actions get empty sets.
+    bounds them below ``BROADCAST_ROWS``) and aggregated; sessions without
+    actions get empty sets.
     """
     ids = sessions.select("session_id").distinct()
-    if max_broadcast_rows is not None:
+    if max_broadcast_rows is not None and max_broadcast_rows <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
     lists = actions.join(ids, "session_id", "left_semi").groupBy("session_id").agg(*_list_aggs())
     empty_kw = F.array().cast("array<string>")
