@@ -9,6 +9,7 @@ name and with the same output columns.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,21 +104,48 @@ RECORD_FIELDS = [
 ]
 
 
+class _Tables:
+    """The tables of one query, each opened once and derived lazily."""
+
+    def __init__(self, spark: SparkSession, d: str):
+        self.spark, self.d = spark, d
+
+    @cached_property
+    def actions(self) -> DataFrame:
+        return load_actions(self.spark, self.d)
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return load_users(self.spark, self.d)
+
+    @cached_property
+    def sessions(self) -> DataFrame:
+        return aggregate_sessions(self.actions)
+
+    @cached_property
+    def full(self) -> DataFrame:
+        return attach_users(self.sessions, self.users)
+
+    @cached_property
+    def details(self) -> DataFrame:
+        """Actions of the sessions passing the default filter, weighted by ``copies``."""
+        return weighted_details(apply_filter(self.full, DEFAULT_FILTER), self.actions)
+
+
 def _actions(spark, d, start=None, end=None):
     return load_actions(spark, d, start, end)
 
 
 def _sessions(spark, d):
-    return aggregate_sessions(_actions(spark, d))
+    return _Tables(spark, d).sessions
 
 
 def _full(spark, d):
-    return attach_users(_sessions(spark, d), load_users(spark, d))
+    return _Tables(spark, d).full
 
 
 def _details(spark, d):
-    """Actions of the sessions passing the default filter, weighted by ``copies``."""
-    return weighted_details(apply_filter(_full(spark, d), DEFAULT_FILTER), _actions(spark, d))
+    return _Tables(spark, d).details
 
 
 def _render_actions(df: DataFrame) -> DataFrame:
@@ -180,8 +208,9 @@ def q_step_length_hist(spark, d):
 
 
 def q_step_length_hist_by_user(spark, d):
-    by_user = _actions(spark, d).withColumn("session_id", F.col("user_id").cast("string"))
-    return length_histogram(attach_users(aggregate_sessions(by_user), load_users(spark, d)), "step")
+    t = _Tables(spark, d)
+    by_user = t.actions.withColumn("session_id", F.col("user_id").cast("string"))
+    return length_histogram(attach_users(aggregate_sessions(by_user), t.users), "step")
 
 
 def q_aggr_stat_all(spark, d):
@@ -211,12 +240,14 @@ def q_sample_sessions(spark, d):
 
 
 def q_sample_details(spark, d):
-    return detail_record(sample_details(_sample(spark, d), _actions(spark, d), SAMPLE_TOTAL))
+    t = _Tables(spark, d)
+    return detail_record(sample_details(sample_sessions(t.full, SAMPLE_TOTAL, SAMPLE_SEED), t.actions, SAMPLE_TOTAL))
 
 
 # --- details, categories, active sessions -------------------------------------------
 def q_session_details(spark, d):
-    return detail_record(session_details(apply_filter(_full(spark, d), DEFAULT_FILTER), _actions(spark, d)))
+    t = _Tables(spark, d)
+    return detail_record(session_details(apply_filter(t.full, DEFAULT_FILTER), t.actions))
 
 
 def q_category_ids(spark, d):

@@ -19,6 +19,9 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # partial top-n before the shuffle also for sample totals above 1000
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
+    # Python call-site capture for error messages costs several JVM round trips
+    # per Column call while a DataFrame is declared; off for production runs
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
