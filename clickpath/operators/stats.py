@@ -58,10 +58,9 @@ def aggr_stat(
     """
     visit = F.col(visit) if isinstance(visit, str) else visit
     step = F.col(step) if isinstance(step, str) else step
-    total = F.col("session_count")
-    cols = [total]
-    cols += [ratio(f"v_{n}", total).alias(visit_ratio_column(n)) for n, _, _ in VISIT_LENGTH_BUCKETS]
-    cols += [ratio(f"s_{n}", total).alias(step_ratio_column(n)) for n, _, _ in STEP_LENGTH_BUCKETS]
+    cols = [F.col("session_count")]
+    cols += [ratio(f"v_{n}", "session_count").alias(visit_ratio_column(n)) for n, _, _ in VISIT_LENGTH_BUCKETS]
+    cols += [ratio(f"s_{n}", "session_count").alias(step_ratio_column(n)) for n, _, _ in STEP_LENGTH_BUCKETS]
     return _counts(sessions, visit, step).select(*cols)
 
 

@@ -15,7 +15,6 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpath.functions.dates import truncate_to_second
 from clickpath.schemas import ACTION_COLUMNS, PRODUCT_COLUMNS, USER_COLUMNS
 
 # --- fixed values of the adapter rules ---------------------------------------
@@ -50,40 +49,40 @@ def actions_from_events(
         ev = ev.where(F.col("ts") < _ts_bound(end_date, plus_days=1))
     # parse the JSON once, and only for the event kinds that use `k` (its own
     # projection: `k` feeds several conditional columns below)
-    uses_k = F.col("event_type").isin("click", "signup", "purchase")
-    ev = ev.select(
-        "event_id", "ts", "user_id", "event_type", F.when(uses_k, F.get_json_object("props", "$.k")).alias("k_text")
+    ev = ev.selectExpr(
+        "event_id",
+        "ts",
+        "user_id",
+        "event_type",
+        "CAST(to_date(ts) AS STRING) AS day",  # no zone involved for timestamp_ntz
+        "CASE WHEN event_type IN ('click', 'signup', 'purchase') "
+        "THEN try_cast(get_json_object(props, '$.k') AS BIGINT) END AS k",
     )
-
-    kind = F.col("event_type")
-    eid = F.col("event_id")
-    k = F.col("k_text").try_cast("bigint")
-    product = (eid % PRODUCT_MODULUS).cast("string")
-    date = F.to_date("ts").cast("string")  # no zone involved for timestamp_ntz
-    return ev.select(
-        date.alias("date"),
-        F.col("user_id").cast("long").alias("user_id"),
-        F.concat(F.col("user_id").cast("string"), F.lit("-"), date).alias("session_id"),
-        (eid % PAGE_MODULUS).alias("page_id"),
-        truncate_to_second("ts").alias("action_time"),
-        F.when(kind == "view", F.concat(F.lit(KEYWORD_PREFIX), (eid % 10).cast("string"))).alias(
-            "search_keyword"
-        ),
-        F.when(kind == "click", k).alias("click_category_id"),
-        F.when(kind == "click", eid % PRODUCT_MODULUS).alias("click_product_id"),
-        F.when(
-            kind == "signup",
-            F.concat_ws(
-                ",",
-                k.cast("string"),
-                ((k + SECOND_ORDER_OFFSET) % CATEGORY_MODULUS).cast("string"),
-            ),
-        ).alias("order_category_ids"),
-        F.when(kind == "signup", product).alias("order_product_ids"),
-        F.when(kind == "purchase", k.cast("string")).alias("pay_category_ids"),
-        F.when(kind == "purchase", product).alias("pay_product_ids"),
-        (eid % CITY_MODULUS).alias("city_id"),
-    ).select(*ACTION_COLUMNS)
+    # One SQL expression per column: a single call to declare, the same plan as
+    # the equivalent Column expressions.
+    return ev.selectExpr(*[f"{expr} AS {name}" for name, expr in _action_rules()])
+
+
+def _action_rules() -> list[tuple[str, str]]:
+    product = f"CAST(event_id % {PRODUCT_MODULUS} AS STRING)"
+    seconds = "date_part('SECOND', ts)"
+    rules = {
+        "date": "day",
+        "user_id": "CAST(user_id AS BIGINT)",
+        "session_id": "concat(CAST(user_id AS STRING), '-', day)",
+        "page_id": f"event_id % {PAGE_MODULUS}",
+        "action_time": f"ts - make_dt_interval(0, 0, 0, {seconds} - floor({seconds}))",
+        "search_keyword": f"CASE WHEN event_type = 'view' THEN concat('{KEYWORD_PREFIX}', CAST(event_id % 10 AS STRING)) END",
+        "click_category_id": "CASE WHEN event_type = 'click' THEN k END",
+        "click_product_id": f"CASE WHEN event_type = 'click' THEN event_id % {PRODUCT_MODULUS} END",
+        "order_category_ids": "CASE WHEN event_type = 'signup' THEN concat_ws(',', CAST(k AS STRING), "
+        f"CAST((k + {SECOND_ORDER_OFFSET}) % {CATEGORY_MODULUS} AS STRING)) END",
+        "order_product_ids": f"CASE WHEN event_type = 'signup' THEN {product} END",
+        "pay_category_ids": "CASE WHEN event_type = 'purchase' THEN CAST(k AS STRING) END",
+        "pay_product_ids": f"CASE WHEN event_type = 'purchase' THEN {product} END",
+        "city_id": f"event_id % {CITY_MODULUS}",
+    }
+    return [(name, rules[name]) for name in ACTION_COLUMNS]
 
 
 def users_from_customer(customer: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from fractions import Fraction
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from clickpath.functions import format_double, ratio
 
@@ -37,5 +38,7 @@ def _ratio(n: int, t: int):
 def test_ratio_is_exact_half_up(spark, pairs):
     pairs = [(min(n, t), t) for n, t in pairs]  # a share never exceeds its total
     df = spark.createDataFrame(pairs, "n long, t long")
-    got = [r[0] for r in df.select(ratio("n", "t")).collect()]
-    assert got == [_ratio(n, t) for n, t in pairs]
+    got = df.select(ratio("n", "t"), ratio(F.col("n"), F.col("t"))).collect()
+    want = [_ratio(n, t) for n, t in pairs]
+    assert [r[0] for r in got] == want  # SQL-expression form (column names)
+    assert [r[1] for r in got] == want  # Column form
