@@ -33,7 +33,15 @@ from clickpath.operators.sessions import (
     session_details,
     weighted_details,
 )
-from clickpath.operators.stats import aggr_stat, length_histogram, step_bucket, visit_bucket
+from clickpath.operators.stats import (
+    aggr_stat,
+    length_histogram,
+    merge_counters,
+    session_counters,
+    stat_from_counters,
+    step_bucket,
+    visit_bucket,
+)
 from clickpath.operators.topn import ranked_top
 
 __all__ = [
@@ -59,6 +67,7 @@ __all__ = [
     "hour_counts",
     "hour_quotas",
     "length_histogram",
+    "merge_counters",
     "non_null",
     "order_counts",
     "pay_counts",
@@ -67,7 +76,9 @@ __all__ = [
     "render_sessions",
     "sample_details",
     "sample_sessions",
+    "session_counters",
     "session_details",
+    "stat_from_counters",
     "step_bucket",
     "top_categories",
     "top_session_details",

@@ -49,19 +49,49 @@ def _counts(sessions: DataFrame, visit: Column, step: Column) -> DataFrame:
     return sessions.agg(*aggs)
 
 
-def aggr_stat(
+COUNTER_COLUMNS = (
+    ["session_count"] + [f"v_{n}" for n, _, _ in VISIT_LENGTH_BUCKETS] + [f"s_{n}" for n, _, _ in STEP_LENGTH_BUCKETS]
+)
+
+
+def session_counters(
     sessions: DataFrame, visit: Column | str = "visit_length", step: Column | str = "step_length"
 ) -> DataFrame:
-    """One row: ``session_count`` and the 15 bucket shares (2 decimals, half-up).
+    """One row of the 16 counters: sessions, 9 visit-length and 6 step-length buckets.
 
-    Shares are null when there is no session.
+    Counters of separate runs (days, batches) merge exactly with
+    :func:`merge_counters`; :func:`stat_from_counters` turns them into shares.
     """
     visit = F.col(visit) if isinstance(visit, str) else visit
     step = F.col(step) if isinstance(step, str) else step
+    return _counts(sessions, visit, step)
+
+
+def merge_counters(*counters: DataFrame) -> DataFrame:
+    """Element-wise sum of counter rows (any number of rows per input)."""
+    rows = counters[0]
+    for other in counters[1:]:
+        rows = rows.unionByName(other)
+    zero = F.lit(0).cast("long")
+    return rows.agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in COUNTER_COLUMNS])
+
+
+def stat_from_counters(counters: DataFrame) -> DataFrame:
+    """Shares (2 decimals, half-up) from one counter row; null when there is no session."""
     cols = [F.col("session_count")]
     cols += [ratio(f"v_{n}", "session_count").alias(visit_ratio_column(n)) for n, _, _ in VISIT_LENGTH_BUCKETS]
     cols += [ratio(f"s_{n}", "session_count").alias(step_ratio_column(n)) for n, _, _ in STEP_LENGTH_BUCKETS]
-    return _counts(sessions, visit, step).select(*cols)
+    return counters.select(*cols)
+
+
+def aggr_stat(
+    sessions: DataFrame, visit: Column | str = "visit_length", step: Column | str = "step_length"
+) -> DataFrame:
+    """One row: ``session_count`` and the 15 bucket shares (2 decimals, half-up).
+
+    Shares are null when there is no session.
+    """
+    return stat_from_counters(session_counters(sessions, visit, step))
 
 
 def length_histogram(

@@ -57,6 +57,7 @@ from clickpath.operators import (
     render_sessions,
     sample_details,
     sample_sessions,
+    session_counters,
     session_details,
     top_categories,
     top_session_details,
@@ -221,6 +222,10 @@ def q_aggr_stat_filtered(spark, d):
     return aggr_stat(apply_filter(_full(spark, d), STAT_FILTER))
 
 
+def q_session_counters(spark, d):
+    return session_counters(_full(spark, d))
+
+
 # --- sampling ---------------------------------------------------------------------
 def q_hour_counts(spark, d):
     return hour_counts(_full(spark, d))
@@ -445,6 +450,7 @@ QUERIES: dict[str, QueryFn] = {
     "step_length_hist_by_user": q_step_length_hist_by_user,
     "aggr_stat_all": q_aggr_stat_all,
     "aggr_stat_filtered": q_aggr_stat_filtered,
+    "session_counters": q_session_counters,
     "hour_counts": q_hour_counts,
     "sample_quota": q_sample_quota,
     "sample_sessions": q_sample_sessions,

@@ -171,6 +171,17 @@ def _histogram(src: str, value: str, buckets) -> str:
     return f", c AS (SELECT count(*) AS session_count, {counts} FROM {src})\n{rows}"
 
 
+def _counters(src: str) -> str:
+    parts = ["count(*) AS session_count"]
+    parts += [
+        f"count(*) FILTER (WHERE {_in_bucket('visit_length', lo, hi)}) AS v_{n}" for n, lo, hi in VISIT_LENGTH_BUCKETS
+    ]
+    parts += [
+        f"count(*) FILTER (WHERE {_in_bucket('step_length', lo, hi)}) AS s_{n}" for n, lo, hi in STEP_LENGTH_BUCKETS
+    ]
+    return f"SELECT {', '.join(parts)} FROM {src}"
+
+
 def _aggr_stat(src: str) -> str:
     parts = ["count(*) AS session_count"]
     parts += [
@@ -351,6 +362,7 @@ def build() -> dict[str, str]:
         f"(SELECT * FROM session_full WHERE {_filter_sql(C.STAT_FILTER)})"
     )
 
+    sql["session_counters"] = base + _counters("session_full")
     sql["hour_counts"] = base[:-1] + _quota_ctes(C.SAMPLE_TOTAL) + "\nSELECT date, hour, sessions FROM hc"
     sql["sample_quota"] = base[:-1] + _quota_ctes(C.SAMPLE_TOTAL) + "\nSELECT * FROM quotas"
     sql["sample_sessions"] = (

@@ -68,3 +68,20 @@ def test_aggr_stat_empty_input_gives_nulls(spark):
     r = aggr_stat(df).first()
     assert r.session_count == 0
     assert all(r[c] is None for c in AGGR_STAT_COLUMNS[1:])
+
+
+def test_counters_merge_like_the_accumulator(spark):
+    from clickpath.operators import merge_counters, session_counters, stat_from_counters
+    from clickpath.plans.catalog import _full
+    from tests.conftest import SF01
+
+    full = _full(spark, SF01)
+    early = full.where(F.col("start_time") < F.lit("2024-01-15").cast("timestamp_ntz"))
+    late = full.where(F.col("start_time") >= F.lit("2024-01-15").cast("timestamp_ntz"))
+    merged = merge_counters(session_counters(early), session_counters(late))
+    whole = session_counters(full)
+    assert tuple(merged.first()) == tuple(whole.first())
+    assert tuple(stat_from_counters(merged).first()) == tuple(aggr_stat(full).first())
+    # an empty batch merges as zero
+    empty = session_counters(full.where(F.lit(False)))
+    assert tuple(merge_counters(whole, empty).first()) == tuple(whole.first())
