@@ -15,6 +15,7 @@ executor costs only its own tasks and nothing is recomputed per output.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -109,11 +110,18 @@ def run_analyses(
     out_dir: str,
     params: AnalysisParams = AnalysisParams(),
     task_id: int | None = None,
+    concurrent: bool = True,
 ) -> dict[str, str]:
     """Run P1–P4 and write every output as parquet under ``out_dir``.
 
     Returns output name → folder. ``task_id``, when given, is added as a
     column to every output, as the analysed job tagged its records.
+
+    After the shared session table is written, three independent chains
+    follow (sample, statistics, details → hot categories → active sessions).
+    With ``concurrent`` they are submitted from separate driver threads, which
+    Spark schedules as concurrent jobs sharing the executors; only job
+    submission happens on those threads, no data passes through them.
     """
     scratch = f"{checkpoint_dir(spark).rstrip('/')}/clickpath-{uuid.uuid4().hex}"
     actions = action_range(actions, params.start_date, params.end_date)
@@ -124,29 +132,45 @@ def run_analyses(
         if task_id is not None:
             df = df.select(F.lit(task_id).alias("task_id"), *df.columns)
         path = f"{out}/{name}"
+        spark.sparkContext.setJobDescription(f"clickpath: {name}")
         write_parquet(df, path)
         written[name] = path
 
     # sessions without their keyword / category sets: fixed-width aggregate,
     # filters on sets become semi joins, sets are built for sampled sessions only
+    spark.sparkContext.setJobDescription("clickpath: sessions")
     sessions = _materialize(
         spark, full_sessions(actions, users, params.dedupe_users, with_lists=False), f"{scratch}/sessions"
     )
 
-    sample, sample_rows = sample_analysis(sessions, actions, params.sample_total, params.sample_seed)
-    emit("session_random_extract", sample)
-    emit("session_random_extract_detail", sample_rows)
-
-    filtered, stat_all, stat_filtered = session_analysis(sessions, params.session_filter, actions)
-    emit("session_aggr_stat", stat_all)
-    emit("session_aggr_stat_filtered", stat_filtered)
-
-    # one row per action of a passing session, weighted by how often the session is listed
-    details = _materialize(spark, weighted_details(filtered, actions), f"{scratch}/details")
-    hot = _materialize(spark, category_analysis(details, params.top_k), f"{scratch}/top_categories")
-    emit("top_categories", hot)
-
-    ranked, ranked_rows = active_session_analysis(details, hot, params.top_n, params.top_k)
-    emit("top_sessions", ranked)
-    emit("top_session_details", ranked_rows)
+    def sample_chain() -> None:
+        sample, sample_rows = sample_analysis(sessions, actions, params.sample_total, params.sample_seed)
+        emit("session_random_extract", sample)
+        emit("session_random_extract_detail", sample_rows)
+
+    def stats_chain() -> None:
+        _, stat_all, stat_filtered = session_analysis(sessions, params.session_filter, actions)
+        emit("session_aggr_stat", stat_all)
+        emit("session_aggr_stat_filtered", stat_filtered)
+
+    def category_chain() -> None:
+        filtered = session_analysis(sessions, params.session_filter, actions)[0]
+        # one row per action of a passing session, weighted by how often the session is listed
+        spark.sparkContext.setJobDescription("clickpath: details")
+        details = _materialize(spark, weighted_details(filtered, actions), f"{scratch}/details")
+        spark.sparkContext.setJobDescription("clickpath: top categories")
+        hot = _materialize(spark, category_analysis(details, params.top_k), f"{scratch}/top_categories")
+        emit("top_categories", hot)
+        ranked, ranked_rows = active_session_analysis(details, hot, params.top_n, params.top_k)
+        emit("top_sessions", ranked)
+        emit("top_session_details", ranked_rows)
+
+    chains = [category_chain, sample_chain, stats_chain]
+    if concurrent:
+        with ThreadPoolExecutor(max_workers=len(chains), thread_name_prefix="clickpath") as pool:
+            for future in [pool.submit(chain) for chain in chains]:
+                future.result()  # re-raises the first failure
+    else:
+        for chain in chains:
+            chain()
     return written
