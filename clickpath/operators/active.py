@@ -17,12 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpath.operators.filters import non_null
-from clickpath.operators.sessions import weight
+from clickpath.operators.sessions import BROADCAST_ROWS, weight
 from clickpath.operators.topn import DEFAULT_SALT_BUCKETS, ranked_top
 
-# Ranked-session sides up to this many rows are broadcast to the detail join;
-# larger ones are left to AQE, which measures them first.
-BROADCAST_ROWS = 1_000_000
 
 
 def category_session_clicks(details: DataFrame) -> DataFrame:

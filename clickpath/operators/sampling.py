@@ -30,12 +30,11 @@ from pyspark.sql import functions as F
 
 from clickpath.functions.dates import format_date, hour_text
 from clickpath.functions.numbers import int_div
+from clickpath.operators.sessions import BROADCAST_ROWS
 from clickpath.operators.topn import DEFAULT_SALT_BUCKETS, ranked_top
 
 DEFAULT_TOTAL = 100
 DEFAULT_SEED = "0"
-# Samples up to this many rows are broadcast to the detail join.
-BROADCAST_SAMPLE_ROWS = 1_000_000
 
 
 def with_hour_key(sessions: DataFrame) -> DataFrame:
@@ -103,6 +102,6 @@ def sample_sessions(
 def sample_details(sample: DataFrame, actions: DataFrame, total: int = DEFAULT_TOTAL) -> DataFrame:
     """All actions of the sampled sessions (the sample has at most ``total`` rows)."""
     ids = sample.select("session_id")
-    if total <= BROADCAST_SAMPLE_ROWS:
+    if total <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
     return actions.join(ids, "session_id", "inner")

@@ -31,7 +31,9 @@ SESSION_COLUMNS = [
 ]
 USER_ATTRIBUTES = ["age", "professional", "city", "sex"]
 LIST_COLUMNS = ["keywords", "click_categories"]
-# Sides with a proven row bound up to this size are broadcast.
+# Join sides with a proven row bound (top-k, sample, ranked sessions) are
+# broadcast up to this many rows; larger ones are left to AQE, which measures
+# them at run time.
 BROADCAST_ROWS = 1_000_000
 
 

@@ -47,14 +47,13 @@ def ranked_top(
     must never exceed ``max_rank``). Adds ``rank_col``.
     """
     if max_rank > group_limit_threshold(df) and salt_key is not None:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
         bucket = Window.partitionBy(*by, "_salt").orderBy(*order)
         first = F.col("_r1") <= F.lit(max_rank)
         if limit is not None:
             first = first & (F.col("_r1") <= limit)
         df = (
             df.withColumn("_salt", F.pmod(F.xxhash64(salt_key), F.lit(salt_buckets)))
-            .repartition(parts, *by, "_salt")
+            .repartition(*by, "_salt")  # AQE may still coalesce small partitions
             .withColumn("_r1", F.row_number().over(bucket))
             .where(first)
             .drop("_salt", "_r1")

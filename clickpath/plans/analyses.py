@@ -55,18 +55,21 @@ class AnalysisParams:
     end_date: str | None = None
 
 
+def filter_sessions(
+    sessions: DataFrame, flt: SessionFilter = DEFAULT_FILTER, actions: DataFrame | None = None
+) -> DataFrame:
+    """Sessions passing ``flt``. Sessions without their set columns need
+    ``actions`` for keyword and category conditions (semi joins)."""
+    if "keywords" in sessions.columns or actions is None:
+        return apply_filter(sessions, flt)
+    return apply_filter_by_actions(sessions, actions, flt)
+
+
 def session_analysis(
     sessions: DataFrame, flt: SessionFilter = DEFAULT_FILTER, actions: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """P1: ``(filtered sessions, statistics of all sessions, statistics of the filtered)``.
-
-    Sessions without their set columns need ``actions`` for keyword and
-    category conditions.
-    """
-    if "keywords" in sessions.columns or actions is None:
-        filtered = apply_filter(sessions, flt)
-    else:
-        filtered = apply_filter_by_actions(sessions, actions, flt)
+    """P1: ``(filtered sessions, statistics of all sessions, statistics of the filtered)``."""
+    filtered = filter_sessions(sessions, flt, actions)
     return filtered, aggr_stat(sessions), aggr_stat(filtered)
 
 
@@ -154,7 +157,7 @@ def run_analyses(
         emit("session_aggr_stat_filtered", stat_filtered)
 
     def category_chain() -> None:
-        filtered = session_analysis(sessions, params.session_filter, actions)[0]
+        filtered = filter_sessions(sessions, params.session_filter, actions)
         # one row per action of a passing session, weighted by how often the session is listed
         spark.sparkContext.setJobDescription("clickpath: details")
         details = _materialize(spark, weighted_details(filtered, actions), f"{scratch}/details")
