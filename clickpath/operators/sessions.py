@@ -201,11 +201,18 @@ def weighted_details(sessions: DataFrame, actions: DataFrame) -> DataFrame:
     Same information as :func:`session_details` without materialising the
     fan-out (a user id repeated in the user table lists a session several
     times): counts over the result use ``sum(copies)``, and detail outputs
-    expand rows with :func:`expand_copies`. The per-session count is an
-    aggregate already partitioned by ``session_id``, so the join with the
-    actions adds no shuffle on that side.
+    expand rows with :func:`expand_copies`.
+
+    Skew: a session may hold a third of all actions. AQE splits such a
+    partition of a sort-merge join only when both join inputs are plain
+    shuffles; an aggregate already partitioned by ``session_id`` on one side
+    hides that shape. So the copies are counted per (session, user) (the
+    user is fixed per session, the counts are the same), which leaves them
+    partitioned by both keys: the join shuffles the small copies table once
+    more and AQE can split the hot session's actions over several tasks.
     """
-    copies = sessions.groupBy("session_id").agg(F.count(F.lit(1)).alias("copies"))
+    key = ["session_id", "user_id"] if "user_id" in sessions.columns else ["session_id"]
+    copies = sessions.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).select("session_id", "copies")
     return actions.join(copies, "session_id", "inner")
 
 
