@@ -1,6 +1,9 @@
 """Measure how the batch job spreads a hot session and a hot hour over tasks.
 
-Usage: python scripts/skew_check.py SCRATCH_DIR [ACTION_ROWS]
+Usage: python scripts/skew_check.py SCRATCH_DIR [ACTION_ROWS] [GROUP_LIMIT_THRESHOLD]
+
+With GROUP_LIMIT_THRESHOLD below the sample total (3000), the sample draw
+takes the salted two-phase path instead of the partial group limit.
 
 Generates a log where one session holds a third of all actions and a third of
 all sessions start in the same hour, runs the batch job with Spark's event
@@ -69,6 +72,7 @@ def stage_skew(log_dir: str):
 def main() -> None:
     scratch = sys.argv[1].rstrip("/")
     rows = int(sys.argv[2]) if len(sys.argv) > 2 else 3_000_000
+    threshold = sys.argv[3] if len(sys.argv) > 3 else "10000"
     log_dir = f"{scratch}/eventlog"
     os.makedirs(log_dir, exist_ok=True)
     spark = build_session(
@@ -80,6 +84,7 @@ def main() -> None:
             "spark.checkpoint.dir": f"{scratch}/checkpoints",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+            "spark.sql.optimizer.windowGroupLimitThreshold": threshold,
         },
     )
     write_parquet(skewed_actions(spark, rows), f"{scratch}/actions")
