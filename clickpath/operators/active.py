@@ -32,17 +32,29 @@ def category_session_clicks(details: DataFrame) -> DataFrame:
 
 
 def top_sessions(
-    details: DataFrame, hot: DataFrame, n: int = 10, k: int = 10, salt_buckets: int = DEFAULT_SALT_BUCKETS
+    details: DataFrame,
+    hot: DataFrame,
+    n: int = 10,
+    k: int = 10,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    keep_copies: bool = False,
 ) -> DataFrame:
     """Per hot category the ``n`` sessions with most clicks (ties: smaller session id).
 
     ``hot`` holds ``category_id`` and at most ``k`` rows (a top-k result).
+    ``keep_copies`` keeps the ``copies`` weight of weighted details on each
+    ranked row, so :func:`top_session_details` can read the raw actions.
     """
     hot_ids = hot.select("category_id")
     if k <= BROADCAST_ROWS:
         hot_ids = F.broadcast(hot_ids)
     hot_clicks = details.join(hot_ids, details["click_category_id"] == hot_ids["category_id"], "left_semi")
-    counts = category_session_clicks(hot_clicks)
+    counts = non_null(hot_clicks, "click_category_id").groupBy(
+        F.col("click_category_id").alias("category_id"), "session_id"
+    ).agg(
+        F.sum(weight(hot_clicks)).alias("click_count"),
+        F.max(weight(hot_clicks)).alias("copies"),  # the same on every row of a session
+    )
     ranked = ranked_top(
         counts,
         by=["category_id"],
@@ -52,16 +64,27 @@ def top_sessions(
         salt_key="session_id",
         salt_buckets=salt_buckets,
     )
-    return ranked.select("category_id", "session_id", "click_count", "rank")
+    cols = ["category_id", "session_id", "click_count", "rank"]
+    if keep_copies and "copies" in details.columns:
+        cols.append("copies")
+    return ranked.select(*cols)
 
 
-def top_session_details(ranked: DataFrame, details: DataFrame, n: int = 10, k: int = 10) -> DataFrame:
+def top_session_details(ranked: DataFrame, source: DataFrame, n: int = 10, k: int = 10) -> DataFrame:
     """Detail rows of every ranked session, tagged with its category.
 
-    A session ranked in several categories yields its rows once per category.
-    Weighted details keep their ``copies`` column (``detail_record`` expands it).
+    ``source`` is either the (weighted) details the ranking came from, or
+    the raw action log when ``ranked`` carries ``copies`` (``keep_copies``):
+    ranked sessions passed the filter already, so their actions need no
+    second pass through the session filter and the user join, only a scan
+    joined with the broadcast ranked side.
+    A session ranked in several categories yields its rows once per category;
+    ``detail_record`` expands the ``copies`` weight into repeated rows.
     """
-    side = ranked.select("category_id", "session_id")
+    keep = ["category_id", "session_id"]
+    if "copies" in ranked.columns and "copies" not in source.columns:
+        keep.append("copies")
+    side = ranked.select(*keep)
     if k * n <= BROADCAST_ROWS:
         side = F.broadcast(side)
-    return details.join(side, "session_id", "inner")
+    return source.join(side, "session_id", "inner")

@@ -96,9 +96,9 @@ def category_analysis(details: DataFrame, k: int = 10) -> DataFrame:
 
 def active_session_analysis(details: DataFrame, hot: DataFrame, n: int = 10, k: int = 10) -> tuple[DataFrame, DataFrame]:
     """P4: ``(ranked sessions per hot category, their action rows)``."""
-    ranked = top_sessions(details, hot, n, k)
+    ranked = top_sessions(details, hot, n, k, keep_copies=True)
     rows = detail_record(top_session_details(ranked, details, n, k), "category_id")
-    return ranked, rows
+    return ranked.drop("copies"), rows
 
 
 def _materialize(spark: SparkSession, df: DataFrame, folder: str) -> DataFrame:

@@ -287,18 +287,16 @@ def q_category_session_clicks(spark, d):
     return category_session_clicks(_details(spark, d))
 
 
-def _ranked(spark, d):
-    details = _details(spark, d)
-    return details, top_sessions(details, top_categories(details, TOP_K), TOP_N, TOP_K)
-
-
 def q_top_sessions(spark, d):
-    return _ranked(spark, d)[1]
+    details = _details(spark, d)
+    return top_sessions(details, top_categories(details, TOP_K), TOP_N, TOP_K)
 
 
 def q_top_session_details(spark, d):
-    details, ranked = _ranked(spark, d)
-    return detail_record(top_session_details(ranked, details, TOP_N, TOP_K), "category_id")
+    t = _Tables(spark, d)
+    ranked = top_sessions(t.details, top_categories(t.details, TOP_K), TOP_N, TOP_K, keep_copies=True)
+    # ranked sessions carry their copies: their rows come from the action log directly
+    return detail_record(top_session_details(ranked, t.actions, TOP_N, TOP_K), "category_id")
 
 
 # --- scalar helpers, each over a whole table -------------------------------------------

@@ -155,3 +155,21 @@ def test_top_sessions_salted_path_equals_group_limit(spark):
         spark.conf.set(key, old)
     plain = sorted(tuple(r) for r in top_sessions(d, hot, n=5).collect())
     assert salted == plain and len(plain) == 50
+
+
+def test_ranked_rows_from_actions_equal_rows_from_details(spark):
+    from clickpath.operators import aggregate_sessions, attach_users, detail_record, weighted_details
+    from tests.conftest import make_users, user
+
+    rows = [action("a", 1, click=1), action("a", 1, click=1, orders="2"), action("b", 2, click=1), action("c", 3, click=2)]
+    acts = make_actions(spark, rows)
+    users = make_users(spark, [user(1), user(1), user(1), user(2), user(3), user(3)])
+    w = weighted_details(attach_users(aggregate_sessions(acts), users), acts)
+    hot = top_categories(w)
+    via_details = detail_record(top_session_details(top_sessions(w, hot, n=2), w), "category_id")
+    ranked = top_sessions(w, hot, n=2, keep_copies=True)
+    assert "copies" in ranked.columns
+    via_actions = detail_record(top_session_details(ranked, acts), "category_id")
+    a = sorted((tuple(r) for r in via_details.collect()), key=repr)
+    b = sorted((tuple(r) for r in via_actions.collect()), key=repr)
+    assert a == b and len(a) == 3 * 2 + 1 + 2  # a: 3 copies x 2 actions; b: 1; c: 2 copies x 1
