@@ -4,6 +4,7 @@ from clickpath.functions.dates import (
     after,
     before,
     date_hour,
+    date_hour_text,
     epoch_micros,
     format_date,
     format_date_key,
@@ -33,6 +34,7 @@ __all__ = [
     "after",
     "before",
     "date_hour",
+    "date_hour_text",
     "epoch_micros",
     "format_date",
     "format_date_key",

@@ -98,6 +98,15 @@ def date_hour(c: ColumnOrName) -> Column:
     return F.concat(format_date(c), F.lit("_"), hour_text(c))
 
 
+def date_hour_text(c: ColumnOrName) -> Column:
+    """``yyyy-MM-dd_HH`` key cut from ``yyyy-MM-dd HH:mm:ss`` text (date part, ``_``,
+    text before the first ``:`` of the time part); null when there is no time part."""
+    c = _col(c)
+    parts = F.split(c, " ")
+    time_part = F.get(parts, 1)
+    return F.when(time_part.isNotNull(), F.concat(F.get(parts, 0), F.lit("_"), F.substring_index(time_part, ":", 1)))
+
+
 def epoch_micros(c: ColumnOrName) -> Column:
     """Microseconds since 1970-01-01 00:00:00 of a ``timestamp_ntz`` (wall clock)."""
     epoch = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")

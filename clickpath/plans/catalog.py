@@ -18,6 +18,7 @@ from clickpath.functions import (
     after,
     before,
     date_hour,
+    date_hour_text,
     format_date,
     format_date_key,
     format_double,
@@ -395,6 +396,7 @@ def q_date_keys(spark, d):
         parse_date_key(F.col("session_id")).alias("bad_date"),
         format_time_minute("start_time").alias("time_minute"),
         date_hour("start_time").alias("date_hour"),
+        date_hour_text(format_time("start_time")).alias("date_hour_text"),
     )
 
 

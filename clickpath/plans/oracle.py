@@ -466,7 +466,9 @@ def build() -> dict[str, str]:
         "CAST(try_strptime(strftime(start_time, '%Y%m%d'), '%Y%m%d') AS DATE) AS parsed_date, "
         "CAST(try_strptime(session_id, '%Y%m%d') AS DATE) AS bad_date, "
         "strftime(start_time, '%Y%m%d%H%M') AS time_minute, "
-        "strftime(start_time, '%Y-%m-%d_%H') AS date_hour FROM session_full"
+        "strftime(start_time, '%Y-%m-%d_%H') AS date_hour, "
+        f"split_part({_t('start_time')}, ' ', 1) || '_' || split_part(split_part({_t('start_time')}, ' ', 2), ':', 1) "
+        "AS date_hour_text FROM session_full"
     )
     sql["parse_times"] = (
         _with(_actions_cte())

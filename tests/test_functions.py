@@ -97,6 +97,13 @@ def test_fast_parse_equals_format_parse(spark):
     assert all(r[0] == r[1] for r in rows)
 
 
+def test_date_hour_text(spark):
+    from clickpath.functions import date_hour_text
+
+    vals = ["2018-02-03 10:11:12", "2018-02-03 7:05", "2018-02-03", None, "x y"]
+    assert _apply(spark, vals, date_hour_text) == ["2018-02-03_10", "2018-02-03_7", None, None, "x_y"]
+
+
 def test_before_after_minus(spark):
     df = spark.createDataFrame(
         [("2018-02-03 10:00:00", "2018-02-03 10:01:05"), ("2018-02-03 10:00:00", "bad"), ("x", "y")], "a string, b string"
