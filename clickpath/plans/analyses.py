@@ -40,7 +40,7 @@ from clickpath.operators.sessions import (
     weighted_details,
 )
 from clickpath.operators.stats import aggr_stat
-from clickpath.session import checkpoint_dir
+from clickpath.session import checkpoint_dir, describe_jobs
 from clickpath.sources.sinks import write_parquet
 
 @dataclass(frozen=True)
@@ -135,13 +135,13 @@ def run_analyses(
         if task_id is not None:
             df = df.select(F.lit(task_id).alias("task_id"), *df.columns)
         path = f"{out}/{name}"
-        spark.sparkContext.setJobDescription(f"clickpath: {name}")
+        describe_jobs(spark, f"clickpath: {name}")
         write_parquet(df, path)
         written[name] = path
 
     # sessions without their keyword / category sets: fixed-width aggregate,
     # filters on sets become semi joins, sets are built for sampled sessions only
-    spark.sparkContext.setJobDescription("clickpath: sessions")
+    describe_jobs(spark, "clickpath: sessions")
     sessions = _materialize(
         spark, full_sessions(actions, users, params.dedupe_users, with_lists=False), f"{scratch}/sessions"
     )
@@ -159,9 +159,9 @@ def run_analyses(
     def category_chain() -> None:
         filtered = filter_sessions(sessions, params.session_filter, actions)
         # one row per action of a passing session, weighted by how often the session is listed
-        spark.sparkContext.setJobDescription("clickpath: details")
+        describe_jobs(spark, "clickpath: details")
         details = _materialize(spark, weighted_details(filtered, actions), f"{scratch}/details")
-        spark.sparkContext.setJobDescription("clickpath: top categories")
+        describe_jobs(spark, "clickpath: top categories")
         hot = _materialize(spark, category_analysis(details, params.top_k), f"{scratch}/top_categories")
         emit("top_categories", hot)
         ranked, ranked_rows = active_session_analysis(details, hot, params.top_n, params.top_k)

@@ -52,15 +52,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
     reach; it is read from the session and never overridden. Only when it is
-    unset (local tests) a fresh scratch folder is taken.
+    unset (local tests) a fresh scratch folder is taken. A Spark Connect
+    session has no local context, so there the setting is required.
     """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None:
+            sc.setCheckpointDir(configured)
         return configured
+    if sc is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     local = tempfile.mkdtemp(prefix="clickpath-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
+
+
+def describe_jobs(spark: SparkSession, text: str) -> None:
+    """Label the jobs submitted next from this thread (best effort)."""
+    try:
+        spark.sparkContext.setJobDescription(text)
+    except Exception:  # noqa: BLE001 - Spark Connect has no job descriptions
+        pass
