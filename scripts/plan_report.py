@@ -52,6 +52,10 @@ def main() -> None:
         "categories, ranked sessions, the sample, the per-hour quota table). At run time AQE may still turn a",
         "shuffle join into a broadcast join once it has measured a side.",
         "",
+        "Counts are taken from the plan text. A scalar subquery's plan is printed at every expression that uses",
+        "it: the day count of the sample queries (`hour_quotas`) appears three times and its operators are",
+        "counted three times, although Spark runs it once (same job count as a single use, checked).",
+        "",
         "| query | " + " | ".join(name for name, _ in OPERATORS) + " | columns read |",
         "|---" * (len(OPERATORS) + 2) + "|",
     ]
