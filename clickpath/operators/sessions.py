@@ -137,10 +137,13 @@ def attach_lists(sessions: DataFrame, actions: DataFrame, max_broadcast_rows: in
     bounds them below ``BROADCAST_ROWS``) and aggregated; sessions without
     actions get empty sets.
     """
+    bounded = max_broadcast_rows is not None and max_broadcast_rows <= BROADCAST_ROWS
     ids = sessions.select("session_id").distinct()
-    if max_broadcast_rows is not None and max_broadcast_rows <= BROADCAST_ROWS:
+    if bounded:
         ids = F.broadcast(ids)
     lists = actions.join(ids, "session_id", "left_semi").groupBy("session_id").agg(*_list_aggs())
+    if bounded:
+        lists = F.broadcast(lists)  # one row per selected session
     empty_kw = F.array().cast("array<string>")
     empty_cat = F.array().cast("array<bigint>")
     return sessions.join(lists, "session_id", "left").withColumn(
