@@ -22,6 +22,21 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz_literal(value: "_dt.datetime | _dt.date | str") -> Column:
+    """A ``timestamp_ntz`` literal with exactly this wall-clock time.
+
+    Built from text: a Python ``datetime`` literal would pass through the
+    system and session time zones and could shift.
+    """
+    if isinstance(value, _dt.datetime):
+        text = value.isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        text = f"{value.isoformat()} 00:00:00"
+    else:
+        text = value
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def truncate_to_second(c: ColumnOrName) -> Column:
     """Drop the fraction of a second from a ``timestamp_ntz`` (zone-free)."""
     c = _col(c)
@@ -109,8 +124,7 @@ def date_hour_text(c: ColumnOrName) -> Column:
 
 def epoch_micros(c: ColumnOrName) -> Column:
     """Microseconds since 1970-01-01 00:00:00 of a ``timestamp_ntz`` (wall clock)."""
-    epoch = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
-    return F.timestamp_diff("MICROSECOND", epoch, _col(c))
+    return F.timestamp_diff("MICROSECOND", ntz_literal("1970-01-01 00:00:00"), _col(c))
 
 
 def before(t1: ColumnOrName, t2: ColumnOrName) -> Column:

@@ -11,12 +11,10 @@ out small and splits skewed partitions.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.functions.dates import format_time, seconds_between
+from clickpath.functions.dates import format_time, ntz_literal, seconds_between
 from clickpath.schemas import DETAIL_COLUMNS
 
 SESSION_COLUMNS = [
@@ -58,7 +56,7 @@ def _first_user(t: Column, user: Column) -> Column:
     The two minima are decoded and compared once per session. Actions
     without time or user are not considered.
     """
-    epoch = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    epoch = ntz_literal("1970-01-01 00:00:00")
     # seconds.micros since the epoch as a long-backed decimal: zone-free interval
     # arithmetic, cheaper per row than timestamp_diff
     exact = (t - epoch).cast("interval second").try_cast("decimal(18,6)")

@@ -15,6 +15,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickpath.functions.dates import ntz_literal
 from clickpath.schemas import ACTION_COLUMNS, PRODUCT_COLUMNS, USER_COLUMNS
 
 # --- fixed values of the adapter rules ---------------------------------------
@@ -29,8 +30,7 @@ PROFESSIONAL_MODULUS = 100  # professional = c_custkey % 100
 
 
 def _ts_bound(day: str, plus_days: int = 0):
-    d = _dt.date.fromisoformat(day) + _dt.timedelta(days=plus_days)
-    return F.lit(_dt.datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
+    return ntz_literal(_dt.date.fromisoformat(day) + _dt.timedelta(days=plus_days))
 
 
 def actions_from_events(

@@ -13,6 +13,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickpath.functions.dates import format_time, ntz_literal
+
 # --- fixed values of the table spec --------------------------------------------
 SEARCH_KEYWORDS = ["火锅", "蛋糕", "重庆辣子鸡", "重庆小面", "呷哺呷哺", "新辣道鱼火锅", "国贸大厦", "太古商场", "日本料理", "温泉"]
 SEXES = ["male", "female"]
@@ -55,14 +57,14 @@ def generate_actions(spark: SparkSession, rows: int, parallel: int = 10, seed: i
     t1 = _dt.datetime.fromisoformat(ACTION_TIME_RANGE[1])
     span_s = int((t1 - t0).total_seconds())
     date = F.date_add(F.lit(d0), _uniform_int(seed + 1, 0, (d1 - d0).days))
-    time = F.lit(t0).cast("timestamp_ntz") + F.make_dt_interval(secs=_uniform_int(seed + 2, 0, span_s))
+    time = ntz_literal(t0) + F.make_dt_interval(secs=_uniform_int(seed + 2, 0, span_s))
     s = seed * 100
     return _rows(spark, rows, parallel).select(
-        F.date_format(date, "yyyy-MM-dd").alias("date"),
+        date.cast("string").alias("date"),  # zone-free text of a date
         _uniform_int(s + 3, 0, USER_ID_MAX).alias("user_id"),
         _random_text(s + 4, SESSION_ID_LENGTH).alias("session_id"),
         _uniform_int(s + 5, 0, PAGE_ID_MAX).alias("page_id"),
-        F.date_format(time, "yyyy-MM-dd HH:mm:ss").alias("action_time"),
+        format_time(time).alias("action_time"),
         _pick(s + 6, SEARCH_KEYWORDS).alias("search_keyword"),
         _uniform_int(s + 7, 0, SMALL_ID_MAX).alias("click_category_id"),
         _uniform_int(s + 8, 0, SMALL_ID_MAX).alias("click_product_id"),

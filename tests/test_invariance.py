@@ -28,13 +28,15 @@ def test_partition_count_invariance(spark, name):
     assert base == three == seventeen
 
 
-@pytest.mark.parametrize("name", ["session_full", "sample_sessions", "date_keys", "pad_two"])
+@pytest.mark.parametrize("name", ["session_full", "sample_sessions", "date_keys", "pad_two", "action_range", "actions"])
 def test_time_zone_invariance(spark, name):
     base = _collect(spark, name)
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
         other = _collect(spark, name)
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        third = _collect(spark, name)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
-    assert base == other
+    assert base == other == third
