@@ -26,8 +26,10 @@ def _rows(cols, records):
     return sorted((tuple(_norm(r[i]) for i in order) for r in records), key=repr)
 
 
-@pytest.fixture(scope="module")
+@pytest.fixture()
 def duck():
+    # a fresh connection per query: DuckDB 2.0 can hit an internal dictionary-cache
+    # error after many parquet scans in one connection
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF01}/{t}.parquet')")
