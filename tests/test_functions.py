@@ -166,3 +166,21 @@ def test_ratio_exact_half_up_and_zero_total(spark):
     df = spark.createDataFrame([(1, 8), (1, 200), (3, 200), (2, 3), (0, 0), (5, 0), (1, 1)], "n long, t long")
     got = [r[0] for r in df.select(ratio("n", "t")).collect()]
     assert got == [0.13, 0.01, 0.02, 0.67, None, None, 1.0]
+
+
+def test_ntz_literal_is_zone_free(spark):
+    import datetime as dt
+
+    from clickpath.functions.dates import ntz_literal
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        r = spark.range(1).select(
+            ntz_literal(dt.datetime(2024, 1, 8)).alias("a"),
+            ntz_literal(dt.date(2024, 1, 8)).alias("b"),
+            ntz_literal("2024-01-08 10:11:12").alias("c"),
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert (r.a, r.b, r.c) == (dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 8, 10, 11, 12))
