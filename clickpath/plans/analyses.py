@@ -147,9 +147,16 @@ def run_analyses(
     )
 
     def sample_chain() -> None:
-        sample, sample_rows = sample_analysis(sessions, actions, params.sample_total, params.sample_seed)
-        emit("session_random_extract", sample)
-        emit("session_random_extract_detail", sample_rows)
+        total = params.sample_total
+        # the sample itself is at most `total` rows: written once, read by both outputs
+        describe_jobs(spark, "clickpath: sample")
+        sample = _materialize(spark, sample_sessions(sessions, total, params.sample_seed), f"{scratch}/sample")
+        emit("session_random_extract_detail", detail_record(sample_details(sample, actions, total)))
+        # keyword / category sets of the sampled sessions from their written detail rows:
+        # no further pass over the action log
+        rows = spark.read.parquet(written["session_random_extract_detail"])
+        picked = attach_lists(sample.select("session_id", "start_time"), rows, max_broadcast_rows=total)
+        emit("session_random_extract", render_sessions(picked.select("session_id", "start_time", *LIST_COLUMNS)))
 
     def stats_chain() -> None:
         _, stat_all, stat_filtered = session_analysis(sessions, params.session_filter, actions)
