@@ -32,12 +32,12 @@ from clickpath.operators.filters import (
 )
 from clickpath.operators.sampling import DEFAULT_SEED, DEFAULT_TOTAL, sample_details, sample_sessions
 from clickpath.operators.sessions import (
+    BROADCAST_ROWS,
     LIST_COLUMNS,
     attach_lists,
     detail_record,
     full_sessions,
     render_sessions,
-    weighted_details,
 )
 from clickpath.operators.stats import aggr_stat
 from clickpath.session import checkpoint_dir, describe_jobs
@@ -120,11 +120,13 @@ def run_analyses(
     Returns output name → folder. ``task_id``, when given, is added as a
     column to every output, as the analysed job tagged its records.
 
-    After the shared session table is written, three independent chains
-    follow (sample, statistics, details → hot categories → active sessions).
-    With ``concurrent`` they are submitted from separate driver threads, which
-    Spark schedules as concurrent jobs sharing the executors; only job
-    submission happens on those threads, no data passes through them.
+    After the shared session table is written, the statistics and the
+    action-level chain run side by side; the latter draws the sample, writes
+    the filtered details and the sample's rows in one pass over the action
+    log, then builds the sample and category outputs side by side. With
+    ``concurrent`` independent chains are submitted from separate driver
+    threads, which Spark schedules as concurrent jobs sharing the executors;
+    only job submission happens on those threads, no data passes through them.
     """
     scratch = f"{checkpoint_dir(spark).rstrip('/')}/clickpath-{uuid.uuid4().hex}"
     actions = action_range(actions, params.start_date, params.end_date)
@@ -146,41 +148,69 @@ def run_analyses(
         spark, full_sessions(actions, users, params.dedupe_users, with_lists=False), f"{scratch}/sessions"
     )
 
-    def sample_chain() -> None:
-        total = params.sample_total
-        # the sample itself is at most `total` rows: written once, read by both outputs
-        describe_jobs(spark, "clickpath: sample")
-        sample = _materialize(spark, sample_sessions(sessions, total, params.sample_seed), f"{scratch}/sample")
-        emit("session_random_extract_detail", detail_record(sample_details(sample, actions, total)))
-        # keyword / category sets of the sampled sessions from their written detail rows:
-        # no further pass over the action log
-        rows = spark.read.parquet(written["session_random_extract_detail"])
-        picked = attach_lists(sample.select("session_id", "start_time"), rows, max_broadcast_rows=total)
-        emit("session_random_extract", render_sessions(picked.select("session_id", "start_time", *LIST_COLUMNS)))
-
     def stats_chain() -> None:
         _, stat_all, stat_filtered = session_analysis(sessions, params.session_filter, actions)
         emit("session_aggr_stat", stat_all)
         emit("session_aggr_stat_filtered", stat_filtered)
 
-    def category_chain() -> None:
+    def action_chain() -> None:
+        total = params.sample_total
+        # the sample is at most `total` rows: written once
+        describe_jobs(spark, "clickpath: sample")
+        sample = _materialize(spark, sample_sessions(sessions, total, params.sample_seed), f"{scratch}/sample")
         filtered = filter_sessions(sessions, params.session_filter, actions)
-        # one row per action of a passing session, weighted by how often the session is listed
+        # one pass over the action log for both the filtered sessions' details and the sample's rows
         describe_jobs(spark, "clickpath: details")
-        details = _materialize(spark, weighted_details(filtered, actions), f"{scratch}/details")
-        describe_jobs(spark, "clickpath: top categories")
-        hot = _materialize(spark, category_analysis(details, params.top_k), f"{scratch}/top_categories")
-        emit("top_categories", hot)
-        ranked, ranked_rows = active_session_analysis(details, hot, params.top_n, params.top_k)
-        emit("top_sessions", ranked)
-        emit("top_session_details", ranked_rows)
-
-    chains = [category_chain, sample_chain, stats_chain]
-    if concurrent:
-        with ThreadPoolExecutor(max_workers=len(chains), thread_name_prefix="clickpath") as pool:
-            for future in [pool.submit(chain) for chain in chains]:
-                future.result()  # re-raises the first failure
-    else:
-        for chain in chains:
-            chain()
+        rows = _materialize(spark, _details_and_sample_rows(filtered, sample, actions, total), f"{scratch}/details")
+        details = rows.where(F.col("copies").isNotNull()).drop("sample_copies")
+        sample_rows = rows.where(F.col("sample_copies").isNotNull()).drop("copies")
+
+        def sample_outputs() -> None:
+            emit("session_random_extract_detail", detail_record(sample_rows.withColumnRenamed("sample_copies", "copies")))
+            # keyword / category sets of the sampled sessions from their detail rows
+            picked = attach_lists(sample.select("session_id", "start_time"), sample_rows, max_broadcast_rows=total)
+            emit("session_random_extract", render_sessions(picked.select("session_id", "start_time", *LIST_COLUMNS)))
+
+        def category_outputs() -> None:
+            describe_jobs(spark, "clickpath: top categories")
+            hot = _materialize(spark, category_analysis(details, params.top_k), f"{scratch}/top_categories")
+            emit("top_categories", hot)
+            ranked, ranked_rows = active_session_analysis(details, hot, params.top_n, params.top_k)
+            emit("top_sessions", ranked)
+            emit("top_session_details", ranked_rows)
+
+        _run([category_outputs, sample_outputs], concurrent)
+
+    _run([action_chain, stats_chain], concurrent)
     return written
+
+
+def _run(steps, concurrent: bool) -> None:
+    """Run independent job chains, from separate driver threads when ``concurrent``."""
+    if not concurrent:
+        for step in steps:
+            step()
+        return
+    with ThreadPoolExecutor(max_workers=len(steps), thread_name_prefix="clickpath") as pool:
+        for future in [pool.submit(step) for step in steps]:
+            future.result()  # re-raises the first failure
+
+
+def _details_and_sample_rows(filtered: DataFrame, sample: DataFrame, actions: DataFrame, total: int) -> DataFrame:
+    """Actions of the filtered sessions (``copies`` set) and of the sampled ones
+    (``sample_copies`` set), in one pass over the action log.
+
+    ``copies`` / ``sample_copies`` count how often the session is listed among
+    the filtered sessions / in the sample; rows of neither are dropped. The
+    sample side has at most ``total`` rows and is broadcast; the copies side
+    is joined like in :func:`weighted_details` (two plain shuffles, so AQE can
+    split a hot session).
+    """
+    picked = sample.groupBy("session_id").agg(F.count(F.lit(1)).alias("sample_copies"))
+    if total <= BROADCAST_ROWS:
+        picked = F.broadcast(picked)
+    copies = filtered.groupBy("session_id", "user_id").agg(F.count(F.lit(1)).alias("copies")).select(
+        "session_id", "copies"
+    )
+    rows = actions.join(picked, "session_id", "left").join(copies, "session_id", "left")
+    return rows.where(F.col("copies").isNotNull() | F.col("sample_copies").isNotNull())
