@@ -6,10 +6,12 @@ P3  top-k hot categories by clicks, orders and payments
 P4  top-n active sessions of each hot category, with detail rows
 
 Each ``*_analysis`` function only builds DataFrames. ``run_analyses`` is the
-batch job: it materialises the two intermediates that several outputs read
-(enriched sessions, filtered details) as parquet in the shared checkpoint
-folder named by ``spark.checkpoint.dir``, which cuts their lineage, so a lost
-executor costs only its own tasks and nothing is recomputed per output.
+batch job: it reads the action log twice (the session aggregate; then the
+filtered details and the sample's rows in one pass) and materialises the
+intermediates that several outputs read (sessions, sample, details) as
+parquet in the shared checkpoint folder named by ``spark.checkpoint.dir``,
+which cuts their lineage, so a lost executor costs only its own tasks and
+nothing is recomputed per output.
 """
 
 from __future__ import annotations
