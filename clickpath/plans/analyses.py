@@ -8,7 +8,8 @@ P4  top-n active sessions of each hot category, with detail rows
 Each ``*_analysis`` function only builds DataFrames. ``run_analyses`` is the
 batch job: it reads the action log twice (the session aggregate; then the
 filtered details and the sample's rows in one pass) and materialises the
-intermediates that several outputs read (sessions, sample, details) as
+intermediates that several outputs read (sessions, filtered sessions, sample,
+details) as
 parquet in the shared checkpoint folder named by ``spark.checkpoint.dir``,
 which cuts their lineage, so a lost executor costs only its own tasks and
 nothing is recomputed per output.
@@ -150,17 +151,19 @@ def run_analyses(
         spark, full_sessions(actions, users, params.dedupe_users, with_lists=False), f"{scratch}/sessions"
     )
 
+    # filtered once (keyword / category conditions are semi joins with the actions)
+    describe_jobs(spark, "clickpath: filter")
+    filtered = _materialize(spark, filter_sessions(sessions, params.session_filter, actions), f"{scratch}/filtered")
+
     def stats_chain() -> None:
-        _, stat_all, stat_filtered = session_analysis(sessions, params.session_filter, actions)
-        emit("session_aggr_stat", stat_all)
-        emit("session_aggr_stat_filtered", stat_filtered)
+        emit("session_aggr_stat", aggr_stat(sessions))
+        emit("session_aggr_stat_filtered", aggr_stat(filtered))
 
     def action_chain() -> None:
         total = params.sample_total
         # the sample is at most `total` rows: written once
         describe_jobs(spark, "clickpath: sample")
         sample = _materialize(spark, sample_sessions(sessions, total, params.sample_seed), f"{scratch}/sample")
-        filtered = filter_sessions(sessions, params.session_filter, actions)
         # one pass over the action log for both the filtered sessions' details and the sample's rows
         describe_jobs(spark, "clickpath: details")
         rows = _materialize(spark, _details_and_sample_rows(filtered, sample, actions, total), f"{scratch}/details")
