@@ -176,3 +176,15 @@ def test_readme_example_and_cli_params(spark, tmp_path):
                 "--start-date", "2018-01-03", "--end-date", "2018-02-03", "--task-id", "1"])
     for name in ("top_categories", "session_aggr_stat"):
         assert _set(spark.read.parquet(cli[name])) == _set(spark.read.parquet(written[name]))
+
+
+def test_run_analyses_with_set_filters(spark, tmp_path):
+    from clickpath.operators import SessionFilter, aggr_stat, apply_filter
+    from clickpath.plans.catalog import _full
+
+    flt = SessionFilter(start_age=5, end_age=55, keywords=["kw1", "kw3", "kw5"], category_ids=list(range(0, 100, 2)))
+    out = run_analyses(spark, load_actions(spark, SF01), load_users(spark, SF01), str(tmp_path / "o"), AnalysisParams(session_filter=flt))
+    got = _set(spark.read.parquet(out["session_aggr_stat_filtered"]))
+    want = _set(aggr_stat(apply_filter(_full(spark, SF01), flt)))
+    assert got == want
+    assert spark.read.parquet(out["session_aggr_stat_filtered"]).first().session_count > 0
