@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpath.functions.dates import format_date, hour_text
-from clickpath.functions.numbers import int_div
 from clickpath.operators.sessions import BROADCAST_ROWS
 from clickpath.operators.topn import DEFAULT_SALT_BUCKETS, ranked_top
 
@@ -60,8 +59,9 @@ def hour_quotas(counts: DataFrame, total: int = DEFAULT_TOTAL) -> DataFrame:
     step gathers the table into one partition.
     """
     days = counts.select(F.count_distinct("date")).scalar().cast("long")
-    day_quota = int_div(F.lit(total).cast("long"), F.col("days"))
-    hour_quota = F.least(F.col("sessions"), int_div(F.col("sessions") * F.col("day_quota"), F.col("day_sessions")))
+    # `div` is Spark's exact integral division
+    day_quota = F.expr(f"CAST({int(total)} AS BIGINT) div days")
+    hour_quota = F.expr("least(sessions, (sessions * day_quota) div day_sessions)")
     return (
         counts.withColumn("day_sessions", F.sum("sessions").over(Window.partitionBy("date")))
         .withColumn("days", days)
