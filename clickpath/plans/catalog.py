@@ -43,6 +43,8 @@ from clickpath.operators import (
     aggr_stat,
     aggregate_sessions,
     apply_filter,
+    apply_filter_by_actions,
+    attach_lists,
     attach_users,
     category_counts,
     category_counts_by_joins,
@@ -195,6 +197,16 @@ def _filter_query(name: str) -> QueryFn:
     return run
 
 
+def q_filter_all_semi(spark, d):
+    """``filter_all`` the way the batch job filters: sessions aggregated without
+    their sets, keyword/category conditions as semi joins with the actions, sets
+    attached to the passing sessions afterwards."""
+    t = _Tables(spark, d)
+    lean = attach_users(aggregate_sessions(t.actions, with_lists=False), t.users)
+    passing = apply_filter_by_actions(lean, t.actions, FILTERS["filter_all"])
+    return render_sessions(attach_lists(passing, t.actions))
+
+
 # --- statistics -------------------------------------------------------------------
 def q_visit_length_hist(spark, d):
     return length_histogram(_full(spark, d), "visit")
@@ -444,6 +456,7 @@ QUERIES: dict[str, QueryFn] = {
     "session_agg": q_session_agg,
     "session_full": q_session_full,
     **{name: _filter_query(name) for name in FILTERS},
+    "filter_all_semi": q_filter_all_semi,
     "visit_length_hist": q_visit_length_hist,
     "visit_length_hist_scaled": q_visit_length_hist_scaled,
     "step_length_hist": q_step_length_hist,

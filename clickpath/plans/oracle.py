@@ -344,6 +344,7 @@ def build() -> dict[str, str]:
     for name, flt in C.FILTERS.items():
         sql[name] = base + _render(f"(SELECT * FROM session_full WHERE {_filter_sql(flt)})", FULL_RENDER_EXTRA)
 
+    sql["filter_all_semi"] = sql["filter_all"]
     sql["visit_length_hist"] = base[:-1] + _histogram("session_full", "visit_length", VISIT_LENGTH_BUCKETS)
     sql["visit_length_hist_scaled"] = base[:-1] + _histogram(
         "session_full", f"floor(visit_length / {C.SCALED_VISIT_DIVISOR})", VISIT_LENGTH_BUCKETS
