@@ -5,12 +5,13 @@ Usage: python scripts/skew_check.py SCRATCH_DIR [ACTION_ROWS] [GROUP_LIMIT_THRES
 With GROUP_LIMIT_THRESHOLD below the sample total (3000), the sample draw
 takes the salted two-phase path instead of the partial group limit.
 
-Generates a log where one session holds a third of all actions and a third of
-all sessions start in the same hour, runs the batch job with Spark's event
+Generates a log where one session holds a third of all actions, a third of
+all sessions start in the same hour and a third belong to one user, runs the batch job with Spark's event
 log written to SCRATCH_DIR, and prints per stage the number of tasks and the
 largest task's share of the stage's shuffle-read records. AQE's skew-join
 thresholds are lowered to this small size so its splitting shows (on a
-cluster the defaults apply to far larger partitions).
+cluster the defaults apply to far larger partitions), and size-based
+broadcasting is off so every join takes the shuffle path of large tables.
 """
 
 from __future__ import annotations
@@ -40,7 +41,8 @@ def skewed_actions(spark, rows: int):
     hour_time = F.concat(F.lit("2017-06-01 10:"), F.lpad((rid % 60).cast("string"), 2, "0"), F.lit(":00"))
     return (
         base.withColumn("session_id", F.when(hot_session, F.lit("HOT")).otherwise(session))
-        .withColumn("user_id", F.when(hot_session, F.lit(7)).otherwise(F.col("user_id")))
+        # the hot session's user, and a third of all other sessions, belong to user 7 (a hot user)
+        .withColumn("user_id", F.when(hot_session | (F.pmod(F.xxhash64(F.col("session_id")), F.lit(3)) == 1), F.lit(7)).otherwise(F.col("user_id")))
         .withColumn("action_time", F.when(hot_hour & ~hot_session, hour_time).otherwise(F.col("action_time")))
         .drop("_rid")
     )
@@ -85,6 +87,9 @@ def main() -> None:
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
             "spark.sql.optimizer.windowGroupLimitThreshold": threshold,
+            # tables as if large: no size-based broadcast, so joins take the shuffle path
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         },
     )
     write_parquet(skewed_actions(spark, rows), f"{scratch}/actions")
@@ -95,7 +100,7 @@ def main() -> None:
         read_actions(spark, f"{scratch}/actions"),
         read_users(spark, f"{scratch}/users"),
         f"{scratch}/result",
-        AnalysisParams(sample_total=3000, dedupe_users=True),
+        AnalysisParams(sample_total=3000, dedupe_users=os.environ.get("SKEW_DEDUPE", "0") == "1"),
     )
     job = time.perf_counter() - t0
     spark.stop()
