@@ -38,3 +38,44 @@ def test_top_k_sides_are_broadcast(spark):
     plan = _plan(spark, "top_session_details")
     assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
     assert plan.count("WindowGroupLimit") == 2
+
+
+def _smj_children_are_plain_shuffles(plan: str) -> bool:
+    """Every SortMergeJoin reads Sort(Exchange ...) on both sides (the shape AQE's skew split needs)."""
+    lines = plan.split("\n")
+    found = False
+    for i, line in enumerate(lines):
+        if "SortMergeJoin" not in line:
+            continue
+        found = True
+        depth = len(line) - len(line.lstrip(" :+-"))
+        kids = [j for j in range(i + 1, len(lines)) if len(lines[j]) - len(lines[j].lstrip(" :+-")) == depth + 3]
+        kids = [j for j in kids if lines[j].strip(" :").startswith(("+-", ":-"))][:2]
+        for j in kids:
+            if "Sort " not in lines[j] or "Exchange hashpartitioning" not in lines[j + 1]:
+                return False
+    return found
+
+
+def test_big_joins_keep_the_shape_for_skew_splitting(spark, tmp_path):
+    from clickpath.operators import full_sessions, sample_sessions
+    from clickpath.plans.analyses import AnalysisParams, _details_and_sample_rows, filter_sessions
+    from clickpath.sources.adapter import load_actions, load_users
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")  # large-table view
+        actions, users = load_actions(spark, SF01), load_users(spark, SF01)
+        sessions_df = full_sessions(actions, users, with_lists=False)
+        assert _smj_children_are_plain_shuffles(sessions_df._jdf.queryExecution().executedPlan().toString())
+        path = str(tmp_path / "s")
+        sessions_df.write.parquet(path)
+        sessions = spark.read.parquet(path)
+        p = AnalysisParams(sample_total=3000)
+        rows = _details_and_sample_rows(
+            filter_sessions(sessions, p.session_filter, actions), sample_sessions(sessions, 3000), actions, 3000
+        )
+        assert _smj_children_are_plain_shuffles(rows._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.set(key, old)
