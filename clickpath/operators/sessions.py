@@ -156,15 +156,40 @@ def dedupe_users(users: DataFrame) -> DataFrame:
     return users.groupBy("user_id").agg(best.alias("_u")).select("user_id", *[F.col(f"_u.{c}").alias(c) for c in others])
 
 
+# With de-duplicated users, a user holding at least this share of all sessions is
+# joined through a broadcast (at most 1 / HOT_USER_SHARE such users).
+HOT_USER_SHARE = 0.001
+
+
 def attach_users(sessions: DataFrame, users: DataFrame, dedupe: bool = False) -> DataFrame:
     """Inner join on ``user_id`` adding age, professional, city and sex.
 
     Sessions of unknown users drop out. Repeated user ids multiply the
     session row, as the analysed job does, unless ``dedupe`` is set.
+
+    Skew: without ``dedupe`` both join inputs are plain shuffles and AQE splits
+    a hot user's partition. The de-duplicated user table is an aggregate
+    already partitioned by ``user_id``, which AQE cannot split, so with
+    ``dedupe`` the hot users (at least ``HOT_USER_SHARE`` of the sessions each,
+    hence at most ``1 / HOT_USER_SHARE`` of them) are joined through a broadcast
+    of their rows and only the other sessions are shuffled. ``sessions`` is
+    then read several times: pass a materialised table.
     """
-    u = dedupe_users(users) if dedupe else users
     cols = [c for c in SESSION_COLUMNS if c in sessions.columns]
-    return sessions.join(u.select("user_id", *USER_ATTRIBUTES), "user_id", "inner").select(*cols, *USER_ATTRIBUTES)
+    if not dedupe:
+        return sessions.join(users.select("user_id", *USER_ATTRIBUTES), "user_id", "inner").select(
+            *cols, *USER_ATTRIBUTES
+        )
+    u = dedupe_users(users).select("user_id", *USER_ATTRIBUTES)
+    total = sessions.select(F.count(F.lit(1))).scalar()
+    per_user = sessions.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+    hot = F.broadcast(
+        per_user.where(F.col("_n") * F.lit(int(round(1 / HOT_USER_SHARE))) >= total).select("user_id")
+    )
+    hot_rows = F.broadcast(u.join(hot, "user_id", "left_semi"))
+    hot_part = sessions.join(hot, "user_id", "left_semi").join(hot_rows, "user_id", "inner")
+    cold_part = sessions.join(hot, "user_id", "left_anti").join(u, "user_id", "inner")
+    return hot_part.select(*cols, *USER_ATTRIBUTES).unionByName(cold_part.select(*cols, *USER_ATTRIBUTES))
 
 
 def full_sessions(actions: DataFrame, users: DataFrame, dedupe: bool = False, with_lists: bool = True) -> DataFrame:

@@ -37,7 +37,9 @@ from clickpath.operators.sampling import DEFAULT_SEED, DEFAULT_TOTAL, sample_det
 from clickpath.operators.sessions import (
     BROADCAST_ROWS,
     LIST_COLUMNS,
+    aggregate_sessions,
     attach_lists,
+    attach_users,
     detail_record,
     full_sessions,
     render_sessions,
@@ -147,9 +149,12 @@ def run_analyses(
     # sessions without their keyword / category sets: fixed-width aggregate,
     # filters on sets become semi joins, sets are built for sampled sessions only
     describe_jobs(spark, "clickpath: sessions")
-    sessions = _materialize(
-        spark, full_sessions(actions, users, params.dedupe_users, with_lists=False), f"{scratch}/sessions"
-    )
+    if params.dedupe_users:
+        # the hot-user split reads the session table several times: aggregate once
+        raw = _materialize(spark, aggregate_sessions(actions, with_lists=False), f"{scratch}/raw_sessions")
+        sessions = _materialize(spark, attach_users(raw, users, dedupe=True), f"{scratch}/sessions")
+    else:
+        sessions = _materialize(spark, full_sessions(actions, users, with_lists=False), f"{scratch}/sessions")
 
     # filtered once (keyword / category conditions are semi joins with the actions)
     describe_jobs(spark, "clickpath: filter")

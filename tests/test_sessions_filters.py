@@ -185,3 +185,24 @@ def test_first_user_mixed_key_paths(spark):
     full = df.unionByName(frac, allowMissingColumns=True)
     got = {r.session_id: r.user_id for r in aggregate_sessions(full, with_lists=False).collect()}
     assert got == {"p": 4, "q": 7, "r": big + 1, "s": 5, "t": -3, "u": 8, "v": 8}
+
+
+def test_dedupe_hot_user_split_equals_plain_dedupe_join(spark):
+    import random
+
+    from clickpath.operators import dedupe_users
+
+    rnd = random.Random(3)
+    rows = []
+    for i in range(3000):
+        sid = f"s{i % 1500}"
+        uid = 7 if i % 1500 < 600 else rnd.randint(100, 2000)  # user 7 holds 40% of the sessions
+        rows.append(action(sid, uid if i < 1500 else None, "2024-01-01 10:00:00"))
+    acts = make_actions(spark, rows)
+    users = make_users(spark, [user(7, age=a) for a in (50, 40, 45)] + [user(u, age=u % 60) for u in range(100, 2001) for _ in range(2)])
+    sessions = aggregate_sessions(acts, with_lists=False)
+    got = sorted(tuple(r) for r in attach_users(sessions, users, dedupe=True).collect())
+    plain = sessions.join(dedupe_users(users).select("user_id", "age", "professional", "city", "sex"), "user_id")
+    want = sorted(tuple(r) for r in plain.select(*sessions.columns, "age", "professional", "city", "sex").collect())
+    assert got == want and len(got) == 1500
+    assert {r[0] for r in got if r[1] == 7} and all(r[-4] == 40 for r in got if r[1] == 7)
