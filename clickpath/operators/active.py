@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickpath.operators.categories import CLICK, category_actions
 from clickpath.operators.filters import non_null
 from clickpath.operators.sessions import BROADCAST_ROWS, weight
 from clickpath.operators.topn import DEFAULT_SALT_BUCKETS, ranked_top
@@ -48,12 +49,14 @@ def top_sessions(
     hot_ids = hot.select("category_id")
     if k <= BROADCAST_ROWS:
         hot_ids = F.broadcast(hot_ids)
-    hot_clicks = details.join(hot_ids, details["click_category_id"] == hot_ids["category_id"], "left_semi")
-    counts = non_null(hot_clicks, "click_category_id").groupBy(
-        F.col("click_category_id").alias("category_id"), "session_id"
-    ).agg(
-        F.sum(weight(hot_clicks)).alias("click_count"),
-        F.max(weight(hot_clicks)).alias("copies"),  # the same on every row of a session
+    # clicks are read from the same exploded (category, kind) items as the category
+    # counts: when both come from one details table, its plans are identical up to
+    # the explode and Spark reuses their shuffles (the action log is shuffled once)
+    clicks = category_actions(details).where(F.col("kind") == CLICK)
+    hot_clicks = clicks.join(hot_ids, "category_id", "left_semi")
+    counts = hot_clicks.groupBy("category_id", "session_id").agg(
+        F.sum("copies").alias("click_count"),
+        F.max("copies").alias("copies"),  # the same on every row of a session
     )
     ranked = ranked_top(
         counts,
