@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 2, best run kept, after one untimed warm-up pass),
+BENCH_REPEAT (default 3, best run kept, after one untimed warm-up pass),
 BENCH_QUERIES (comma list, optional).
 Each query runs to completion through the ``noop`` sink (all rows are
 produced, nothing is collected on the driver). ``batch_job_sec`` is the
@@ -41,7 +41,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus, app_name="clickpath-bench")
 
