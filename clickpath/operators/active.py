@@ -39,20 +39,30 @@ def top_sessions(
     k: int = 10,
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
     keep_copies: bool = False,
+    share_items: bool = True,
 ) -> DataFrame:
     """Per hot category the ``n`` sessions with most clicks (ties: smaller session id).
 
     ``hot`` holds ``category_id`` and at most ``k`` rows (a top-k result).
     ``keep_copies`` keeps the ``copies`` weight of weighted details on each
     ranked row, so :func:`top_session_details` can read the raw actions.
+
+    ``share_items``: read the clicks from the same exploded (category, kind)
+    items as the category counts. When ``details`` is a plan that derives
+    from the action log, both branches are then identical up to the explode
+    and Spark reuses their shuffles (the action log is shuffled once). When
+    ``details`` is a written table there is nothing to share and a plain
+    filter on the click column is cheaper: pass ``False``.
     """
     hot_ids = hot.select("category_id")
     if k <= BROADCAST_ROWS:
         hot_ids = F.broadcast(hot_ids)
-    # clicks are read from the same exploded (category, kind) items as the category
-    # counts: when both come from one details table, its plans are identical up to
-    # the explode and Spark reuses their shuffles (the action log is shuffled once)
-    clicks = category_actions(details).where(F.col("kind") == CLICK)
+    if share_items:
+        clicks = category_actions(details).where(F.col("kind") == CLICK)
+    else:
+        clicks = non_null(details, "click_category_id").select(
+            "session_id", weight(details).alias("copies"), F.col("click_category_id").alias("category_id")
+        )
     hot_clicks = clicks.join(hot_ids, "category_id", "left_semi")
     counts = hot_clicks.groupBy("category_id", "session_id").agg(
         F.sum("copies").alias("click_count"),

@@ -101,7 +101,8 @@ def category_analysis(details: DataFrame, k: int = 10) -> DataFrame:
 
 def active_session_analysis(details: DataFrame, hot: DataFrame, n: int = 10, k: int = 10) -> tuple[DataFrame, DataFrame]:
     """P4: ``(ranked sessions per hot category, their action rows)``."""
-    ranked = top_sessions(details, hot, n, k, keep_copies=True)
+    # details are a written table in the batch job: nothing to share, filter directly
+    ranked = top_sessions(details, hot, n, k, keep_copies=True, share_items=False)
     rows = detail_record(top_session_details(ranked, details, n, k), "category_id")
     return ranked.drop("copies"), rows
 
