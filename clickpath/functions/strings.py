@@ -85,7 +85,10 @@ def kv_set(c: ColumnOrName, field: str, value: ColumnOrName, delimiter: str = "|
 def id_list(c: ColumnOrName) -> Column:
     """Comma-separated ids → ``array<bigint>``; empty and malformed ids are skipped.
 
-    Accepts a text list or a single integer column.
+    Accepts a text list or a single integer column. For per-row use where the
+    list must stay an array; the category counts instead explode the split
+    text and cast afterwards, which avoids lambda functions (they run outside
+    whole-stage codegen).
     """
     parts = F.split(_col(c).cast("string"), ",")
     ids = F.transform(parts, lambda p: p.try_cast("bigint"))
