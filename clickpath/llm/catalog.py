@@ -7,12 +7,28 @@ from pyspark.sql import DataFrame, SparkSession
 from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination_report
 from clickpath.llm.oracles import ORACLE_SQL  # noqa: F401 - read by the entry file
+from clickpath.llm.repeats import repeats_report
+from clickpath.llm.warc import archive_report
+
+
+#: payload bytes per archive shard (one sorted task and at least one file each)
+WARC_SHARD_BYTES = 16 << 20
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_report(spark, table(spark, sf_dir, "pages"), shard_bytes=WARC_SHARD_BYTES)
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op9_warc": op9_warc,
+    "op10_substring_dedup": op10_substring_dedup,
 }

@@ -36,7 +36,25 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM p LEFT JOIN f USING (payload_digest)
 """
 
+OP10_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (
+  SELECT doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM g),
+x AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM r WHERE k > 1)),
+kept AS (
+  SELECT u.doc_id, string_agg(u.word, ' ' ORDER BY u.p) AS t, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) u
+  ANTI JOIN x ON u.doc_id = x.doc_id AND u.p = x.p GROUP BY u.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLE_SQL = {
     "op1_decontaminate": OP1_SQL,
     "op9_warc": OP9_SQL,
+    "op10_substring_dedup": OP10_SQL,
 }
