@@ -8,6 +8,7 @@ from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination_report
 from clickpath.llm.oracles import ORACLE_SQL  # noqa: F401 - read by the entry file
 from clickpath.llm.repeats import repeats_report
+from clickpath.llm.suffix_dedup import suffix_report
 from clickpath.llm.warc import archive_report
 
 
@@ -19,6 +20,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_report(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_report(spark, table(spark, sf_dir, "pages"), shard_bytes=WARC_SHARD_BYTES)
 
@@ -29,6 +34,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_warc": op9_warc,
     "op10_substring_dedup": op10_substring_dedup,
 }

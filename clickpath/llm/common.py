@@ -8,7 +8,10 @@ only, so memory per task is bounded by ``max_bytes`` or the longest document.
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +26,27 @@ U64 = np.uint64
 
 # ---------------------------------------------------------------- session
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package (once per application), so that its
+    functions can be imported there even when it is not installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="clickpath-ship-"), "clickpath-package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)  # served by the driver to every executor
+    _shipped.add(sc.applicationId)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder name inside the shared ``spark.checkpoint.dir``."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -42,6 +66,7 @@ def tasks_for(spark: SparkSession) -> int:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -182,11 +207,11 @@ def window_starts(first_word: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarra
 
 
 def covered(starts: np.ndarray, length, total: int) -> np.ndarray:
-    """Flags of the positions covered by [s, s + length) for any start."""
-    delta = np.zeros(total + 1, np.int32)
-    np.add.at(delta, starts, 1)
-    np.add.at(delta, starts + length, -1)
-    return np.cumsum(delta[:total]) > 0
+    """Flags of the positions covered by [s, s + length) for any of the distinct starts."""
+    delta = np.zeros(total + 1, np.int8)
+    delta[starts] += 1
+    delta[starts + length] -= 1
+    return np.cumsum(delta[:total], dtype=np.int32) > 0
 
 
 def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
