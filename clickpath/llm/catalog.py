@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination_report
+from clickpath.llm.jaccard_join import near_duplicates
 from clickpath.llm.oracles import ORACLE_SQL  # noqa: F401 - read by the entry file
 from clickpath.llm.repeats import repeats_report
 from clickpath.llm.suffix_dedup import suffix_report
@@ -20,6 +21,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_report(table(spark, sf_dir, "documents"))
 
@@ -34,6 +39,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_warc": op9_warc,
     "op10_substring_dedup": op10_substring_dedup,
