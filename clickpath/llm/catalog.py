@@ -8,8 +8,10 @@ from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination_report
 from clickpath.llm.jaccard_join import near_duplicates
 from clickpath.llm.oracles import ORACLE_SQL  # noqa: F401 - read by the entry file
+from clickpath.llm.quality import quality_report
 from clickpath.llm.repeats import repeats_report
 from clickpath.llm.suffix_dedup import suffix_report
+from clickpath.llm.toxicity import toxicity_report
 from clickpath.llm.warc import archive_report
 
 
@@ -21,6 +23,14 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,6 +49,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op3_quality": op3_quality,
+    "op4_toxicity": op4_toxicity,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_warc": op9_warc,
