@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination_report
+from clickpath.llm.hash_forest import neighbours_report
 from clickpath.llm.jaccard_join import near_duplicates
 from clickpath.llm.oracles import ORACLE_SQL  # noqa: F401 - read by the entry file
 from clickpath.llm.quality import quality_report
@@ -35,6 +36,10 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours_report(table(spark, sf_dir, "embeddings"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_report(table(spark, sf_dir, "documents"))
 
@@ -52,6 +57,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_hash_forest": op6_hash_forest,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_warc": op9_warc,
     "op10_substring_dedup": op10_substring_dedup,
