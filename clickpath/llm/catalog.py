@@ -8,7 +8,9 @@ from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination_report
 from clickpath.llm.hash_forest import neighbours_report
 from clickpath.llm.jaccard_join import near_duplicates
+from clickpath.llm.mixing import mixing_report
 from clickpath.llm.oracles import ORACLE_SQL  # noqa: F401 - read by the entry file
+from clickpath.llm.personal_data import personal_data_report
 from clickpath.llm.quality import quality_report
 from clickpath.llm.repeats import repeats_report
 from clickpath.llm.suffix_dedup import suffix_report
@@ -24,6 +26,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_report(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,6 +46,10 @@ def op6_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours_report(table(spark, sf_dir, "embeddings"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_report(table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_report(table(spark, sf_dir, "documents"))
 
@@ -54,10 +64,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_personal_data": op2_personal_data,
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_hash_forest": op6_hash_forest,
+    "op7_mixing": op7_mixing,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_warc": op9_warc,
     "op10_substring_dedup": op10_substring_dedup,

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from clickpath.session import checkpoint_dir
 
@@ -75,6 +76,17 @@ def keep_rows(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*[docs[c] for c in columns])
 
 
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """All columns of ``docs`` as one struct ``row`` (so their names never clash with
+    an operator's own), beside copies of the named ones."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *[docs[c] for c in columns])
+
+
+def extended(df: DataFrame, columns, *fields: StructField) -> StructType:
+    """Schema of the named columns of ``df`` and further fields."""
+    return StructType([StructField(c, df.schema[c].dataType) for c in columns] + list(fields))
+
+
 def held_out(doc_id="doc_id"):
     """Rows whose crc32 of the id as text leaves remainder 1 modulo 3."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))

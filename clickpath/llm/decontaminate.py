@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from clickpath.llm.common import keep_rows, runs
+from clickpath.llm.common import extended, keep_rows, runs
 
 NGRAM = 13
 #: item words in one automaton; bounds the broadcast (about 200 bytes a word)
@@ -203,7 +204,12 @@ def _blocks(benchmark: DataFrame, n: int, block_words: int) -> Iterator[list[tup
         yield block
 
 
-_FOUND = "n_words long, items array<string>, hits array<struct<start:int,end:int>>, longest int"
+_FOUND = [
+    StructField("n_words", LongType()),
+    StructField("items", ArrayType(StringType())),
+    StructField("hits", ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())]))),
+    StructField("longest", IntegerType()),
+]
 
 
 def find_contamination(
@@ -211,32 +217,21 @@ def find_contamination(
     benchmark: DataFrame,
     n: int = NGRAM,
     block_words: int = BLOCK_WORDS,
+    keep: tuple[str, ...] = ("doc_id",),
     keep_text: bool = False,
 ) -> DataFrame:
-    """Per document: ``doc_id``, ``n_words``, ``items`` (ids with an occurring
+    """Per row the columns ``keep``, ``n_words``, ``items`` (ids with an occurring
     window), ``hits`` (maximal runs of hit words) and ``longest`` (words of the
     longest item match seen in runs long enough to hold a window)."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    empty = F.expr("cast(array() as array<struct<start:int,end:int>>)")
-    found = keep_rows(docs, "doc_id", "text").select(
-        "doc_id",
-        "text",
-        F.lit(0).cast("long").alias("n_words"),
-        F.expr("cast(array() as array<string>)").alias("items"),
-        empty.alias("hits"),
-        F.lit(0).alias("longest"),
-    )
+    found = keep_rows(docs, *keep, "text")
+    found = found.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in _FOUND])
+    schema = extended(found, [*keep, "text"], *_FOUND)
     sc = docs.sparkSession.sparkContext
     blocks = _blocks(benchmark, n, max(block_words, n))
-    first = next(blocks, [])
-    block: list | None = first
+    block: list | None = next(blocks, [])
     while block is not None:
-        shared = sc.broadcast(block)
         following = next(blocks, None)
-        found = found.mapInArrow(
-            _scanner(shared, n, keep_text or following is not None),
-            f"doc_id {id_type}, text string, {_FOUND}",
-        )
+        found = found.mapInArrow(_scanner(sc.broadcast(block), n, keep, keep_text or following is not None), schema)
         block = following
     return found if keep_text else found.drop("text")
 
@@ -244,7 +239,7 @@ def find_contamination(
 _automata: dict[str, ItemAutomaton] = {}
 
 
-def _scanner(shared, n: int, keep_text: bool):
+def _scanner(shared, n: int, keep: tuple[str, ...], keep_text: bool):
     key = uuid.uuid4().hex
 
     def scan(batches):
@@ -264,6 +259,7 @@ def _scanner(shared, n: int, keep_text: bool):
                 words = normal_words(text)
                 hit, found, most = automaton.scan(words)
                 n_words.append(len(words))
+                old_items, old_hits = old_items or [], old_hits or []
                 if hit is not None:
                     for old in old_hits:
                         hit[old["start"] : old["end"]] = True
@@ -273,18 +269,18 @@ def _scanner(shared, n: int, keep_text: bool):
                     old_items = sorted(ids.union(old_items))
                 items.append(old_items)
                 hits.append(old_hits)
-                longest.append(max(most, old_longest))
+                longest.append(max(most, old_longest or 0))
             spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    *(batch.column(c) for c in keep),
                     batch.column("text") if keep_text else pa.nulls(len(n_words), pa.string()),
                     pa.array(n_words, pa.int64()),
                     pa.array(items, pa.list_(pa.string())),
                     pa.array(hits, spans),
                     pa.array(longest, pa.int32()),
                 ],
-                ["doc_id", "text", "n_words", "items", "hits", "longest"],
+                [*keep, "text", "n_words", "items", "hits", "longest"],
             )
 
     return scan

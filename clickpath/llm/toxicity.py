@@ -26,11 +26,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField
 
 from clickpath.llm.common import (
     U64,
     byte_chunks,
     byte_table,
+    extended,
     held_out,
     keep_rows,
     materialize,
@@ -243,8 +245,7 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), ma
             scores = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(scores)], [*keep, "score"])
 
-    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(run, f"{schema}, score double")
+    return rows.mapInArrow(run, extended(rows, keep, StructField("score", DoubleType())))
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
