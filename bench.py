@@ -18,6 +18,7 @@ import re
 import sys
 import tempfile
 import time
+from statistics import median
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -51,13 +52,14 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
+    medians: dict[str, float] = {}
     for name in names:
-        best = float("inf")
+        took = []
         for _ in range(repeat):
             t0 = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            best = min(best, time.perf_counter() - t0)
-        times[name] = round(best, 3)
+            took.append(time.perf_counter() - t0)
+        times[name], medians[name] = round(min(took), 3), round(median(took), 3)
 
     batch = None
     if os.environ.get("BENCH_BATCH", "1") != "0":
@@ -75,6 +77,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "medians": medians,
                 "sf": sf,
                 "cpus": cpus,
                 "batch_job_sec": batch,

@@ -11,7 +11,6 @@ Layout
 ``operators``  session aggregation, filters, statistics, sampling, hot
                categories and active sessions.
 ``plans``      the four analyses composed end to end, and the query catalog.
-``streaming``  intentionally empty: the analysed job has no streaming part.
 """
 
 from clickpath.session import build_session, checkpoint_dir

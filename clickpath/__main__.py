@@ -13,7 +13,7 @@ import json
 
 from pyspark.sql import SparkSession
 
-from clickpath.operators.filters import SessionFilter
+from clickpath.operators.filters import SessionFilter, params_range
 from clickpath.plans.analyses import AnalysisParams, run_analyses
 from clickpath.sources.adapter import load_actions, load_users
 from clickpath.sources.tables import read_actions, read_users
@@ -37,8 +37,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--master", help="Spark master, when not given by the environment")
     p.add_argument("--start-date")
     p.add_argument("--end-date")
-    p.add_argument("--start-age", type=int, default=0)
-    p.add_argument("--end-age", type=int, default=100)
+    p.add_argument("--start-age", type=int, help="default 0")
+    p.add_argument("--end-age", type=int, help="default 100")
     p.add_argument("--professionals")
     p.add_argument("--cities")
     p.add_argument("--sex")
@@ -54,6 +54,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     args = p.parse_args(argv)
     if args.actions and not args.users:
         p.error("--actions needs --users")
+    single = ("start_date", "end_date", "start_age", "end_age", "professionals", "cities", "sex", "keywords", "category_ids")
+    if args.params is not None and any(getattr(args, name) is not None for name in single):
+        p.error("--params holds the whole filter: give no single filter option with it")
     return args
 
 
@@ -64,16 +67,18 @@ def main(argv=None) -> dict[str, str]:
         builder = builder.master(a.master)
     spark = builder.getOrCreate()
     if a.sf_dir:
-        actions = load_actions(spark, a.sf_dir, a.start_date, a.end_date)
+        actions = load_actions(spark, a.sf_dir)
         users = load_users(spark, a.sf_dir)
     else:
         actions, users = read_actions(spark, a.actions), read_users(spark, a.users)
+    start, end = a.start_date, a.end_date
     if a.params is not None:
         flt = SessionFilter.from_params(a.params)
+        start, end = params_range(a.params)
     else:
         flt = SessionFilter(
-            start_age=a.start_age,
-            end_age=a.end_age,
+            start_age=0 if a.start_age is None else a.start_age,
+            end_age=100 if a.end_age is None else a.end_age,
             professionals=_ints(a.professionals),
             cities=_ints(a.cities),
             sex=a.sex,
@@ -87,8 +92,8 @@ def main(argv=None) -> dict[str, str]:
         top_k=a.top_k,
         top_n=a.top_n,
         dedupe_users=a.dedupe_users,
-        start_date=a.start_date,
-        end_date=a.end_date,
+        start_date=start,
+        end_date=end,
     )
     written = run_analyses(spark, actions, users, a.out, params, a.task_id)
     print(json.dumps(written))

@@ -5,7 +5,6 @@ from clickpath.functions.dates import (
     before,
     date_hour,
     date_hour_text,
-    epoch_micros,
     format_date,
     format_date_key,
     format_time,
@@ -35,7 +34,6 @@ __all__ = [
     "before",
     "date_hour",
     "date_hour_text",
-    "epoch_micros",
     "format_date",
     "format_date_key",
     "format_double",

@@ -54,7 +54,7 @@ def parse_ntz(c: ColumnOrName, fmt: str) -> Column:
     return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(c, F.lit(fmt)))
 
 
-_TIME_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+_TIME_SHAPE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
 
 
 def parse_time(c: ColumnOrName) -> Column:
@@ -122,11 +122,6 @@ def date_hour_text(c: ColumnOrName) -> Column:
     return F.when(time_part.isNotNull(), F.concat(F.get(parts, 0), F.lit("_"), F.substring_index(time_part, ":", 1)))
 
 
-def epoch_micros(c: ColumnOrName) -> Column:
-    """Microseconds since 1970-01-01 00:00:00 of a ``timestamp_ntz`` (wall clock)."""
-    return F.timestamp_diff("MICROSECOND", ntz_literal("1970-01-01 00:00:00"), _col(c))
-
-
 def before(t1: ColumnOrName, t2: ColumnOrName) -> Column:
     """Text time ``t1`` strictly earlier than ``t2``; unparseable → false."""
     return F.coalesce(parse_time(t1) < parse_time(t2), F.lit(False))

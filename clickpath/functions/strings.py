@@ -28,7 +28,7 @@ def is_not_empty(c: ColumnOrName) -> Column:
 
 def trim_comma(c: ColumnOrName) -> Column:
     """Drop one leading and one trailing comma (both ends, when both exist)."""
-    return F.regexp_replace(_col(c), r"^,|,$", "")
+    return F.regexp_replace(_col(c), r"\A,|,\z", "")
 
 
 def pad_two(c: ColumnOrName) -> Column:
@@ -44,7 +44,7 @@ def _java_split(c: Column, delimiter: str) -> Column:
     keeps them; stripping trailing delimiters first gives Java's result.
     """
     quoted = re.escape(delimiter)
-    stripped = F.regexp_replace(c, f"(?:{quoted})+$", "")
+    stripped = F.regexp_replace(c, f"(?:{quoted})+\\z", "")
     # text made of delimiters only splits into no parts at all; "" into one
     only_delims = (F.length(c) > 0) & (stripped == F.lit(""))
     return F.when(only_delims, F.array().cast("array<string>")).otherwise(F.split(stripped, quoted))
@@ -59,7 +59,7 @@ def kv_get(c: ColumnOrName, field: str, delimiter: str = "|") -> Column:
     """
     pairs = F.transform(
         _java_split(_col(c), delimiter),
-        lambda frag: F.split(F.regexp_replace(frag, "=+$", ""), "="),
+        lambda frag: F.split(F.regexp_replace(frag, r"=+\z", ""), "="),
     )
     hits = F.filter(pairs, lambda p: (F.size(p) == 2) & (p.getItem(0) == F.lit(field)))
     return F.get(F.get(hits, 0), 1)
@@ -68,10 +68,10 @@ def kv_get(c: ColumnOrName, field: str, delimiter: str = "|") -> Column:
 def kv_set(c: ColumnOrName, field: str, value: ColumnOrName, delimiter: str = "|") -> Column:
     """Replace the first fragment named ``field`` by ``field=value``.
 
-    A missing field is not appended. The fragments are re-joined with ``|``
+    A missing field is not appended; a null value is written as ``null``. The fragments are re-joined with ``|``
     and trailing empty fragments are dropped, as Java's ``split`` does.
     """
-    value = F.lit(value) if isinstance(value, str) else value
+    value = F.coalesce(F.lit(value) if isinstance(value, str) else value, F.lit("null"))
     parts = _java_split(_col(c), delimiter)
     names = F.transform(parts, lambda frag: F.substring_index(frag, "=", 1))
     first = F.array_position(names, field)  # 1-based, 0 when absent
@@ -82,6 +82,12 @@ def kv_set(c: ColumnOrName, field: str, value: ColumnOrName, delimiter: str = "|
     return F.array_join(replaced, "|")
 
 
+def parse_id(c: ColumnOrName) -> Column:
+    """Text → ``bigint``; anything but an optional sign and digits (blanks included) → null."""
+    c = _col(c)
+    return F.when(c.rlike(r"\A[+-]?[0-9]+\z"), c.try_cast("bigint"))
+
+
 def id_list(c: ColumnOrName) -> Column:
     """Comma-separated ids → ``array<bigint>``; empty and malformed ids are skipped.
 
@@ -91,5 +97,5 @@ def id_list(c: ColumnOrName) -> Column:
     whole-stage codegen).
     """
     parts = F.split(_col(c).cast("string"), ",")
-    ids = F.transform(parts, lambda p: p.try_cast("bigint"))
+    ids = F.transform(parts, lambda p: parse_id(p))
     return F.filter(ids, lambda x: x.isNotNull())

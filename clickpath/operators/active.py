@@ -4,10 +4,8 @@ Plan shape: the hot categories are a top-k result, at most ``k`` rows, so
 they are broadcast into a left-semi join that drops every other click
 before anything is shuffled. Clicks per (category, session) are a hash
 aggregate with a map-side partial step. The per-category ranking is
-``topn.ranked_top``: a partial ``WindowGroupLimit`` before the shuffle (each
-task forwards at most ``n`` sessions per category), or a salted two-phase
-rank when ``n`` exceeds Spark's group-limit threshold, so a hot category
-never lands whole in one task. The detail
+``topn.ranked_top`` in a salted two-phase
+rank, so a hot category never lands whole in one task. The detail
 join takes the ranked sessions (at most ``k * n`` rows) as its broadcast side.
 """
 
@@ -19,8 +17,7 @@ from pyspark.sql import functions as F
 from clickpath.operators.categories import CLICK, category_actions
 from clickpath.operators.filters import non_null
 from clickpath.operators.sessions import BROADCAST_ROWS, weight
-from clickpath.operators.topn import DEFAULT_SALT_BUCKETS, ranked_top
-
+from clickpath.operators.topn import ranked_top
 
 
 def category_session_clicks(details: DataFrame) -> DataFrame:
@@ -37,7 +34,7 @@ def top_sessions(
     hot: DataFrame,
     n: int = 10,
     k: int = 10,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    salt_buckets: int | None = None,
     keep_copies: bool = False,
     share_items: bool = True,
 ) -> DataFrame:
@@ -83,6 +80,33 @@ def top_sessions(
     return ranked.select(*cols)
 
 
+def item_session_clicks(items: DataFrame) -> DataFrame:
+    """``(category_id, session_id, click_count)`` of ``categories.weighted_items``."""
+    return items.where(F.col("click_count") > 0).select(
+        "category_id", "session_id", (F.col("click_count") * F.col("copies")).alias("click_count")
+    )
+
+
+def top_item_sessions(items: DataFrame, hot: DataFrame, n: int = 10, k: int = 10, keep_copies: bool = False) -> DataFrame:
+    """:func:`top_sessions` from ``categories.weighted_items``: the items are one row per
+    (session, category) already, so only the ranking shuffles."""
+    hot_ids = hot.select("category_id")
+    if k <= BROADCAST_ROWS:
+        hot_ids = F.broadcast(hot_ids)
+    clicks = items.where(F.col("click_count") > 0).join(hot_ids, "category_id", "left_semi")
+    clicks = clicks.select("category_id", "session_id", (F.col("click_count") * F.col("copies")).alias("click_count"), "copies")
+    ranked = ranked_top(
+        clicks,
+        by=["category_id"],
+        order=[F.col("click_count").desc(), F.col("session_id").asc()],
+        max_rank=n,
+        rank_col="rank",
+        salt_key="session_id",
+    )
+    cols = ["category_id", "session_id", "click_count", "rank"]
+    return ranked.select(*cols, *(["copies"] if keep_copies else []))
+
+
 def top_session_details(ranked: DataFrame, source: DataFrame, n: int = 10, k: int = 10) -> DataFrame:
     """Detail rows of every ranked session, tagged with its category.
 

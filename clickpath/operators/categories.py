@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickpath.functions.strings import parse_id
 from clickpath.operators.filters import non_null
 from clickpath.operators.sessions import weight
 
@@ -50,7 +51,7 @@ def category_actions(details: DataFrame) -> DataFrame:
         .otherwise(F.lit(PAY))
     )
     return items.select(
-        "session_id", "copies", F.col("_id").try_cast("bigint").alias("category_id"), kind.alias("kind")
+        "session_id", "copies", parse_id("_id").alias("category_id"), kind.alias("kind")
     ).where(F.col("category_id").isNotNull())
 
 
@@ -70,7 +71,7 @@ def click_counts(details: DataFrame) -> DataFrame:
 def _list_counts(details: DataFrame, column: str, out: str) -> DataFrame:
     ids = non_null(details, column).select(weight(details).alias("copies"), F.explode(F.split(column, ",")).alias("_id"))
     return (
-        ids.select("copies", F.col("_id").try_cast("bigint").alias("category_id"))
+        ids.select("copies", parse_id("_id").alias("category_id"))
         .where(F.col("category_id").isNotNull())
         .groupBy("category_id")
         .agg(F.sum("copies").alias(out))
@@ -99,6 +100,57 @@ def category_counts(details: DataFrame) -> DataFrame:
     )
 
 
+def session_category_counts(actions: DataFrame) -> DataFrame:
+    """``(session_id, category_id, click_count, order_count, pay_count)`` of the raw log.
+
+    One hash aggregate with a map-side partial step, before any session join:
+    a session shrinks to one row per distinct category in every map task, so
+    no later count joins or shuffles raw actions by ``session_id``.
+    """
+    kind, zero = F.col("kind"), F.lit(0).cast("long")
+    count = lambda k, name: F.sum(F.when(kind == k, F.lit(1).cast("long")).otherwise(zero)).alias(name)
+    return (
+        category_actions(actions.drop("copies"))
+        .groupBy("session_id", "category_id")
+        .agg(count(CLICK, "click_count"), count(ORDER, "order_count"), count(PAY, "pay_count"))
+    )
+
+
+COUNT_COLUMNS = ["click_count", "order_count", "pay_count"]
+
+
+def weighted_items(sessions: DataFrame, counts: DataFrame) -> DataFrame:
+    """:func:`session_category_counts` of the given sessions, with ``copies`` = how often
+    the session is listed (counts are per listing).
+
+    Both join inputs are small: one row per listed session, and one row per
+    (session, category). The counts are shuffled by session once more, so the
+    join has plain shuffles and a hot session is at most one row per category.
+    """
+    key = ["session_id", "user_id"] if "user_id" in sessions.columns else ["session_id"]
+    copies = sessions.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).select("session_id", "copies")
+    return counts.join(copies, "session_id", "inner")
+
+
+def item_category_ids(items: DataFrame) -> DataFrame:
+    """Distinct categories of :func:`weighted_items`."""
+    return items.select("category_id").distinct()
+
+
+def item_counts(items: DataFrame, *columns: str) -> DataFrame:
+    """Counts per category of :func:`weighted_items`; for a single kind, only its categories."""
+    rows = items.where(F.col(columns[0]) > 0) if len(columns) == 1 else items
+    return rows.groupBy("category_id").agg(*[F.sum(F.col(c) * F.col("copies")).alias(c) for c in columns])
+
+
+def item_counts_by_joins(items: DataFrame) -> DataFrame:
+    """The same counts as distinct categories left-joined with each kind's counts."""
+    out = item_category_ids(items)
+    for name in COUNT_COLUMNS:
+        out = out.join(item_counts(items, name), "category_id", "left").withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long")))
+    return out.select("category_id", *COUNT_COLUMNS)
+
+
 def category_counts_by_joins(details: DataFrame) -> DataFrame:
     """The same counts as distinct categories left-joined with each per-kind count."""
     out = category_ids(details)

@@ -57,13 +57,10 @@ class SessionFilter:
 
         A fragment counts when it has exactly one ``=`` with text on both
         sides (after trailing ``=`` are dropped); the first fragment of a name
-        wins; list values are comma-separated. Unknown names are ignored.
+        wins; list values are comma-separated. Date names are left to
+        :func:`params_range`; any other name raises ``ValueError``.
         """
-        values: dict[str, str] = {}
-        for frag in (text or "").split("|"):
-            parts = frag.rstrip("=").split("=")
-            if len(parts) == 2 and parts[0] in PARAM_NAMES and parts[0] not in values:
-                values[parts[0]] = parts[1]
+        values = param_values(text)
 
         def ints(name):
             raw = values.get(name)
@@ -109,6 +106,25 @@ class SessionFilter:
 
 # Parameter names of the task parameter string (fixed values).
 PARAM_NAMES = ["startAge", "endAge", "professionals", "cities", "sex", "keywords", "categoryIds"]
+DATE_PARAM_NAMES = ["startDate", "endDate"]
+
+
+def param_values(text: str | None) -> dict[str, str]:
+    """Name → value of a task parameter string; an unknown name is an error."""
+    values: dict[str, str] = {}
+    for frag in (text or "").split("|"):
+        parts = frag.rstrip("=").split("=")
+        if parts[0] and parts[0] not in PARAM_NAMES + DATE_PARAM_NAMES:
+            raise ValueError(f"unknown parameter {parts[0]!r}; known: {', '.join(PARAM_NAMES + DATE_PARAM_NAMES)}")
+        if len(parts) == 2 and parts[0] not in values:
+            values[parts[0]] = parts[1]
+    return values
+
+
+def params_range(text: str | None) -> tuple[str | None, str | None]:
+    """``(startDate, endDate)`` of a task parameter string, for :func:`action_range`."""
+    values = param_values(text)
+    return values.get("startDate"), values.get("endDate")
 
 
 # The filter the analysed job runs with: age 0 to 100, nothing else.
@@ -136,6 +152,28 @@ def apply_filter(sessions: DataFrame, flt: SessionFilter = DEFAULT_FILTER) -> Da
     return sessions.where(flt.condition())
 
 
+def hit_flags(flt: SessionFilter) -> dict[str, Column]:
+    """One Boolean aggregate per condition on a session's actions: did any action match?
+
+    Fixed width whatever the session holds, so the session aggregate stays a
+    hash aggregate and the decision needs no second pass over the log.
+    """
+    flags = {}
+    if flt.keywords:
+        kw = F.col("search_keyword")
+        flags["keyword_hit"] = F.max(F.coalesce(kw.isin(list(flt.keywords)) & (kw != ""), F.lit(False)))
+    if flt.category_ids:
+        ids = [int(c) for c in flt.category_ids]
+        flags["category_hit"] = F.max(F.coalesce(F.col("click_category_id").isin(ids), F.lit(False)))
+    return flags
+
+
+def apply_filter_by_flags(sessions: DataFrame, flt: SessionFilter = DEFAULT_FILTER) -> DataFrame:
+    """:func:`apply_filter` for sessions aggregated with :func:`hit_flags`; drops the flags."""
+    flags = list(hit_flags(flt))
+    return sessions.where(reduce(lambda a, b: a & b, [F.col(c) for c in flags], flt.condition(lists=False))).drop(*flags)
+
+
 def apply_filter_by_actions(sessions: DataFrame, actions: DataFrame, flt: SessionFilter = DEFAULT_FILTER) -> DataFrame:
     """:func:`apply_filter` for sessions aggregated without their keyword and
     category sets: those two conditions become left-semi joins with the

@@ -15,9 +15,11 @@ the sessions.
 
 The draw is a ``row_number`` per (date, hour) bounded by ``total`` (every hour
 quota is at most the day quota, at most ``total``), run by
-``topn.ranked_top``: a partial ``WindowGroupLimit`` before the shuffle, or a
-salted two-phase rank for totals above Spark's group-limit threshold, so a
-hot hour (say a third of all sessions) never lands whole in one task.
+``topn.ranked_top``: a salted two-phase rank, so the sessions of a hot hour
+(say a third of all) are ranked by many tasks, and the last one reads at most
+the hour's quota from each of them. Pass sessions without their set columns
+(``aggregate_sessions(..., with_lists=False)``): the draw then moves
+fixed-width rows, and the sets are attached to the drawn sessions only.
 
 Detail rows of the sample join a side of at most ``total`` rows, a proven
 bound, so it is broadcast and the action log is never shuffled.
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from clickpath.functions.dates import format_date, hour_text
 from clickpath.operators.sessions import BROADCAST_ROWS
-from clickpath.operators.topn import DEFAULT_SALT_BUCKETS, ranked_top
+from clickpath.operators.topn import ranked_top
 
 DEFAULT_TOTAL = 100
 DEFAULT_SEED = "0"
@@ -75,7 +77,7 @@ def sample_sessions(
     sessions: DataFrame,
     total: int = DEFAULT_TOTAL,
     seed: str = DEFAULT_SEED,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """The sampled session rows (all input columns plus date, hour, draw rank)."""
     keyed = with_hour_key(sessions)

@@ -87,7 +87,7 @@ def _first_user(t: Column, user: Column) -> Column:
     )
 
 
-def aggregate_sessions(actions: DataFrame, with_lists: bool = True) -> DataFrame:
+def aggregate_sessions(actions: DataFrame, with_lists: bool = True, flags: dict[str, Column] | None = None) -> DataFrame:
     """One row per session.
 
     ``user_id``       user of the earliest action (ties: smallest id)
@@ -100,6 +100,7 @@ def aggregate_sessions(actions: DataFrame, with_lists: bool = True) -> DataFrame
     ``with_lists=False`` leaves out the two set columns: the aggregate is then
     a plain ``HashAggregate`` of fixed-width buffers, whatever the size of a
     session (see :func:`attach_lists` to add the sets to selected sessions).
+    ``flags`` are further aggregates by name (see ``filters.hit_flags``).
     """
     t = F.col("action_time")
     aggs = [
@@ -111,6 +112,9 @@ def aggregate_sessions(actions: DataFrame, with_lists: bool = True) -> DataFrame
     cols = [c for c in SESSION_COLUMNS if with_lists or c not in LIST_COLUMNS]
     if with_lists:
         aggs += _list_aggs()
+    for name, flag in (flags or {}).items():
+        aggs.append(flag.alias(name))
+        cols.append(name)
     return (
         actions.groupBy("session_id")
         .agg(*aggs)
@@ -175,7 +179,7 @@ def attach_users(sessions: DataFrame, users: DataFrame, dedupe: bool = False) ->
     of their rows and only the other sessions are shuffled. ``sessions`` is
     then read several times: pass a materialised table.
     """
-    cols = [c for c in SESSION_COLUMNS if c in sessions.columns]
+    cols = [c for c in sessions.columns if c not in USER_ATTRIBUTES]
     if not dedupe:
         return sessions.join(users.select("user_id", *USER_ATTRIBUTES), "user_id", "inner").select(
             *cols, *USER_ATTRIBUTES

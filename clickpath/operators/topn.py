@@ -1,18 +1,15 @@
 """Top rows per group that stay distributed when one group is huge.
 
 ``row_number() over (partition by g order by o) <= n`` sends each group to one
-task. Two plans keep a hot group (say a third of all rows) from landing whole
-in one task:
-
-* ``n`` up to ``spark.sql.optimizer.windowGroupLimitThreshold``: the filter
-  carries the literal bound, so Spark inserts a partial ``WindowGroupLimit``
-  before the shuffle and every map task forwards at most ``n`` rows per group.
-* larger ``n``: a salted two-phase top-n. Phase 1 ranks inside
-  (group, salt) buckets, ``salt = xxhash64(key) mod salt_buckets``, behind an
-  explicit exchange on all those columns (a partitioning on the group alone
-  would satisfy the window too and keep the hot group together), and keeps
-  each bucket's first ``n``. Phase 2 ranks the survivors per group. Every row
-  of the group's top ``n`` is in its bucket's top ``n``, so the result is exact.
+task. ``ranked_top`` ranks in two phases: first inside (group, salt) buckets,
+``salt = xxhash64(key) mod buckets``, behind an explicit exchange on all those
+columns (a partitioning on the group alone would satisfy the window too and
+keep the group together), keeping each bucket's first ``n`` (or the row's own
+``limit``); then among the survivors of each group. Every row of the group's
+top ``n`` is in its bucket's top ``n``, so the result is exact. There are as many
+buckets as shuffle partitions, so the first phase spreads as wide as the
+session allows, and the last task of a group reads at most ``buckets * n`` rows,
+however many tasks wrote them.
 """
 
 from __future__ import annotations
@@ -22,14 +19,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_SALT_BUCKETS = 64
-
-
-def group_limit_threshold(df: DataFrame) -> int:
-    try:
-        return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    except Exception:  # noqa: BLE001 - conf not readable (restricted session)
-        return 1000
+def salt_buckets_of(df: DataFrame) -> int:
+    """The session's number of shuffle partitions."""
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def ranked_top(
@@ -40,19 +32,19 @@ def ranked_top(
     rank_col: str = "rank",
     limit: Column | None = None,
     salt_key: str | None = None,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Rows whose ``row_number`` within ``by`` (ordered by ``order``) is at most
     ``max_rank`` and, when given, at most the per-row ``limit`` column (which
     must never exceed ``max_rank``). Adds ``rank_col``.
     """
-    if max_rank > group_limit_threshold(df) and salt_key is not None:
+    if salt_key is not None:
         bucket = Window.partitionBy(*by, "_salt").orderBy(*order)
         first = F.col("_r1") <= F.lit(max_rank)
         if limit is not None:
             first = first & (F.col("_r1") <= limit)
         df = (
-            df.withColumn("_salt", F.pmod(F.xxhash64(salt_key), F.lit(salt_buckets)))
+            df.withColumn("_salt", F.pmod(F.xxhash64(salt_key), F.lit(salt_buckets or salt_buckets_of(df))))
             .repartition(*by, "_salt")  # AQE may still coalesce small partitions
             .withColumn("_r1", F.row_number().over(bucket))
             .where(first)

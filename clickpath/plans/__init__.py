@@ -1,19 +1,5 @@
-"""Composed analyses, the registered query catalog and its SQL oracle."""
+"""The batch job, the registered query catalog and its SQL oracle."""
 
-from clickpath.plans.analyses import (
-    AnalysisParams,
-    active_session_analysis,
-    category_analysis,
-    run_analyses,
-    sample_analysis,
-    session_analysis,
-)
+from clickpath.plans.analyses import AnalysisParams, run_analyses
 
-__all__ = [
-    "AnalysisParams",
-    "active_session_analysis",
-    "category_analysis",
-    "run_analyses",
-    "sample_analysis",
-    "session_analysis",
-]
+__all__ = ["AnalysisParams", "run_analyses"]

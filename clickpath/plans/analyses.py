@@ -5,14 +5,14 @@ P2  random sample proportional to traffic per day and hour, with detail rows
 P3  top-k hot categories by clicks, orders and payments
 P4  top-n active sessions of each hot category, with detail rows
 
-Each ``*_analysis`` function only builds DataFrames. ``run_analyses`` is the
-batch job: it reads the action log twice (the session aggregate; then the
-filtered details and the sample's rows in one pass) and materialises the
-intermediates that several outputs read (sessions, filtered sessions, sample,
-details) as
-parquet in the shared checkpoint folder named by ``spark.checkpoint.dir``,
-which cuts their lineage, so a lost executor costs only its own tasks and
-nothing is recomputed per output.
+``run_analyses`` is the batch job. It reads the action log four times: the
+session aggregate (with the filter's flags), the counts per session and
+category, the rows of the sampled and the rows of the ranked sessions (both
+small broadcast sides). Intermediates that several outputs read (sessions,
+sample, items, ranked sessions) are written as Parquet in a folder of the run
+under ``spark.checkpoint.dir``, which cuts their lineage, and the folder
+is removed at the end, also on failure. No step copies the action log. A
+manifest of the outputs is written last.
 """
 
 from __future__ import annotations
@@ -24,30 +24,23 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpath.operators.active import top_session_details, top_sessions
-from clickpath.operators.categories import top_categories
+from clickpath.operators.active import top_item_sessions, top_session_details
+from clickpath.operators.categories import COUNT_COLUMNS, item_counts, rank_categories, session_category_counts, weighted_items
 from clickpath.operators.filters import (
     DEFAULT_FILTER,
     SessionFilter,
     action_range,
-    apply_filter,
-    apply_filter_by_actions,
+    apply_filter_by_flags,
+    hit_flags,
+    params_range,
 )
 from clickpath.operators.sampling import DEFAULT_SEED, DEFAULT_TOTAL, sample_details, sample_sessions
-from clickpath.operators.sessions import (
-    BROADCAST_ROWS,
-    LIST_COLUMNS,
-    aggregate_sessions,
-    attach_lists,
-    attach_users,
-    detail_record,
-    full_sessions,
-    render_sessions,
-)
+from clickpath.operators.sessions import LIST_COLUMNS, aggregate_sessions, attach_lists, attach_users, detail_record, render_sessions
 from clickpath.operators.stats import aggr_stat
-from clickpath.session import checkpoint_dir, describe_jobs
+from clickpath.session import checkpoint_dir, describe_jobs, remove_folder
 from clickpath.sources.sinks import write_parquet
 
+
 @dataclass(frozen=True)
 class AnalysisParams:
     session_filter: SessionFilter = field(default_factory=lambda: DEFAULT_FILTER)
@@ -59,52 +52,11 @@ class AnalysisParams:
     start_date: str | None = None  # inclusive action date range, yyyy-MM-dd
     end_date: str | None = None
 
-
-def filter_sessions(
-    sessions: DataFrame, flt: SessionFilter = DEFAULT_FILTER, actions: DataFrame | None = None
-) -> DataFrame:
-    """Sessions passing ``flt``. Sessions without their set columns need
-    ``actions`` for keyword and category conditions (semi joins)."""
-    if "keywords" in sessions.columns or actions is None:
-        return apply_filter(sessions, flt)
-    return apply_filter_by_actions(sessions, actions, flt)
-
-
-def session_analysis(
-    sessions: DataFrame, flt: SessionFilter = DEFAULT_FILTER, actions: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """P1: ``(filtered sessions, statistics of all sessions, statistics of the filtered)``."""
-    filtered = filter_sessions(sessions, flt, actions)
-    return filtered, aggr_stat(sessions), aggr_stat(filtered)
-
-
-def sample_analysis(
-    sessions: DataFrame, actions: DataFrame, total: int = DEFAULT_TOTAL, seed: str = DEFAULT_SEED
-) -> tuple[DataFrame, DataFrame]:
-    """P2: ``(sampled session records, their action rows)``; samples unfiltered sessions.
-
-    Set columns missing from ``sessions`` are built for the sampled sessions
-    only (at most ``total`` of them).
-    """
-    sample = sample_sessions(sessions, total, seed)
-    picked = sample.select("session_id", "start_time", *[c for c in LIST_COLUMNS if c in sample.columns])
-    if "keywords" not in picked.columns:
-        picked = attach_lists(picked, actions, max_broadcast_rows=total)
-    record = render_sessions(picked.select("session_id", "start_time", *LIST_COLUMNS))
-    return record, detail_record(sample_details(sample, actions, total))
-
-
-def category_analysis(details: DataFrame, k: int = 10) -> DataFrame:
-    """P3: top-k categories of the filtered sessions' actions."""
-    return top_categories(details, k)
-
-
-def active_session_analysis(details: DataFrame, hot: DataFrame, n: int = 10, k: int = 10) -> tuple[DataFrame, DataFrame]:
-    """P4: ``(ranked sessions per hot category, their action rows)``."""
-    # details are a written table in the batch job: nothing to share, filter directly
-    ranked = top_sessions(details, hot, n, k, keep_copies=True, share_items=False)
-    rows = detail_record(top_session_details(ranked, details, n, k), "category_id")
-    return ranked.drop("copies"), rows
+    @classmethod
+    def from_params(cls, text: str | None, **others) -> "AnalysisParams":
+        """The filter and the date range of a task parameter string."""
+        start, end = params_range(text)
+        return cls(session_filter=SessionFilter.from_params(text), start_date=start, end_date=end, **others)
 
 
 def _materialize(spark: SparkSession, df: DataFrame, folder: str) -> DataFrame:
@@ -126,15 +78,25 @@ def run_analyses(
     Returns output name → folder. ``task_id``, when given, is added as a
     column to every output, as the analysed job tagged its records.
 
-    After the shared session table is written, the statistics and the
-    action-level chain run side by side; the latter draws the sample, writes
-    the filtered details and the sample's rows in one pass over the action
-    log, then builds the sample and category outputs side by side. With
+    After the shared session table is written, the statistics, the sample and
+    the category chain run side by side. With
     ``concurrent`` independent chains are submitted from separate driver
     threads, which Spark schedules as concurrent jobs sharing the executors;
     only job submission happens on those threads, no data passes through them.
     """
-    scratch = f"{checkpoint_dir(spark).rstrip('/')}/clickpath-{uuid.uuid4().hex}"
+    run_id = uuid.uuid4().hex
+    scratch = f"{checkpoint_dir(spark).rstrip('/')}/clickpath-{run_id}"
+    try:
+        written = _run_analyses(spark, actions, users, out_dir, params, task_id, concurrent, scratch)
+        # the completion mark comes last: outputs without this run's manifest are not whole
+        manifest = [(run_id, name, path) for name, path in sorted(written.items())]
+        write_parquet(spark.createDataFrame(manifest, "run string, output string, path string").coalesce(1), f"{out_dir.rstrip('/')}/_manifest")
+    finally:
+        remove_folder(spark, scratch)
+    return written
+
+
+def _run_analyses(spark, actions, users, out_dir, params, task_id, concurrent, scratch) -> dict[str, str]:
     actions = action_range(actions, params.start_date, params.end_date)
     out = out_dir.rstrip("/")
     written: dict[str, str] = {}
@@ -147,52 +109,48 @@ def run_analyses(
         write_parquet(df, path)
         written[name] = path
 
-    # sessions without their keyword / category sets: fixed-width aggregate,
-    # filters on sets become semi joins, sets are built for sampled sessions only
+    # sessions without their keyword / category sets: fixed-width aggregate whose
+    # flags decide the filter; sets are built for sampled sessions only
     describe_jobs(spark, "clickpath: sessions")
+    flags = hit_flags(params.session_filter)
     if params.dedupe_users:
         # the hot-user split reads the session table several times: aggregate once
-        raw = _materialize(spark, aggregate_sessions(actions, with_lists=False), f"{scratch}/raw_sessions")
+        raw = _materialize(spark, aggregate_sessions(actions, False, flags), f"{scratch}/raw_sessions")
         sessions = _materialize(spark, attach_users(raw, users, dedupe=True), f"{scratch}/sessions")
     else:
-        sessions = _materialize(spark, full_sessions(actions, users, with_lists=False), f"{scratch}/sessions")
-
-    # filtered once (keyword / category conditions are semi joins with the actions)
-    describe_jobs(spark, "clickpath: filter")
-    filtered = _materialize(spark, filter_sessions(sessions, params.session_filter, actions), f"{scratch}/filtered")
+        sessions = _materialize(spark, attach_users(aggregate_sessions(actions, False, flags), users), f"{scratch}/sessions")
+    filtered = apply_filter_by_flags(sessions, params.session_filter)
 
     def stats_chain() -> None:
         emit("session_aggr_stat", aggr_stat(sessions))
         emit("session_aggr_stat_filtered", aggr_stat(filtered))
 
-    def action_chain() -> None:
+    def sample_chain() -> None:
         total = params.sample_total
         # the sample is at most `total` rows: written once
         describe_jobs(spark, "clickpath: sample")
-        sample = _materialize(spark, sample_sessions(sessions, total, params.sample_seed), f"{scratch}/sample")
-        # one pass over the action log for both the filtered sessions' details and the sample's rows
-        describe_jobs(spark, "clickpath: details")
-        rows = _materialize(spark, _details_and_sample_rows(filtered, sample, actions, total), f"{scratch}/details")
-        details = rows.where(F.col("copies").isNotNull()).drop("sample_copies")
-        sample_rows = rows.where(F.col("sample_copies").isNotNull()).drop("copies")
-
-        def sample_outputs() -> None:
-            emit("session_random_extract_detail", detail_record(sample_rows.withColumnRenamed("sample_copies", "copies")))
-            # keyword / category sets of the sampled sessions from their detail rows
-            picked = attach_lists(sample.select("session_id", "start_time"), sample_rows, max_broadcast_rows=total)
-            emit("session_random_extract", render_sessions(picked.select("session_id", "start_time", *LIST_COLUMNS)))
-
-        def category_outputs() -> None:
-            describe_jobs(spark, "clickpath: top categories")
-            hot = _materialize(spark, category_analysis(details, params.top_k), f"{scratch}/top_categories")
-            emit("top_categories", hot)
-            ranked, ranked_rows = active_session_analysis(details, hot, params.top_n, params.top_k)
-            emit("top_sessions", ranked)
-            emit("top_session_details", ranked_rows)
-
-        _run([category_outputs, sample_outputs], concurrent)
-
-    _run([action_chain, stats_chain], concurrent)
+        sample = _materialize(spark, sample_sessions(sessions.drop(*flags), total, params.sample_seed), f"{scratch}/sample")
+        rows = _materialize(spark, sample_details(sample, actions, total), f"{scratch}/sample_rows")
+        emit("session_random_extract_detail", detail_record(rows))
+        # keyword / category sets of the sampled sessions from their own rows
+        picked = attach_lists(sample.select("session_id", "start_time"), rows, max_broadcast_rows=total)
+        emit("session_random_extract", render_sessions(picked.select("session_id", "start_time", *LIST_COLUMNS)))
+
+    def category_chain() -> None:
+        # one row per (session, category) instead of a copy of the action log
+        describe_jobs(spark, "clickpath: items")
+        items = _materialize(spark, weighted_items(filtered, session_category_counts(actions)), f"{scratch}/items")
+        describe_jobs(spark, "clickpath: top categories")
+        hot = rank_categories(item_counts(items, *COUNT_COLUMNS), params.top_k)
+        hot = _materialize(spark, hot, f"{scratch}/top_categories")
+        emit("top_categories", hot)
+        ranked = top_item_sessions(items, hot, params.top_n, params.top_k, keep_copies=True)
+        ranked = _materialize(spark, ranked, f"{scratch}/ranked")
+        emit("top_sessions", ranked.drop("copies"))
+        rows = top_session_details(ranked, actions, params.top_n, params.top_k)
+        emit("top_session_details", detail_record(rows, "category_id"))
+
+    _run([category_chain, sample_chain, stats_chain], concurrent)
     return written
 
 
@@ -205,23 +163,3 @@ def _run(steps, concurrent: bool) -> None:
     with ThreadPoolExecutor(max_workers=len(steps), thread_name_prefix="clickpath") as pool:
         for future in [pool.submit(step) for step in steps]:
             future.result()  # re-raises the first failure
-
-
-def _details_and_sample_rows(filtered: DataFrame, sample: DataFrame, actions: DataFrame, total: int) -> DataFrame:
-    """Actions of the filtered sessions (``copies`` set) and of the sampled ones
-    (``sample_copies`` set), in one pass over the action log.
-
-    ``copies`` / ``sample_copies`` count how often the session is listed among
-    the filtered sessions / in the sample; rows of neither are dropped. The
-    sample side has at most ``total`` rows and is broadcast; the copies side
-    is joined like in :func:`weighted_details` (two plain shuffles, so AQE can
-    split a hot session).
-    """
-    picked = sample.groupBy("session_id").agg(F.count(F.lit(1)).alias("sample_copies"))
-    if total <= BROADCAST_ROWS:
-        picked = F.broadcast(picked)
-    copies = filtered.groupBy("session_id", "user_id").agg(F.count(F.lit(1)).alias("copies")).select(
-        "session_id", "copies"
-    )
-    rows = actions.join(picked, "session_id", "left").join(copies, "session_id", "left")
-    return rows.where(F.col("copies").isNotNull() | F.col("sample_copies").isNotNull())

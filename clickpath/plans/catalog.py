@@ -37,6 +37,7 @@ from clickpath.functions import (
     yesterday,
 )
 from clickpath.operators import (
+    COUNT_COLUMNS,
     DEFAULT_FILTER,
     SessionFilter,
     action_range,
@@ -46,27 +47,29 @@ from clickpath.operators import (
     apply_filter_by_actions,
     attach_lists,
     attach_users,
-    category_counts,
-    category_counts_by_joins,
-    category_ids,
-    category_session_clicks,
-    click_counts,
+    apply_filter_by_flags,
     detail_record,
+    hit_flags,
     hour_counts,
     hour_quotas,
+    item_category_ids,
+    item_counts,
+    item_counts_by_joins,
+    item_session_clicks,
     length_histogram,
-    order_counts,
-    pay_counts,
+    params_range,
+    rank_categories,
     render_sessions,
     sample_details,
     sample_sessions,
+    session_category_counts,
     session_counters,
-    session_details,
-    top_categories,
+    top_item_sessions,
     top_session_details,
-    top_sessions,
     weighted_details,
+    weighted_items,
 )
+from clickpath.operators.sessions import SESSION_COLUMNS, USER_ATTRIBUTES
 from clickpath.schemas import ACTION_COLUMNS
 from clickpath.sources.adapter import load_actions, load_products, load_users
 
@@ -85,6 +88,7 @@ FILTERS = {
         start_age=10, end_age=50, sex="male", keywords=["kw2", "kw3", "kw4", "kw5"], category_ids=list(range(0, 100, 3))
     ),
 }
+PARAMS = "startDate=2024-01-08|endDate=2024-01-21|startAge=10|endAge=50|sex=male|keywords=kw2,kw3,kw4,kw5"
 STAT_FILTER = SessionFilter(start_age=10, end_age=50, sex="female")
 SAMPLE_TOTAL = 3000
 SAMPLE_SEED = "7"
@@ -130,10 +134,20 @@ class _Tables:
     def full(self) -> DataFrame:
         return attach_users(self.sessions, self.users)
 
+    @cached_property
+    def lean(self) -> DataFrame:
+        """:attr:`full` without the set columns: a fixed-width hash aggregate."""
+        return attach_users(aggregate_sessions(self.actions, with_lists=False), self.users)
+
     @cached_property
     def details(self) -> DataFrame:
         """Actions of the sessions passing the default filter, weighted by ``copies``."""
-        return weighted_details(apply_filter(self.full, DEFAULT_FILTER), self.actions)
+        return weighted_details(apply_filter(self.lean, DEFAULT_FILTER), self.actions)
+
+    @cached_property
+    def items(self) -> DataFrame:
+        """Counts per (session, category) of the sessions passing the default filter."""
+        return weighted_items(apply_filter(self.lean, DEFAULT_FILTER), session_category_counts(self.actions))
 
 
 def _actions(spark, d, start=None, end=None):
@@ -148,10 +162,18 @@ def _full(spark, d):
     return _Tables(spark, d).full
 
 
+def _lean(spark, d):
+    return _Tables(spark, d).lean
+
+
 def _details(spark, d):
     return _Tables(spark, d).details
 
 
+def _items(spark, d):
+    return _Tables(spark, d).items
+
+
 def _render_actions(df: DataFrame) -> DataFrame:
     return df.select(*[format_time(c).alias(c) if c == "action_time" else F.col(c) for c in ACTION_COLUMNS])
 
@@ -189,9 +211,17 @@ def q_session_full(spark, d):
     return render_sessions(_full(spark, d))
 
 
+def _filtered(spark, d, flt: SessionFilter) -> DataFrame:
+    """One pass over the log decides (flags in the session aggregate); the sets are
+    built for the passing sessions only."""
+    t = _Tables(spark, d)
+    flagged = attach_users(aggregate_sessions(t.actions, False, hit_flags(flt)), t.users)
+    return render_sessions(attach_lists(apply_filter_by_flags(flagged, flt), t.actions).select(*SESSION_COLUMNS, *USER_ATTRIBUTES))
+
+
 def _filter_query(name: str) -> QueryFn:
     def run(spark, d):
-        return render_sessions(apply_filter(_full(spark, d), FILTERS[name]))
+        return _filtered(spark, d, FILTERS[name])
 
     run.__name__ = f"q_{name}"
     return run
@@ -204,21 +234,30 @@ def q_filter_all_semi(spark, d):
     t = _Tables(spark, d)
     lean = attach_users(aggregate_sessions(t.actions, with_lists=False), t.users)
     passing = apply_filter_by_actions(lean, t.actions, FILTERS["filter_all"])
-    return render_sessions(attach_lists(passing, t.actions))
+    return render_sessions(attach_lists(passing, t.actions).select(*SESSION_COLUMNS, *USER_ATTRIBUTES))
+
+
+def q_filter_params(spark, d):
+    """Filter and date range read from a task parameter string."""
+    t = _Tables(spark, d)
+    flt, (start, end) = SessionFilter.from_params(PARAMS), params_range(PARAMS)
+    actions = action_range(t.actions, start, end)
+    flagged = attach_users(aggregate_sessions(actions, False, hit_flags(flt)), t.users)
+    return render_sessions(apply_filter_by_flags(flagged, flt))
 
 
 # --- statistics -------------------------------------------------------------------
 def q_visit_length_hist(spark, d):
-    return length_histogram(_full(spark, d), "visit")
+    return length_histogram(_lean(spark, d), "visit")
 
 
 def q_visit_length_hist_scaled(spark, d):
     v = F.floor(F.col("visit_length") / SCALED_VISIT_DIVISOR)
-    return length_histogram(_full(spark, d), "visit", v)
+    return length_histogram(_lean(spark, d), "visit", v)
 
 
 def q_step_length_hist(spark, d):
-    return length_histogram(_full(spark, d), "step")
+    return length_histogram(_lean(spark, d), "step")
 
 
 def q_step_length_hist_by_user(spark, d):
@@ -228,28 +267,30 @@ def q_step_length_hist_by_user(spark, d):
 
 
 def q_aggr_stat_all(spark, d):
-    return aggr_stat(_full(spark, d))
+    return aggr_stat(_lean(spark, d))
 
 
 def q_aggr_stat_filtered(spark, d):
-    return aggr_stat(apply_filter(_full(spark, d), STAT_FILTER))
+    return aggr_stat(apply_filter(_lean(spark, d), STAT_FILTER))
 
 
 def q_session_counters(spark, d):
-    return session_counters(_full(spark, d))
+    return session_counters(_lean(spark, d))
 
 
 # --- sampling ---------------------------------------------------------------------
 def q_hour_counts(spark, d):
-    return hour_counts(_full(spark, d))
+    return hour_counts(_lean(spark, d))
 
 
 def q_sample_quota(spark, d):
-    return hour_quotas(hour_counts(_full(spark, d)), SAMPLE_TOTAL)
+    return hour_quotas(hour_counts(_lean(spark, d)), SAMPLE_TOTAL)
 
 
 def _sample(spark, d):
-    return sample_sessions(_full(spark, d), SAMPLE_TOTAL, SAMPLE_SEED)
+    t = _Tables(spark, d)
+    drawn = sample_sessions(t.lean, SAMPLE_TOTAL, SAMPLE_SEED)
+    return attach_lists(drawn, t.actions, max_broadcast_rows=SAMPLE_TOTAL)
 
 
 def q_sample_sessions(spark, d):
@@ -259,55 +300,56 @@ def q_sample_sessions(spark, d):
 
 def q_sample_details(spark, d):
     t = _Tables(spark, d)
-    return detail_record(sample_details(sample_sessions(t.full, SAMPLE_TOTAL, SAMPLE_SEED), t.actions, SAMPLE_TOTAL))
+    return detail_record(sample_details(sample_sessions(t.lean, SAMPLE_TOTAL, SAMPLE_SEED), t.actions, SAMPLE_TOTAL))
 
 
 # --- details, categories, active sessions -------------------------------------------
 def q_session_details(spark, d):
     t = _Tables(spark, d)
-    return detail_record(session_details(apply_filter(t.full, DEFAULT_FILTER), t.actions))
+    return detail_record(t.details)
 
 
 def q_category_ids(spark, d):
-    return category_ids(_details(spark, d))
+    return item_category_ids(_items(spark, d))
 
 
 def q_click_counts(spark, d):
-    return click_counts(_details(spark, d))
+    return item_counts(_items(spark, d), "click_count")
 
 
 def q_order_counts(spark, d):
-    return order_counts(_details(spark, d))
+    return item_counts(_items(spark, d), "order_count")
 
 
 def q_pay_counts(spark, d):
-    return pay_counts(_details(spark, d))
+    return item_counts(_items(spark, d), "pay_count")
 
 
 def q_category_counts(spark, d):
-    return category_counts(_details(spark, d))
+    return item_counts(_items(spark, d), *COUNT_COLUMNS)
 
 
 def q_category_counts_joined(spark, d):
-    return category_counts_by_joins(_details(spark, d))
+    return item_counts_by_joins(_items(spark, d))
 
 
 def q_top_categories(spark, d):
-    return top_categories(_details(spark, d), TOP_K)
+    return rank_categories(item_counts(_items(spark, d), *COUNT_COLUMNS), TOP_K)
 
 
 def q_category_session_clicks(spark, d):
-    return category_session_clicks(_details(spark, d))
+    return item_session_clicks(_items(spark, d))
 
 
 def q_top_sessions(spark, d):
-    details = _details(spark, d)
-    return top_sessions(details, top_categories(details, TOP_K), TOP_N, TOP_K)
+    items = _items(spark, d)
+    return top_item_sessions(items, rank_categories(item_counts(items, *COUNT_COLUMNS), TOP_K), TOP_N, TOP_K)
 
 
 def q_top_session_details(spark, d):
     t = _Tables(spark, d)
-    ranked = top_sessions(t.details, top_categories(t.details, TOP_K), TOP_N, TOP_K, keep_copies=True)
+    hot = rank_categories(item_counts(t.items, *COUNT_COLUMNS), TOP_K)
+    ranked = top_item_sessions(t.items, hot, TOP_N, TOP_K, keep_copies=True)
     # ranked sessions carry their copies: their rows come from the action log directly
     return detail_record(top_session_details(ranked, t.actions, TOP_N, TOP_K), "category_id")
 
@@ -397,7 +439,7 @@ def q_time_minus(spark, d):
 
 
 def q_date_keys(spark, d):
-    s = _full(spark, d)
+    s = _lean(spark, d)
     key = format_date_key("start_time")
     return s.select(
         "session_id",
@@ -439,12 +481,13 @@ def q_format_double(spark, d):
 
 
 def q_relative_dates(spark, d):
-    s = _full(spark, d)
+    s = _lean(spark, d)
     return s.select(
         "session_id",
         today().alias("today"),
         yesterday().alias("yesterday"),
-        F.datediff(today(), F.to_date("start_time")).alias("days_ago"),
+        F.datediff(today(), yesterday()).cast("long").alias("gap"),
+        F.datediff(today(), F.to_date("start_time")).cast("long").alias("days_ago"),
     )
 
 
@@ -457,6 +500,7 @@ QUERIES: dict[str, QueryFn] = {
     "session_full": q_session_full,
     **{name: _filter_query(name) for name in FILTERS},
     "filter_all_semi": q_filter_all_semi,
+    "filter_params": q_filter_params,
     "visit_length_hist": q_visit_length_hist,
     "visit_length_hist_scaled": q_visit_length_hist_scaled,
     "step_length_hist": q_step_length_hist,

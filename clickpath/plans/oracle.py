@@ -8,6 +8,7 @@ query of the same name in ``plans.catalog``.
 
 from __future__ import annotations
 
+from clickpath.operators.filters import SessionFilter
 from clickpath.plans import catalog as C
 from clickpath.schemas import STEP_LENGTH_BUCKETS, VISIT_LENGTH_BUCKETS
 
@@ -345,6 +346,22 @@ def build() -> dict[str, str]:
         sql[name] = base + _render(f"(SELECT * FROM session_full WHERE {_filter_sql(flt)})", FULL_RENDER_EXTRA)
 
     sql["filter_all_semi"] = sql["filter_all"]
+    ranged = _with(
+        _actions_cte(),
+        f"ranged AS (SELECT * FROM actions WHERE date BETWEEN '{C.RANGE_START}' AND '{C.RANGE_END}')",
+        USERS_CTE,
+        _sessions_cte("sessions", "ranged"),
+        FULL_CTE,
+    )
+    sql["filter_params"] = ranged + (
+        f"SELECT session_id, user_id, {_t('start_time')} AS start_time, {_t('end_time')} AS end_time, visit_length, step_length, "
+        f"{FULL_RENDER_EXTRA} FROM session_full WHERE {_filter_sql(SessionFilter.from_params(C.PARAMS))}"
+    )
+    sql["relative_dates"] = base + (
+        "SELECT session_id, current_date AS today, current_date - 1 AS yesterday, "
+        "date_diff('day', current_date - 1, current_date) AS gap, "
+        "date_diff('day', CAST(start_time AS DATE), current_date) AS days_ago FROM session_full"
+    )
     sql["visit_length_hist"] = base[:-1] + _histogram("session_full", "visit_length", VISIT_LENGTH_BUCKETS)
     sql["visit_length_hist_scaled"] = base[:-1] + _histogram(
         "session_full", f"floor(visit_length / {C.SCALED_VISIT_DIVISOR})", VISIT_LENGTH_BUCKETS

@@ -90,10 +90,7 @@ PRODUCT_SCHEMA = T.StructType(
 PRODUCT_COLUMNS = [f.name for f in PRODUCT_SCHEMA.fields]
 
 # Formats of the text times and dates.
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-DATE_FORMAT = "yyyy-MM-dd"
 DATE_KEY_FORMAT = "yyyyMMdd"
-TIME_MINUTE_FORMAT = "yyyyMMddHHmm"
 
 # --- fixed values: statistics buckets ------------------------------------------
 # Names and bounds of the session-length buckets of the distribution report.

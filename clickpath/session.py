@@ -52,8 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
     reach; it is read from the session and never overridden. Only when it is
-    unset (local tests) a fresh scratch folder is taken. A Spark Connect
-    session has no local context, so there the setting is required.
+    unset on a local master (tests) a fresh scratch folder is taken; on any
+    other master, and for a Spark Connect session, the setting is required.
     """
     try:
         sc = spark.sparkContext
@@ -68,13 +68,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(configured)
         return configured
-    if sc is None:
+    if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     local = tempfile.mkdtemp(prefix="clickpath-ckpt-")
     sc.setCheckpointDir(local)
     return local
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder through the file system it is on."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def describe_jobs(spark: SparkSession, text: str) -> None:
     """Label the jobs submitted next from this thread (best effort)."""
     try:

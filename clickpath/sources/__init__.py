@@ -9,7 +9,7 @@ from clickpath.sources.adapter import (
     users_from_customer,
 )
 from clickpath.sources.generator import generate_actions, generate_products, generate_users
-from clickpath.sources.sinks import write_jdbc, write_parquet, write_table
+from clickpath.sources.sinks import write_jdbc, write_parquet
 from clickpath.sources.tables import (
     normalize_actions,
     normalize_products,
@@ -37,5 +37,4 @@ __all__ = [
     "users_from_customer",
     "write_jdbc",
     "write_parquet",
-    "write_table",
 ]

@@ -24,14 +24,6 @@ def write_parquet(
     writer.parquet(path)
 
 
-def write_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
-    """Write ``df`` as a catalog table (needs a configured warehouse)."""
-    writer = df.write.mode(mode).format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
-
-
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], mode: str = "append") -> None:
     """Write ``df`` to a relational database table (rows go out per partition)."""
     df.write.jdbc(url=url, table=table, mode=mode, properties=properties)

@@ -44,16 +44,10 @@ def _batch_section(spark, sf_dir: str) -> list[str]:
     """Operators of each batch-job step, planned over its written intermediates."""
     import tempfile
 
-    from pyspark.sql import functions as F
-
-    from clickpath.operators import aggr_stat, full_sessions, sample_details, sample_sessions
-    from clickpath.plans.analyses import (
-        AnalysisParams,
-        _details_and_sample_rows,
-        active_session_analysis,
-        category_analysis,
-        filter_sessions,
-    )
+    from clickpath.operators import COUNT_COLUMNS, aggr_stat, aggregate_sessions, apply_filter_by_flags, attach_users, hit_flags, item_counts
+    from clickpath.operators import rank_categories, sample_details, sample_sessions, session_category_counts, top_item_sessions
+    from clickpath.operators import top_session_details, weighted_items
+    from clickpath.plans.analyses import AnalysisParams
     from clickpath.sources.adapter import load_actions, load_users
     from clickpath.sources.sinks import write_parquet
 
@@ -65,27 +59,29 @@ def _batch_section(spark, sf_dir: str) -> list[str]:
         write_parquet(df, f"{tmp}/{name}")
         return spark.read.parquet(f"{tmp}/{name}")
 
-    steps = [("sessions (pass 1 over the action log)", full_sessions(actions, users, with_lists=False))]
+    flags = hit_flags(p.session_filter)
+    steps = [("sessions (pass 1 over the action log)", attach_users(aggregate_sessions(actions, False, flags), users))]
     sessions = written(steps[0][1], "sessions")
-    filtered = written(filter_sessions(sessions, p.session_filter, actions), "filtered")
     sample = written(sample_sessions(sessions, p.sample_total, p.sample_seed), "sample")
-    rows_df = _details_and_sample_rows(filtered, sample, actions, p.sample_total)
+    items_df = weighted_items(apply_filter_by_flags(sessions, p.session_filter), session_category_counts(actions))
+    items = written(items_df, "items")
+    hot = rank_categories(item_counts(items, *COUNT_COLUMNS), p.top_k)
+    ranked = top_item_sessions(items, hot, p.top_n, p.top_k, keep_copies=True)
     steps += [
         ("statistics", aggr_stat(sessions)),
         ("sample draw", sample_sessions(sessions, p.sample_total, p.sample_seed)),
-        ("details + sample rows (pass 2)", rows_df),
+        ("items (pass 2)", items_df),
+        ("sample rows (pass 3)", sample_details(sample, actions, p.sample_total)),
+        ("top categories", hot),
+        ("top sessions", ranked),
+        ("top session rows (pass 4)", top_session_details(written(ranked, "ranked"), actions, p.top_n, p.top_k)),
     ]
-    rows = written(rows_df, "rows")
-    details = rows.where(F.col("copies").isNotNull()).drop("sample_copies")
-    hot = category_analysis(details, p.top_k)
-    ranked, ranked_rows = active_session_analysis(details, hot, p.top_n, p.top_k)
-    steps += [("top categories", hot), ("top sessions", ranked), ("top session rows", ranked_rows)]
     out = [
         "",
         "## Batch job steps",
         "",
         "Each step of `run_analyses` planned over the intermediates it reads (written parquet), large-table",
-        "view. Only the two steps marked pass 1 and pass 2 read the action log; the others read written tables.",
+        "view. Only the steps marked as passes read the action log; the others read written tables.",
         "",
         "| step | " + " | ".join(name for name, _ in OPERATORS) + " |",
         "|---" * (len(OPERATORS) + 1) + "|",

@@ -184,3 +184,17 @@ def test_ntz_literal_is_zone_free(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert (r.a, r.b, r.c) == (dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 8, 10, 11, 12))
+
+
+def test_strict_to_the_end_of_the_text(spark):
+    from clickpath.functions import kv_set, parse_time, trim_comma
+    from clickpath.functions.strings import id_list
+
+    df = spark.createDataFrame([("2024-01-01 00:00:00\n", "a,\n", "a=1|b=2", " 5 ,6,+7,8\n")], "t string, c string, r string, i string")
+    row = df.select(
+        parse_time("t").alias("t"),
+        trim_comma("c").alias("c"),
+        kv_set("r", "a", F.lit(None).cast("string")).alias("r"),
+        id_list("i").alias("i"),
+    ).first()
+    assert tuple(row) == (None, "a,\n", "a=null|b=2", [6, 7])

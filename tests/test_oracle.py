@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from clickpath.plans.catalog import QUERIES
+from clickpath.plans.oracle import ORACLE_SQL
 from tests.conftest import SF01
 
 TABLES = ["customer", "events", "part"]
@@ -37,12 +39,12 @@ def duck():
     con.close()
 
 
-def test_every_query_has_an_oracle_except_clock_queries():
-    assert set(queries()) - set(oracle_sql()) == {"relative_dates"}
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF01)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import pytest
+
 from clickpath.operators import (
+    params_range,
     SessionFilter,
     action_range,
     aggregate_sessions,
@@ -152,8 +155,11 @@ def test_filter_parameter_string_round_trip():
     assert g == SessionFilter(10, 50, [1, 2], [3], "female", ["火锅", "温泉"], [5, 6])
     assert SessionFilter.from_params(g.to_params()) == g
     # empty values, repeated names and unknown names
-    h = SessionFilter.from_params("sex=|sex=male|professionals=|foo=1|cities=1==2|endAge=9")
+    h = SessionFilter.from_params("sex=|sex=male|professionals=|startDate=2024-01-01|cities=1==2|endAge=9")
     assert h == SessionFilter(end_age=9, sex="male")
+    with pytest.raises(ValueError, match="foo"):
+        SessionFilter.from_params("sex=male|foo=1")
+    assert params_range("startDate=2024-01-01|endDate=2024-01-31|sex=male") == ("2024-01-01", "2024-01-31")
     assert SessionFilter.from_params(None) == SessionFilter() and SessionFilter().to_params() == ""
 
 

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import os
+
+import pytest
+
 from pyspark.sql import functions as F
 
 from clickpath.plans import AnalysisParams, run_analyses
@@ -128,6 +132,8 @@ def test_cli_runs_batch_job(spark, tmp_path):
     top = spark.read.parquet(written["top_sessions"])
     assert top.count() > 0 and top.agg(F.max("rank")).first()[0] <= 3
     assert {r.task_id for r in top.select("task_id").distinct().collect()} == {7}
+    manifest = {r.output: r.path for r in spark.read.parquet(f"{out}/_manifest").collect()}
+    assert manifest == written
     rows = spark.read.parquet(written["top_session_details"])
     days = {r[0][:10] for r in rows.select("action_time").distinct().collect()}
     assert min(days) >= "2024-01-05" and max(days) <= "2024-01-20"
@@ -172,8 +178,10 @@ def test_readme_example_and_cli_params(spark, tmp_path):
     written = run_analyses(spark, read_actions(spark, a), read_users(spark, u), str(tmp_path / "o1"), params, task_id=1)
     assert spark.read.parquet(written["top_categories"]).count() == 10
     # the same filter through the command line
-    cli = main(["--actions", a, "--users", u, "--out", str(tmp_path / "o2"), "--params", "startAge=0|endAge=100",
-                "--start-date", "2018-01-03", "--end-date", "2018-02-03", "--task-id", "1"])
+    cli = main(["--actions", a, "--users", u, "--out", str(tmp_path / "o2"), "--params",
+                "startAge=0|endAge=100|startDate=2018-01-03|endDate=2018-02-03", "--task-id", "1"])
+    with pytest.raises(SystemExit):
+        main(["--sf-dir", "x", "--out", "y", "--params", "sex=male", "--sex", "male"])
     for name in ("top_categories", "session_aggr_stat"):
         assert _set(spark.read.parquet(cli[name])) == _set(spark.read.parquet(written[name]))
 
@@ -188,3 +196,36 @@ def test_run_analyses_with_set_filters(spark, tmp_path):
     want = _set(aggr_stat(apply_filter(_full(spark, SF01), flt)))
     assert got == want
     assert spark.read.parquet(out["session_aggr_stat_filtered"]).first().session_count > 0
+
+
+def test_run_folder_is_removed_also_on_failure(spark, tmp_path):
+    from clickpath.session import checkpoint_dir
+
+    def left():
+        root = checkpoint_dir(spark).removeprefix("file://").removeprefix("file:")
+        return {n for n in os.listdir(root) if n.startswith("clickpath-")}
+
+    before = left()
+    acts = spark.createDataFrame([], ACTION_SCHEMA)
+    run_analyses(spark, acts, spark.createDataFrame([], USER_SCHEMA), str(tmp_path / "ok"))
+    broken = spark.createDataFrame([], "user_id long")
+    with pytest.raises(Exception, match="age"):
+        run_analyses(spark, acts, broken, str(tmp_path / "bad"))
+    assert left() == before and not (tmp_path / "bad" / "_manifest").exists()
+
+
+def test_shared_folder_is_required_off_local_masters(spark, monkeypatch):
+    import clickpath.session as session
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):  # noqa: N802 - Spark's name
+            return None
+
+    class Session:
+        sparkContext = Context()  # noqa: N815
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())
