@@ -60,10 +60,11 @@ def test_archive_round_trip_and_determinism(spark, pages):
         for r in manifest.collect():
             assert hashlib.sha256(files[r["name"]]).hexdigest() == r["sha256"] and len(files[r["name"]]) == r["bytes"]
         archives.append(files)
-        payloads = {r.page_id: bytes(r.payload) for r in read_archive(manifest, folder).collect() if r.payload is not None}
-        for page_id, _, html in page_rows():
-            if page_id in payloads:
-                assert payloads[page_id] == (html or "").encode()
+        records = read_archive(manifest, folder).collect()
+        sent = {(page_id, (html or "").encode()) for page_id, _, html in page_rows()}
+        assert len(records) == len(page_rows())
+        assert all((r.page_id, bytes(r.payload)) in sent for r in records if r.record_type == "response")
+        assert all(r.payload is None for r in records if r.record_type == "revisit")
         rows = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in read_archive(manifest, folder, payloads=False).collect()]
         assert sorted(rows, key=str) == brute(page_rows())
     assert archives[0] == archives[1]
