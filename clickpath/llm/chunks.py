@@ -179,3 +179,60 @@ def unbits(raw: bytes, n: int) -> np.ndarray:
 def groups_of(sorted_flags_new: np.ndarray) -> np.ndarray:
     """Group number of each entry, from flags that mark the first of a group."""
     return np.cumsum(sorted_flags_new) - 1
+
+
+# ---------------------------------------------------------------- asking and answering
+
+def answer_rows(table: pa.Table, lengths: list[int], flags: np.ndarray, kind: int) -> Iterator[dict]:
+    """One answer per sent row that has a set flag."""
+    at = 0
+    for bucket, chunk, size, n in zip(
+        table.column("bucket").to_pylist(), table.column("chunk").to_pylist(), table.column("size").to_pylist(), lengths, strict=True
+    ):
+        own = flags[at : at + n]
+        at += n
+        if own.any():
+            yield {"kind": kind, "bucket": bucket, "chunk": chunk, "size": size, "flags": bits(own)}
+
+
+def match_twice(table: pa.Table) -> Iterator[dict]:
+    """Flags the fingerprints (``prints``, ``multi``) that occur twice or more."""
+    prints = [unpack40(p) for p in table.column("prints").to_pylist()]
+    lengths = [len(p) for p in prints]
+    value = np.concatenate(prints)
+    multi = np.concatenate([unbits(m, k) for m, k in zip(table.column("multi").to_pylist(), lengths, strict=True)])
+    order = np.argsort(value, kind="stable")
+    new = np.ones(len(order), bool)
+    new[1:] = value[order][1:] != value[order][:-1]
+    group = groups_of(new)
+    hit = np.zeros(len(value), bool)
+    hit[order] = (np.bincount(group, weights=1 + multi[order]) >= 2)[group]
+    yield from answer_rows(table, lengths, hit, 1)
+
+
+def answered(keys: np.ndarray, answers: pa.Table, kind: int) -> np.ndarray:
+    """Flags of sorted distinct keys, from the answers of one kind."""
+    got = {
+        b: f
+        for k, b, f in zip(answers.column("kind").to_pylist(), answers.column("bucket").to_pylist(), answers.column("flags").to_pylist(), strict=True)
+        if k == kind
+    }
+    flags = np.zeros(len(keys), bool)
+    for bucket, lo, hi in bucket_slices(keys):
+        if bucket in got:
+            flags[lo:hi] = unbits(got[bucket], hi - lo)
+    return flags
+
+
+def pack_ids(ids: np.ndarray) -> bytes:
+    """The smallest id and the distances from it, in as few bytes as they need."""
+    base = int(ids.min())
+    rest = ids.astype(np.uint64) - np.uint64(base % (1 << 64))
+    kind = next(k for k in ("<u1", "<u2", "<u4", "<u8") if int(rest.max()) < 1 << (8 * int(k[2])))
+    return base.to_bytes(8, "little", signed=True) + bytes([int(kind[2])]) + rest.astype(kind).tobytes()
+
+
+def unpack_ids(raw: bytes) -> np.ndarray:
+    base = int.from_bytes(raw[:8], "little", signed=True)
+    rest = np.frombuffer(raw, f"<u{raw[8]}", offset=9).astype(np.uint64)
+    return (rest + np.uint64(base % (1 << 64))).astype(np.int64)

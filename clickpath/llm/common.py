@@ -53,12 +53,27 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage is cut and a
-    lost executor costs only its own tasks."""
+def materialize(spark: SparkSession, df: DataFrame, spread: bool = False) -> DataFrame:
+    """``df`` checkpointed in the shared folder: lineage is cut and a lost executor
+    costs only its own tasks. Spark removes the files once no plan uses them
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``). With ``spread`` the rows are
+    dealt evenly first: a later join then shuffles both its sides, so a hot key
+    can be split at run time."""
+    checkpoint_dir(spark)
+    return (df.repartition(tasks_for(spark)) if spread else df).checkpoint(eager=True)
+
+
+def write_table(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` as a Parquet table in the shared folder, reread, and its path."""
     path = new_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a table of :func:`write_table` that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def tasks_for(spark: SparkSession) -> int:
@@ -157,22 +172,17 @@ def words(data: np.ndarray, offsets: np.ndarray, flags: np.ndarray) -> tuple[np.
 # comes from two prefix values. Values are finished with a mixing step.
 
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_HASH_BLOCK = 1 << 15
+_powers: dict[int, np.ndarray] = {}
 
 
-def powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**0..n and their inverses modulo 2**64 (kept per worker, grown as needed)."""
+def powers(n: int, base: int) -> np.ndarray:
+    """base**0..n modulo 2**64 (kept per worker, grown as needed)."""
     have = _powers.get(base)
-    if have is None or len(have[0]) < n + 1:
-        size = max(1 << 16, 1 << int(n + 1).bit_length())
-        if size > 1 << 24:
-            size = n + 1
-        out = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            p = np.full(size, b, U64)
-            p[0] = 1
-            out.append(np.multiply.accumulate(p))
-        _powers[base] = have = (out[0], out[1])
+    if have is None or len(have) < n + 1:
+        p = np.full(max(n + 1, _HASH_BLOCK + 1), base, U64)
+        p[0] = 1
+        _powers[base] = have = np.multiply.accumulate(p)
     return have
 
 
@@ -192,16 +202,21 @@ class PrefixHash:
     """Hashes of segments of one sequence of 64-bit values (or of bytes)."""
 
     def __init__(self, values: np.ndarray, seed: int = 0):
-        if values.dtype == np.uint8:
-            values = _BYTE_VALUES[values]
-        n = len(values)
-        forward, self.inverse = powers(n, _BASES[seed])
+        n, self.base = len(values), _BASES[seed]
+        forward = powers(_HASH_BLOCK, self.base)
+        back = powers(_HASH_BLOCK, pow(self.base, -1, 1 << 64))
         self.prefix = np.zeros(n + 1, U64)
-        np.cumsum(values * forward[:n], out=self.prefix[1:])
+        for a in range(0, n, _HASH_BLOCK):
+            own = values[a : a + _HASH_BLOCK]
+            m = len(own)
+            own = _BYTE_VALUES[own] if own.dtype == np.uint8 else own
+            own = np.cumsum(own * back[:m]) * forward[:m]
+            self.prefix[a + 1 : a + m + 1] = own + self.prefix[a] * forward[1 : m + 1]
 
     def segments(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Unmixed hash of every [start, end); equal segments have equal hashes."""
-        return (self.prefix[end] - self.prefix[start]) * self.inverse[start]
+        size = end - start
+        return self.prefix[end] - self.prefix[start] * powers(int(size.max()) if len(size) else 0, self.base)[size]
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:

@@ -121,14 +121,14 @@ def nearest(
     """``(query_id, rank, vec_id, score)``: the ``k`` rows of largest inner product found
     for every row that ``is_query`` (a condition on ``vec_id``) holds for, itself left out."""
     spark = table.sparkSession
-    rows = materialize(spark, valid_vectors(table, id_column, vector), "vectors")
+    rows = materialize(spark, valid_vectors(table, id_column, vector))
     size = rows.groupBy(F.size("vec").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
     rows = rows.where(F.size("vec") == (size["d"] if size else 0))
     few = rows.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("vec_id"))).where(F.col("place") <= k + 1)
     classes = few.groupBy("key").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.first("vec").alias("vec"))
-    classes = materialize(spark, classes, "vector-classes")
-    asked = materialize(spark, rows.where(is_query).select(F.col("vec_id").alias("query_id"), "key"), "queries")
-    queries = materialize(spark, asked.select("key").distinct().join(classes, "key").select("key", "vec"), "query-classes")
+    classes = materialize(spark, classes)
+    asked = materialize(spark, rows.where(is_query).select(F.col("vec_id").alias("query_id"), "key"))
+    queries = materialize(spark, asked.select("key").distinct().join(classes, "key").select("key", "vec"))
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
     total, longest = classes.agg(F.count(F.lit(1)), F.max(norm)).first()
     blocks = max(1, -(-total // block_rows))
@@ -146,7 +146,7 @@ def nearest(
     best = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
     flat = found.select("key", "score", F.explode("ids").alias("vec_id")).withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1)
     answers = flat.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("found"))
-    answers = materialize(spark, answers, "answers")
+    answers = materialize(spark, answers, spread=True)
     own = asked.join(answers, "key").select("query_id", F.slice(F.filter("found", lambda f: f["vec_id"] != F.col("query_id")), 1, k).alias("found"))
     return own.select("query_id", F.posexplode("found").alias("at", "f")).select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("f.vec_id").alias("vec_id"), F.col("f.score").alias("score")

@@ -184,7 +184,7 @@ def fit(stats: DataFrame, labels: DataFrame, label: str = "quality", fourier: in
     own = own.groupBy("doc_id").agg(F.max("label").alias("label"))
     # one pass over the small statistics; the calibration fifth is fixed by the id
     rows = stats.join(own, "doc_id").select("stats", "label", (F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).alias("calibrate"))
-    rows = materialize(stats.sparkSession, rows, "labelled")
+    rows = materialize(stats.sparkSession, rows)
 
     def equations(batches):
         total = np.zeros((fourier + 1, fourier + 2))
@@ -237,6 +237,6 @@ def score(stats: DataFrame, model: Model) -> DataFrame:
 
 def quality_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Scores and decisions of all documents."""
-    stats = materialize(docs.sparkSession, document_statistics(docs), "statistics")
+    stats = materialize(docs.sparkSession, document_statistics(docs))
     scored = score(stats, fit(stats, labels))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from clickpath.llm.chunks import (
     CHUNK_BYTES,
     Chunk,
+    answer_rows,
+    answered,
     at_buckets,
     bits,
     bucket_slices,
@@ -39,9 +41,11 @@ from clickpath.llm.chunks import (
     groups_of,
     keyed,
     pack40,
+    pack_ids,
     prepare,
     unbits,
     unpack40,
+    unpack_ids,
     with_answers,
 )
 from clickpath.llm.common import (
@@ -113,18 +117,6 @@ def _send_anchors(block: int, buckets: int):
     return send
 
 
-def answer_rows(table: pa.Table, lengths: list[int], flags: np.ndarray, kind: int) -> Iterator[dict]:
-    """One answer per sent row that has a set flag."""
-    at = 0
-    for bucket, chunk, size, n in zip(
-        table.column("bucket").to_pylist(), table.column("chunk").to_pylist(), table.column("size").to_pylist(), lengths, strict=True
-    ):
-        own = flags[at : at + n]
-        at += n
-        if own.any():
-            yield {"kind": kind, "bucket": bucket, "chunk": chunk, "size": size, "flags": bits(own)}
-
-
 def _match_anchors(table: pa.Table) -> Iterator[dict]:
     """Flags the fingerprints that a block holds and that occur at another place too."""
     prints = [unpack40(p) for p in table.column("prints").to_pylist()]
@@ -144,20 +136,6 @@ def _match_anchors(table: pa.Table) -> Iterator[dict]:
     yield from answer_rows(table, lengths, hit, 1)
 
 
-def _unanswered(keys: np.ndarray, answers: pa.Table, kind: int) -> np.ndarray:
-    """Flags of sorted distinct keys, from the answers of one kind."""
-    got = {
-        b: f
-        for k, b, f in zip(answers.column("kind").to_pylist(), answers.column("bucket").to_pylist(), answers.column("flags").to_pylist(), strict=True)
-        if k == kind
-    }
-    flags = np.zeros(len(keys), bool)
-    for bucket, lo, hi in bucket_slices(keys):
-        if bucket in got:
-            flags[lo:hi] = unbits(got[bucket], hi - lo)
-    return flags
-
-
 class _Candidates:
     """Distinct ``n``-word windows of a chunk that hold a hit anchor."""
 
@@ -165,7 +143,7 @@ class _Candidates:
         block = n // 2
         anchors = _Anchors(ws, block, buckets)
         hit = np.zeros(ws.total + 1, np.int64)
-        hit[anchors.start] = _unanswered(anchors.keys, answers, 1)[anchors.inverse]
+        hit[anchors.start] = answered(anchors.keys, answers, 1)[anchors.inverse]
         before = np.concatenate(([0], np.cumsum(hit)))
         start, _ = ws.windows(n)
         start = start[before[start + n - block + 1] > before[start]]
@@ -189,33 +167,19 @@ def _send_windows(n: int, buckets: int):
         for bucket, lo, hi in bucket_slices(c.low):
             yield {
                 "bucket": bucket, "chunk": chunk.number, "size": chunk.size,
-                "low": pack40(c.low[lo:hi]), "high": pack40(c.high[lo:hi]), "doc": _pack_ids(doc[lo:hi]),
+                "low": pack40(c.low[lo:hi]), "high": pack40(c.high[lo:hi]), "doc": pack_ids(doc[lo:hi]),
             }
 
     return send
 
 
-def _pack_ids(ids: np.ndarray) -> bytes:
-    """The smallest id and the distances from it, in as few bytes as they need."""
-    base = int(ids.min())
-    rest = ids.astype(np.uint64) - np.uint64(base % (1 << 64))
-    kind = next(k for k in ("<u1", "<u2", "<u4", "<u8") if int(rest.max()) < 1 << (8 * int(k[2])))
-    return base.to_bytes(8, "little", signed=True) + bytes([int(kind[2])]) + rest.astype(kind).tobytes()
-
-
-def _unpack_ids(raw: bytes) -> np.ndarray:
-    base = int.from_bytes(raw[:8], "little", signed=True)
-    rest = np.frombuffer(raw, f"<u{raw[8]}", offset=9).astype(np.uint64)
-    return (rest + np.uint64(base % (1 << 64))).astype(np.int64)
-
-
 def _first_windows(table: pa.Table) -> Iterator[dict]:
     """Flags the windows whose earliest occurrence is in the asking chunk's first place."""
     low = [unpack40(p) for p in table.column("low").to_pylist()]
     lengths = [len(p) for p in low]
     chunk = np.repeat(np.array(table.column("chunk").to_pylist(), np.int64), lengths)
     high = np.concatenate([unpack40(p) for p in table.column("high").to_pylist()])
-    doc = np.concatenate([_unpack_ids(p) for p in table.column("doc").to_pylist()])
+    doc = np.concatenate([unpack_ids(p) for p in table.column("doc").to_pylist()])
     low = np.concatenate(low)
     order = np.lexsort((chunk, doc, high, low))
     new = np.ones(len(order), bool)
@@ -231,7 +195,7 @@ def _cut_repeats(n: int, buckets: int):
             ws = _Words(chunk, second=True)
             c = _Candidates(ws, answers, n, buckets)
             stays = np.zeros(len(c.start), bool)
-            stays[c.first] = _unanswered(c.low, answers, 2)
+            stays[c.first] = answered(c.low, answers, 2)
             gone, first = covered(c.start[~stays], n, ws.total), ws.first
         else:
             gone, first = np.zeros(0, bool), None
@@ -259,7 +223,7 @@ def remove_repeats(docs: DataFrame, n: int = WINDOW, chunk_bytes: int = CHUNK_BY
     buckets = tasks_for(spark)
     docs = prepare(docs)
     sent = from_chunks(docs, _send_anchors(n // 2, buckets), _SENT, _SENT_ARROW, chunk_bytes)
-    hits = materialize(spark, at_buckets(sent, buckets, _match_anchors, _ANSWER, _ANSWER_ARROW), "anchor-hits")
+    hits = materialize(spark, at_buckets(sent, buckets, _match_anchors, _ANSWER, _ANSWER_ARROW))
     parts = chunked(docs, chunk_bytes)
     windows = with_answers(parts, hits, _send_windows(n, buckets), _WINDOWS, _WINDOWS_ARROW)
     first = at_buckets(windows, buckets, _first_windows, _ANSWER, _ANSWER_ARROW)

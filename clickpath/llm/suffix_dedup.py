@@ -35,23 +35,27 @@ from clickpath.llm import suffixes
 from clickpath.llm.chunks import (
     FINGERPRINT_BITS,
     Chunk,
+    answered,
     at_buckets,
     bits,
     bucket_slices,
     chunked,
     from_chunks,
-    groups_of,
     keyed,
+    match_twice,
     pack40,
     prepare,
     unbits,
-    unpack40,
     with_answers,
 )
 from clickpath.llm.common import U64, PrefixHash, covered, materialize, mix, runs, tasks_for
 
 WINDOW = 400
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+#: text of the anchor groups that are sorted together (or one larger group)
+SORT_BYTES = 1 << 20
+#: buckets per shuffle partition of the session: they hold texts, not fingerprints
+BUCKETS_PER_TASK = 3
 
 _SENT = "bucket int, chunk long, size long, prints binary, multi binary"
 _SENT_ARROW = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("size", pa.int64()), ("prints", pa.binary()), ("multi", pa.binary())])
@@ -95,10 +99,12 @@ class _Runs:
         prefix = PrefixHash(chunk.data)
         where = np.arange(total - seed + 1)
         seeds = mix(prefix.segments(where, where + seed))
+        del prefix
         ranked = (seeds & U64(0xFFFFFFFF00000000)) | where.astype(U64)
         del where
-        anchor = (sliding_min(ranked, n - seed + 1) & U64(0xFFFFFFFF)).astype(np.int64)
+        anchor = sliding_min(ranked, n - seed + 1)
         del ranked
+        anchor = (anchor & U64(0xFFFFFFFF)).astype(np.int64)
         inside = np.zeros(total - n + 1, bool)
         doc = np.zeros(total - n + 1, bool)  # first windows of documents
         for a, b in zip(chunk.offsets[:-1].tolist(), chunk.offsets[1:].tolist(), strict=True):
@@ -126,42 +132,13 @@ def _send_anchors(n: int, buckets: int):
     return send
 
 
-def _match_anchors(table: pa.Table) -> Iterator[dict]:
-    """Flags the anchors that occur twice or more."""
-    prints = [unpack40(p) for p in table.column("prints").to_pylist()]
-    lengths = [len(p) for p in prints]
-    value = np.concatenate(prints)
-    multi = np.concatenate([unbits(m, k) for m, k in zip(table.column("multi").to_pylist(), lengths, strict=True)])
-    order = np.argsort(value, kind="stable")
-    new = np.ones(len(order), bool)
-    new[1:] = value[order][1:] != value[order][:-1]
-    group = groups_of(new)
-    hit = np.zeros(len(value), bool)
-    hit[order] = (np.bincount(group, weights=1 + multi[order]) >= 2)[group]
-    yield from _answers(table, lengths, hit, 1)
-
-
-def _answers(table: pa.Table, lengths: list[int], flags: np.ndarray, kind: int) -> Iterator[dict]:
-    at = 0
-    for bucket, chunk, size, k in zip(
-        table.column("bucket").to_pylist(), table.column("chunk").to_pylist(), table.column("size").to_pylist(), lengths, strict=True
-    ):
-        if flags[at : at + k].any():
-            yield {"kind": kind, "bucket": bucket, "chunk": chunk, "size": size, "flags": bits(flags[at : at + k])}
-        at += k
-
-
 class _Spans:
     """Distinct texts of the runs whose anchors occur twice, in bucket order."""
 
     def __init__(self, chunk: Chunk, answers: pa.Table, n: int, buckets: int):
         r = _Runs(chunk, n, buckets)
         keys = np.unique(r.key)
-        hit = np.zeros(len(keys), bool)
-        got = _by_bucket(answers, 1)
-        for bucket, lo, hi in bucket_slices(keys):
-            if bucket in got:
-                hit[lo:hi] = unbits(got[bucket], hi - lo)
+        hit = answered(keys, answers, 1)
         chosen = np.flatnonzero(hit[np.searchsorted(keys, r.key)])
         chosen = chosen[np.argsort(r.key[chosen], kind="stable")]
         raw = chunk.data.tobytes()
@@ -218,7 +195,9 @@ def _sort_spans(n: int):
         copies: list[int] = []
         member: list[int] = []
         rows: list[tuple[int, int]] = []
-        for before, windows, multi, texts in zip(*(table.column(c).to_pylist() for c in ("before", "windows", "multi", "texts")), strict=True):
+        columns = [table.column(c) for c in ("before", "windows", "multi", "texts")]
+        for i in range(table.num_rows):
+            before, windows, multi, texts = (c[i].as_py() for c in columns)
             before, windows = np.frombuffer(before, "<u4").tolist(), np.frombuffer(windows, "<u4").tolist()
             at = 0
             for b, w, m in zip(before, windows, unbits(multi, len(before)).tolist(), strict=True):
@@ -251,9 +230,20 @@ def repeated_windows(texts: list[tuple[int, int, bytes]], copies: list[int], n:
     groups: dict[bytes, list[int]] = {}
     for k, (b, _, text) in enumerate(texts):
         groups.setdefault(text[b : b + seed], []).append(k)
-    shared = [k for g in groups.values() if len(g) > 1 for k in g]
-    if not shared:
-        return flags
+    shared: list[int] = []
+    size = 0
+    for group in [*(g for g in groups.values() if len(g) > 1), None]:
+        if shared and (group is None or size > SORT_BYTES):
+            for k, found in zip(shared, _flags_of(texts, copies, shared, n), strict=True):
+                flags[k] = found
+            shared, size = [], 0
+        shared += group or []
+        size += sum(len(texts[k][2]) for k in group or [])
+    return flags
+
+
+def _flags_of(texts: list[tuple[int, int, bytes]], copies: list[int], shared: list[int], n: int) -> list[np.ndarray]:
+    """Window flags of the texts ``shared``, which hold whole anchor groups."""
     data = np.frombuffer(b"".join(texts[k][2] for k in shared), np.uint8)
     size = np.array([len(texts[k][2]) for k in shared])
     before = np.array([texts[k][0] for k in shared])
@@ -273,13 +263,11 @@ def repeated_windows(texts: list[tuple[int, int, bytes]], copies: list[int], n:
         right[places] = np.cumsum(forward < n - b)
         left[back_places] = np.cumsum(backward < b)
         pair = right[active] * (len(shared) + 1) + left[active]
-        _, inverse, = np.unique(pair, return_inverse=True)
+        _, inverse = np.unique(pair, return_inverse=True)
         often = np.bincount(inverse, weights=weight[active])[inverse] > 1
         for i in active[often].tolist():
             found[i][before[i] - b] = True
-    for k, f in zip(shared, found, strict=True):
-        flags[k] = f
-    return flags
+    return found
 
 
 def _remove(n: int, buckets: int):
@@ -323,10 +311,10 @@ def remove_repeated_bytes(docs: DataFrame, n: int = WINDOW, chunk_bytes: int = C
     if n < 3:
         raise ValueError("a window has at least three bytes")
     spark = docs.sparkSession
-    buckets = tasks_for(spark)
+    buckets = BUCKETS_PER_TASK * tasks_for(spark)
     docs = prepare(docs)
     sent = from_chunks(docs, _send_anchors(n, buckets), _SENT, _SENT_ARROW, chunk_bytes)
-    hits = materialize(spark, at_buckets(sent, buckets, _match_anchors, _ANSWER, _ANSWER_ARROW), "anchor-hits")
+    hits = materialize(spark, at_buckets(sent, buckets, match_twice, _ANSWER, _ANSWER_ARROW))
     parts = chunked(docs, chunk_bytes)
     spans = with_answers(parts, hits, _send_spans(n, buckets), _SPANS, _SPANS_ARROW)
     repeated = at_buckets(spans, buckets, _sort_spans(n), _ANSWER, _ANSWER_ARROW)

@@ -194,12 +194,12 @@ def fit(
     """Train on the sampled labels; the driver gets the averaged non-zero weights
     and the margins of the calibration fifth of the sample."""
     spark = docs.sparkSession
-    sample = materialize(spark, sample_labels(labels, label, sample_rows), "labels")
+    sample = materialize(spark, sample_labels(labels, label, sample_rows))
     shards = max(1, -(-sample.count() // shard_rows))
     picked = keep_rows(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most sample_rows rows
     h = F.xxhash64("doc_id", F.lit(1))
     picked = picked.select("doc_id", "label", "text", F.pmod(h, F.lit(shards)).cast("int").alias("shard"), (F.pmod(F.shiftright(h, 20), F.lit(5)) == 0).alias("calibrate"))
-    picked = materialize(spark, picked, "sample")
+    picked = materialize(spark, picked)
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
