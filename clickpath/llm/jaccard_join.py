@@ -3,6 +3,10 @@
 The document by n-gram incidence matrix is never multiplied as a whole.
 
 1. Documents with equal sets are one class, represented by the smallest id.
+   A set that links with another one shares all but ``1 - t`` of its n-grams,
+   so sets with more n-grams that no other set holds are out: half of the
+   n-grams (by hash) go through an exchange of fingerprints, which tells the
+   shared ones. A passage in many documents so makes no candidates of them.
 2. Blocks: two sets of at most ``r`` n-grams that reach the threshold differ in
    at most ``k = 2 r (1 - t) / (1 + t)`` n-grams, so if the n-grams are dealt
    into parts by hash and a set fills more than ``k`` parts, one filled part is
@@ -38,10 +42,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.llm.chunks import CHUNK_BYTES, Chunk, at_buckets, bucket_slices, from_chunks, keyed, pack40, prepare, unpack40
-from clickpath.llm.common import SPACE_WORDS, U64, PrefixHash, materialize, mix, tasks_for, window_starts, word_hashes, words
+from clickpath.llm.chunks import (
+    CHUNK_BYTES,
+    Chunk,
+    answered,
+    at_buckets,
+    bits,
+    bucket_slices,
+    chunked,
+    from_chunks,
+    keyed,
+    match_twice,
+    pack40,
+    pack_ids,
+    prepare,
+    unpack40,
+    unpack_ids,
+    with_answers,
+)
+from clickpath.llm.common import SPACE_WORDS, U64, PrefixHash, materialize, mix, tasks_for, text_bytes, window_starts, word_hashes, words
 from clickpath.llm.components import components
-from clickpath.llm.repeats import _pack_ids, _unpack_ids
 
 NGRAM = 4
 PERCENT = 85
@@ -49,10 +69,16 @@ PERCENT = 85
 BLOCK_GRAMS = 4_000_000
 _SEEDS = 8
 
-_SETS = "doc_id long, n_shingles long, key binary"
-_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary())])
+_SENT = "bucket int, chunk long, size long, prints binary, multi binary"
+_SENT_ARROW = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("size", pa.int64()), ("prints", pa.binary()), ("multi", pa.binary())])
+_ANSWER = "kind int, bucket int, chunk long, size long, flags binary"
+_ANSWER_ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("size", pa.int64()), ("flags", pa.binary())])
+_SETS = "doc_id long, n_shingles long, key binary, text string"
+_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("text", pa.string())])
 _SIGNED = "bucket int, prints binary, docs binary"
 _SIGNED_ARROW = pa.schema([("bucket", pa.int32()), ("prints", pa.binary()), ("docs", pa.binary())])
+_STARS = "bucket int, docs binary, centres binary"
+_STARS_ARROW = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("centres", pa.binary())])
 _EDGES = "a long, b long"
 _EDGES_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -125,14 +151,49 @@ def signatures(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _send_sets(n: int):
+class _Profile:
+    """Sets of a chunk, and the keys of half of the n-grams of its distinct sets."""
+
+    def __init__(self, chunk: Chunk, n: int, buckets: int):
+        self.sets = ngram_sets(chunk.data, chunk.offsets, n)
+        self.keys = [_key(grams) for grams in self.sets]
+        ids = chunk.ids.to_pylist()
+        seen: set[bytes] = set()
+        self.distinct = []
+        for i, key in enumerate(self.keys):
+            if key is not None and ids[i] is not None and key not in seen:
+                seen.add(key)
+                self.distinct.append(i)
+        halves = [s[s & U64(1) == 0] for s in (self.sets[i] for i in self.distinct)]
+        self.sizes = [len(h) for h in halves]
+        half = keyed(mix(np.concatenate(halves)), buckets) if halves else np.zeros(0, U64)
+        self.grams, self.inverse, self.counts = np.unique(half, return_inverse=True, return_counts=True)
+
+
+def _send_grams(n: int, buckets: int):
     def send(chunk: Chunk) -> Iterator[dict]:
-        for doc_id, grams in zip(chunk.ids.to_pylist(), ngram_sets(chunk.data, chunk.offsets, n), strict=True):
-            yield {"doc_id": doc_id, "n_shingles": len(grams), "key": _key(grams)}
+        p = _Profile(chunk, n, buckets)
+        for bucket, lo, hi in bucket_slices(p.grams):
+            yield {"bucket": bucket, "chunk": chunk.number, "size": chunk.size, "prints": pack40(p.grams[lo:hi]), "multi": bits(p.counts[lo:hi] > 1)}
 
     return send
 
 
+def _describe(n: int, percent: int, buckets: int):
+    """Every document's set size and key; the text stays only where a link is possible."""
+
+    def describe(chunk: Chunk, answers: pa.Table) -> Iterator[dict]:
+        p = _Profile(chunk, n, buckets)
+        shared = answered(p.grams, answers, 1)[p.inverse]
+        lonely = np.add.reduceat(np.append(~shared, False).astype(np.int64), np.cumsum([0, *p.sizes[:-1]])) if p.sizes else []
+        possible = {i for i, few, size in zip(p.distinct, lonely, p.sizes, strict=True) if not size or 100 * int(few) <= (100 - percent) * len(p.sets[i])}
+        for i, doc_id in enumerate(chunk.ids.to_pylist()):
+            text = chunk.document(i).decode() if i in possible else None
+            yield {"doc_id": doc_id, "n_shingles": len(p.sets[i]), "key": p.keys[i], "text": text}
+
+    return describe
+
+
 def _key(grams: np.ndarray) -> bytes | None:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None
 
@@ -154,22 +215,54 @@ def _send_signatures(n: int, percent: int, buckets: int):
         order = np.argsort(keys, kind="stable")
         keys, docs = keys[order], docs[order]
         for bucket, lo, hi in bucket_slices(keys):
-            yield {"bucket": bucket, "prints": pack40(keys[lo:hi]), "docs": _pack_ids(docs[lo:hi])}
+            yield {"bucket": bucket, "prints": pack40(keys[lo:hi]), "docs": pack_ids(docs[lo:hi])}
 
     return send
 
 
-def _stars(table: pa.Table) -> Iterator[dict]:
-    """Edges from the smallest document of each signature to the others."""
-    prints = np.concatenate([unpack40(p) for p in table.column("prints").to_pylist()])
-    docs = np.concatenate([_unpack_ids(d) for d in table.column("docs").to_pylist()])
-    order = np.lexsort((docs, prints))
-    prints, docs = prints[order], docs[order]
-    new = np.ones(len(prints), bool)
-    new[1:] = prints[1:] != prints[:-1]
-    centre = docs[np.flatnonzero(new)][np.cumsum(new) - 1]
-    pairs = np.unique(np.stack((docs, centre), 1)[docs != centre], axis=0)
-    for a, b in pairs.tolist():
+def spanning_stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every node of the edges (a, b) that is not the smallest of its component, and that smallest node."""
+    nodes, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[x], label[y])
+        before = label.copy()
+        for side in (x, y):
+            np.minimum.at(label, label[side], least)
+            np.minimum.at(label, side, least)
+        label = label[label]
+        if np.array_equal(label, before):
+            break
+    others = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[others], nodes[label[others]]
+
+
+def _stars(buckets: int):
+    def stars(table: pa.Table) -> Iterator[dict]:
+        """Spanning stars of the documents that share signatures in a bucket, sent on by their centre."""
+        prints = np.concatenate([unpack40(p) for p in table.column("prints").to_pylist()])
+        docs = np.concatenate([unpack_ids(d) for d in table.column("docs").to_pylist()])
+        order = np.lexsort((docs, prints))
+        prints, docs = prints[order], docs[order]
+        new = np.ones(len(prints), bool)
+        new[1:] = prints[1:] != prints[:-1]
+        centre = docs[np.flatnonzero(new)][np.cumsum(new) - 1]
+        other, centre = spanning_stars(docs[docs != centre], centre[docs != centre])
+        to = (mix(centre.astype(U64)) % U64(buckets)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        cuts = np.flatnonzero(np.diff(to[order])) + 1
+        for part in np.split(order, cuts) if len(order) else []:
+            yield {"bucket": int(to[part[0]]), "docs": pack_ids(other[part]), "centres": pack_ids(centre[part])}
+
+    return stars
+
+
+def _merged_stars(table: pa.Table) -> Iterator[dict]:
+    """The stars that all buckets found around the same centres, each edge once."""
+    docs = np.concatenate([unpack_ids(d) for d in table.column("docs").to_pylist()])
+    centres = np.concatenate([unpack_ids(d) for d in table.column("centres").to_pylist()])
+    for a, b in zip(*(x.tolist() for x in spanning_stars(docs, centres)), strict=True):
         yield {"a": a, "b": b}
 
 
@@ -242,8 +335,6 @@ def cross_links(block: Block, nodes: list[int], sets: list[np.ndarray], percent:
 
 
 def _table_sets(table: pa.Table, n: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    from clickpath.llm.common import text_bytes
-
     data, offsets = text_bytes(table.column("text"))
     return table.column("node").to_numpy(), ngram_sets(data, offsets, n)
 
@@ -292,12 +383,13 @@ def _split_links(rows: DataFrame, own: DataFrame, n: int, percent: int, central:
     those inside their parts (``own``)."""
     spark = rows.sparkSession
     parts = rows.select("block", "part", "node", "text")
-    spread = lambda df: df.select("block", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), "node", "text")
+    fresh = lambda c: F.col(c).alias(c)  # noqa: E731 - own column identities, the sides share their origin
+    spread = lambda df: df.select(fresh("block"), F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), fresh("node"), fresh("text"))
     type_ = "block long, node long, text string"
     hubs = rows.groupBy("block", "part").applyInArrow(_central_rows(n, central), type_)
-    hubs = materialize(spark, hubs.join(rows.select("block", "parts").distinct(), "block"), "hubs")
+    hubs = materialize(spark, hubs.join(rows.select("block", "parts").distinct(), "block"))
     cross = lambda asked: parts.groupBy("block", "part").cogroup(spread(asked).groupBy("block", "part")).applyInArrow(_cross_products(n, percent), _EDGES)
-    linked = materialize(spark, own.unionByName(cross(hubs)), "links")
+    linked = materialize(spark, own.unionByName(cross(hubs)))
     # rows outside the largest component of their block meet all parts
     found = components(linked)
     labelled = rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -319,40 +411,45 @@ def near_duplicates(
     spark = docs.sparkSession
     buckets = tasks_for(spark)
     docs = prepare(docs)
-    sets = materialize(spark, from_chunks(docs, _send_sets(n), _SETS, _SETS_ARROW, chunk_bytes), "sets")
+    sent = from_chunks(docs, _send_grams(n, buckets), _SENT, _SENT_ARROW, chunk_bytes)
+    shared = materialize(spark, at_buckets(sent, buckets, match_twice, _ANSWER, _ANSWER_ARROW))
+    sets = materialize(spark, with_answers(chunked(docs, chunk_bytes), shared, _describe(n, percent, buckets), _SETS, _SETS_ARROW))
+    possible = sets.where("text is not null").select("doc_id", "text")
+    sets = materialize(spark, sets.drop("text"))
     known = sets.where("key is not null and doc_id is not null")
-    first = materialize(spark, known.groupBy("key").agg(F.min("doc_id").alias("node")), "classes")
-    member = materialize(spark, known.join(first, "key").select("doc_id", "n_shingles", "node"), "members")
+    first = materialize(spark, known.groupBy("key").agg(F.min("doc_id").alias("node")), spread=True)
+    member = materialize(spark, known.join(first, "key").select("doc_id", "n_shingles", "node"))
 
-    signed = from_chunks(docs, _send_signatures(n, percent, buckets), _SIGNED, _SIGNED_ARROW, chunk_bytes)
-    stars = at_buckets(signed, buckets, _stars, _EDGES, _EDGES_ARROW).distinct()
+    signed = from_chunks(possible, _send_signatures(n, percent, buckets), _SIGNED, _SIGNED_ARROW, chunk_bytes)
+    stars = at_buckets(signed, buckets, _stars(buckets), _STARS, _STARS_ARROW)
+    stars = at_buckets(stars, buckets, _merged_stars, _EDGES, _EDGES_ARROW)
     to_node = member.select("doc_id", "node").distinct()
     ends = stars.join(to_node.select(F.col("doc_id").alias("a"), F.col("node").alias("x")), "a")
     ends = ends.join(to_node.select(F.col("doc_id").alias("b"), F.col("node").alias("y")), "b")
-    blocks = materialize(spark, components(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))), "blocks")
+    blocks = materialize(spark, components(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))))
 
     # texts of the representatives in candidate blocks, next to each other
     weight = member.where("doc_id = node").groupBy("node").agg(F.max("n_shingles").alias("grams"))
     blocks = blocks.withColumnRenamed("component", "block").join(weight, "node")
     grams = blocks.groupBy("block").agg(F.sum("grams").alias("total"))
-    grams = materialize(spark, grams, "block-sizes")
+    grams = materialize(spark, grams)
     placed = blocks.join(grams, "block").withColumn("parts", F.ceil(F.col("total") / F.lit(block_grams)).cast("int"))
-    placed = materialize(spark, placed.select("node", "block", "parts"), "placed")
-    rows = docs.select(F.col("doc_id").alias("node"), "text").where("text is not null").join(placed, "node").distinct()
+    placed = materialize(spark, placed.select("node", "block", "parts"))
+    rows = possible.select(F.col("doc_id").alias("node"), "text").join(placed, "node")
     whole = rows.where("parts = 1").withColumn("task", F.pmod(F.xxhash64("block"), F.lit(4 * buckets)))
     links = whole.groupBy("task").applyInArrow(_own_products(n, percent), _EDGES)
     if placed.where("parts > 1").limit(1).count():
         split = rows.where("parts > 1").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-        split = materialize(spark, split, "split-blocks")
+        split = materialize(spark, split)
         own = split.groupBy("block", "part").applyInArrow(_own_products(n, percent), _EDGES)
         links = links.unionByName(_split_links(split, own, n, percent))
     # rows that repeat an id are one document
     least = to_node.groupBy("doc_id").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
     same = to_node.join(least, "doc_id").select(F.col("node").alias("a"), "b")
-    found = materialize(spark, components(links.unionByName(same)), "components")
+    found = materialize(spark, components(links.unionByName(same)))
     classes = to_node.groupBy("doc_id").agg(F.min("node").alias("node"))
     label = classes.join(found, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
-    label = materialize(spark, label, "labels")
+    label = materialize(spark, label)
     return sets.select("doc_id", "n_shingles").join(label, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
