@@ -12,9 +12,13 @@ neighbours tell which windows occur at two places: windows that start ``b``
 bytes before their anchors are equal if the anchors share ``b`` bytes
 backward and ``n - b`` bytes forward.
 
-A chunk sends equal runs once with a flag, so hot passages and groups of
-copies reach a bucket once per chunk (see ``chunks``). Every byte covered by a
-repeated window is removed, whichever copy it is in.
+A chunk sends equal runs once with a flag (see ``chunks``). Runs of one anchor
+whose contexts differ are different texts, so the first exchange also counts the
+distinct texts of every anchor. An anchor with more than ``sort_bytes`` of them is
+hot, and its texts never meet: each distinct window of its runs goes, as a BLAKE2b
+digest of 96 bits, to the bucket that the digest names, so the windows of one
+anchor spread over all buckets. Every byte covered by a repeated window is
+removed, whichever copy it is in.
 
 Null and empty texts have no bytes; texts shorter than ``n`` bytes lose
 nothing; repeated rows are copies of each other; an empty table gives no
@@ -25,6 +29,7 @@ so it is binary.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -35,35 +40,42 @@ from clickpath.llm import suffixes
 from clickpath.llm.chunks import (
     FINGERPRINT_BITS,
     Chunk,
+    answer_rows,
     answered,
     at_buckets,
     bits,
     bucket_slices,
     chunked,
     from_chunks,
+    groups_of,
     keyed,
-    match_twice,
     pack40,
+    pack_ids,
     prepare,
     unbits,
+    unpack40,
+    unpack_ids,
     with_answers,
 )
 from clickpath.llm.common import U64, PrefixHash, covered, materialize, mix, runs, tasks_for
 
 WINDOW = 400
 CHUNK_BYTES = 1 << 20
-#: text of the anchor groups that are sorted together (or one larger group)
+#: text of the anchor groups that are sorted together; a larger group is hot
 SORT_BYTES = 1 << 20
 #: buckets per shuffle partition of the session: they hold texts, not fingerprints
 BUCKETS_PER_TASK = 3
 
-_SENT = "bucket int, chunk long, size long, prints binary, multi binary"
-_SENT_ARROW = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("size", pa.int64()), ("prints", pa.binary()), ("multi", pa.binary())])
+#: kinds of answers: anchors that occur twice, windows of their texts, hot anchors, windows of their runs
+_TWICE, _SORTED, _HOT, _DIGESTS = 1, 2, 3, 4
+_DIGEST = np.dtype([("high", "<u8"), ("low", "<u4")])
+_SENT = "bucket int, chunk long, size long, prints binary, multi binary, texts binary"
+_SENT_ARROW = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("size", pa.int64()), ("prints", pa.binary()), ("multi", pa.binary()), ("texts", pa.binary())])
 _ANSWER = "kind int, bucket int, chunk long, size long, flags binary"
 _ANSWER_ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("size", pa.int64()), ("flags", pa.binary())])
-_SPANS = "bucket int, chunk long, size long, before binary, windows binary, multi binary, texts binary"
+_SPANS = "kind int, bucket int, chunk long, size long, before binary, windows binary, multi binary, texts binary"
 _SPANS_ARROW = pa.schema([
-    ("bucket", pa.int32()), ("chunk", pa.int64()), ("size", pa.int64()),
+    ("kind", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("size", pa.int64()),
     ("before", pa.binary()), ("windows", pa.binary()), ("multi", pa.binary()), ("texts", pa.binary()),
 ])
 _RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary"
@@ -87,19 +99,18 @@ def sliding_min(values: np.ndarray, w: int) -> np.ndarray:
 
 
 class _Runs:
-    """Runs of windows with the same anchor: first window, number, anchor, key."""
+    """Runs of windows with the same anchor: first window, number, anchor, key, hash of the text."""
 
     def __init__(self, chunk: Chunk, n: int, buckets: int):
         seed = max(1, n // 3)
         total = len(chunk.data)
         if total < n:
             self.first = self.count = self.anchor = np.zeros(0, np.int64)
-            self.key = np.zeros(0, U64)
+            self.key = self.text = np.zeros(0, U64)
             return
         prefix = PrefixHash(chunk.data)
         where = np.arange(total - seed + 1)
         seeds = mix(prefix.segments(where, where + seed))
-        del prefix
         ranked = (seeds & U64(0xFFFFFFFF00000000)) | where.astype(U64)
         del where
         anchor = sliding_min(ranked, n - seed + 1)
@@ -120,26 +131,58 @@ class _Runs:
         self.first = start[at]
         self.count = np.diff(np.concatenate((at, [len(start)])))
         self.anchor = own[at]
-        self.key = keyed(seeds[self.anchor], buckets)
+        # anchors have the smallest hashes, which would all fall into the first buckets: hashed anew
+        self.key = keyed(mix(seeds[self.anchor] + U64(0x9E3779B97F4A7C15)), buckets)
+        place = (self.anchor - self.first).astype(U64) << U64(32) | self.count.astype(U64)
+        self.text = mix(prefix.segments(self.first, self.first + self.count + n - 1)) ^ mix(place)
 
 
 def _send_anchors(n: int, buckets: int):
     def send(chunk: Chunk) -> Iterator[dict]:
-        keys, counts = np.unique(_Runs(chunk, n, buckets).key, return_counts=True)
+        r = _Runs(chunk, n, buckets)
+        keys, counts = np.unique(r.key, return_counts=True)
+        pairs = np.unique(np.stack((r.key, r.text)), axis=1)[0]
+        texts = np.unique(pairs, return_counts=True)[1]
         for bucket, lo, hi in bucket_slices(keys):
-            yield {"bucket": bucket, "chunk": chunk.number, "size": chunk.size, "prints": pack40(keys[lo:hi]), "multi": bits(counts[lo:hi] > 1)}
+            yield {
+                "bucket": bucket, "chunk": chunk.number, "size": chunk.size, "prints": pack40(keys[lo:hi]),
+                "multi": bits(counts[lo:hi] > 1), "texts": pack_ids(texts[lo:hi]),
+            }
 
     return send
 
 
+def _match_anchors(most: int):
+    def match(table: pa.Table) -> Iterator[dict]:
+        """Flags the anchors that occur twice or more, apart if they have more than ``most`` texts."""
+        prints = [unpack40(p) for p in table.column("prints").to_pylist()]
+        lengths = [len(p) for p in prints]
+        value = np.concatenate(prints)
+        multi = np.concatenate([unbits(m, k) for m, k in zip(table.column("multi").to_pylist(), lengths, strict=True)])
+        texts = np.concatenate([unpack_ids(t) for t in table.column("texts").to_pylist()])
+        order = np.argsort(value, kind="stable")
+        new = np.ones(len(order), bool)
+        new[1:] = value[order][1:] != value[order][:-1]
+        group = groups_of(new)
+        twice, hot = np.zeros(len(value), bool), np.zeros(len(value), bool)
+        hot[order] = (np.bincount(group, weights=texts[order]) > most)[group]
+        twice[order] = (np.bincount(group, weights=1 + multi[order]) >= 2)[group]
+        yield from answer_rows(table, lengths, twice & ~hot, _TWICE)
+        yield from answer_rows(table, lengths, twice & hot, _HOT)
+
+    return match
+
+
+def _answered_runs(r: _Runs, answers: pa.Table, kind: int) -> np.ndarray:
+    keys = np.unique(r.key)
+    return np.flatnonzero(answered(keys, answers, kind)[np.searchsorted(keys, r.key)])
+
+
 class _Spans:
-    """Distinct texts of the runs whose anchors occur twice, in bucket order."""
+    """Distinct texts of the runs whose anchors occur twice and are not hot, in bucket order."""
 
-    def __init__(self, chunk: Chunk, answers: pa.Table, n: int, buckets: int):
-        r = _Runs(chunk, n, buckets)
-        keys = np.unique(r.key)
-        hit = answered(keys, answers, 1)
-        chosen = np.flatnonzero(hit[np.searchsorted(keys, r.key)])
+    def __init__(self, chunk: Chunk, r: _Runs, answers: pa.Table, n: int):
+        chosen = _answered_runs(r, answers, _TWICE)
         chosen = chosen[np.argsort(r.key[chosen], kind="stable")]
         raw = chunk.data.tobytes()
         seen: dict[tuple[int, int, bytes], int] = {}
@@ -165,6 +208,51 @@ class _Spans:
         return bucket_slices(keys)
 
 
+class _Digests:
+    """Distinct windows of the runs with hot anchors by their digests, in bucket order."""
+
+    def __init__(self, chunk: Chunk, r: _Runs, answers: pa.Table, n: int, buckets: int):
+        chosen = _answered_runs(r, answers, _HOT)
+        raw = chunk.data.tobytes() if len(chosen) else b""
+        known: dict[bytes, bytes] = {}
+        found: list[bytes] = []
+        starts = [np.zeros(0, np.int64)]
+        for first, count in zip(r.first[chosen].tolist(), r.count[chosen].tolist(), strict=True):
+            text = raw[first : first + count + n - 1]
+            own = known.get(text)
+            if own is None:
+                own = known[text] = b"".join([blake2b(text[i : i + n], digest_size=_DIGEST.itemsize).digest() for i in range(count)])
+            found.append(own)
+            starts.append(np.arange(first, first + count))
+        values = np.frombuffer(b"".join(found), _DIGEST)
+        order = np.lexsort((values["low"], values["high"]))
+        values = values[order]
+        new = np.ones(len(values), bool)
+        new[1:] = values[1:] != values[:-1]
+        self.starts, self.group = np.concatenate(starts)[order], groups_of(new)
+        self.values = values[new]
+        self.multi = np.bincount(self.group, minlength=len(self.values)) > 1
+        self.bucket = ((self.values["high"] >> U64(32)) * U64(buckets)) >> U64(32)
+
+    def slices(self) -> Iterator[tuple[int, int, int]]:
+        return bucket_slices(self.bucket << U64(FINGERPRINT_BITS))
+
+
+def _match_digests(table: pa.Table) -> Iterator[dict]:
+    """Flags the windows that occur twice or more."""
+    sent = [np.frombuffer(t, _DIGEST) for t in table.column("texts").to_pylist()]
+    lengths = [len(v) for v in sent]
+    values = np.concatenate(sent)
+    multi = np.concatenate([unbits(m, k) for m, k in zip(table.column("multi").to_pylist(), lengths, strict=True)])
+    order = np.lexsort((values["low"], values["high"]))
+    new = np.ones(len(order), bool)
+    new[1:] = values[order][1:] != values[order][:-1]
+    group = groups_of(new)
+    twice = np.zeros(len(values), bool)
+    twice[order] = (np.bincount(group, weights=1 + multi[order]) >= 2)[group]
+    yield from answer_rows(table, lengths, twice, _DIGESTS)
+
+
 def _by_bucket(answers: pa.Table, kind: int) -> dict[int, bytes]:
     columns = [answers.column(c).to_pylist() for c in ("kind", "bucket", "flags")]
     return {b: f for k, b, f in zip(*columns, strict=True) if k == kind}
@@ -174,11 +262,17 @@ def _send_spans(n: int, buckets: int):
     def send(chunk: Chunk, answers: pa.Table) -> Iterator[dict]:
         if answers.num_rows == 0:
             return
-        s = _Spans(chunk, answers, n, buckets)
+        r = _Runs(chunk, n, buckets)
+        s, d = _Spans(chunk, r, answers, n), _Digests(chunk, r, answers, n, buckets)
+        for bucket, lo, hi in d.slices():
+            yield {
+                "kind": _DIGESTS, "bucket": bucket, "chunk": chunk.number, "size": chunk.size,
+                "multi": bits(d.multi[lo:hi]), "texts": d.values[lo:hi].tobytes(),
+            }
         for bucket, lo, hi in s.slices():
             own = s.texts[lo:hi]
             yield {
-                "bucket": bucket, "chunk": chunk.number, "size": chunk.size,
+                "kind": _SORTED, "bucket": bucket, "chunk": chunk.number, "size": chunk.size,
                 "before": np.array([t[0] for t in own], "<u4").tobytes(),
                 "windows": np.array([t[1] for t in own], "<u4").tobytes(),
                 "multi": bits(np.array([len(r) > 1 for r in s.runs[lo:hi]])),
@@ -190,7 +284,11 @@ def _send_spans(n: int, buckets: int):
 
 def _sort_spans(n: int):
     def answer(table: pa.Table) -> Iterator[dict]:
-        """Flags, for every window of every sent text, that it occurs twice or more."""
+        """Flags, for every window of every sent text or digest, that it occurs twice or more."""
+        kind = table.column("kind").to_numpy()
+        if (kind == _DIGESTS).any():
+            yield from _match_digests(table.filter(pa.array(kind == _DIGESTS)))
+            table = table.filter(pa.array(kind == _SORTED))
         classes: dict[tuple[int, int, bytes], int] = {}
         copies: list[int] = []
         member: list[int] = []
@@ -216,7 +314,7 @@ def _sort_spans(n: int):
             at += spans
             own = np.concatenate(own)
             if own.any():
-                yield {"kind": 2, "bucket": bucket, "chunk": chunk, "size": size, "flags": bits(own)}
+                yield {"kind": _SORTED, "bucket": bucket, "chunk": chunk, "size": size, "flags": bits(own)}
 
     return answer
 
@@ -274,9 +372,15 @@ def _remove(n: int, buckets: int):
     def cut(chunk: Chunk, answers: pa.Table) -> Iterator[dict]:
         lost = np.zeros(len(chunk.data), bool)
         if answers.num_rows:
-            s = _Spans(chunk, answers, n, buckets)
-            got = _by_bucket(answers, 2)
-            starts = [np.zeros(0, np.int64)]
+            r = _Runs(chunk, n, buckets)
+            s, d = _Spans(chunk, r, answers, n), _Digests(chunk, r, answers, n, buckets)
+            got = _by_bucket(answers, _DIGESTS)
+            repeated = np.zeros(len(d.values), bool)
+            for bucket, lo, hi in d.slices():
+                if bucket in got:
+                    repeated[lo:hi] = unbits(got[bucket], hi - lo)
+            starts = [d.starts[repeated[d.group]]]
+            got = _by_bucket(answers, _SORTED)
             for bucket, lo, hi in s.slices():
                 if bucket not in got:
                     continue
@@ -304,17 +408,17 @@ def _remove(n: int, buckets: int):
     return cut
 
 
-def remove_repeated_bytes(docs: DataFrame, n: int = WINDOW, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, n: int = WINDOW, chunk_bytes: int = CHUNK_BYTES, sort_bytes: int = SORT_BYTES) -> DataFrame:
     """Per document: ``doc_id``, ``n_bytes``, ``n_removed``, ``spans`` (maximal
     removed byte runs) and ``kept`` (the remaining bytes). ``docs`` must be
-    re-readable (see ``chunks``)."""
+    re-readable (see ``chunks``). Anchors with more than ``sort_bytes`` of texts are hot."""
     if n < 3:
         raise ValueError("a window has at least three bytes")
     spark = docs.sparkSession
     buckets = BUCKETS_PER_TASK * tasks_for(spark)
     docs = prepare(docs)
     sent = from_chunks(docs, _send_anchors(n, buckets), _SENT, _SENT_ARROW, chunk_bytes)
-    hits = materialize(spark, at_buckets(sent, buckets, match_twice, _ANSWER, _ANSWER_ARROW))
+    hits = materialize(spark, at_buckets(sent, buckets, _match_anchors(sort_bytes // (2 * n)), _ANSWER, _ANSWER_ARROW))
     parts = chunked(docs, chunk_bytes)
     spans = with_answers(parts, hits, _send_spans(n, buckets), _SPANS, _SPANS_ARROW)
     repeated = at_buckets(spans, buckets, _sort_spans(n), _ANSWER, _ANSWER_ARROW)

@@ -7,9 +7,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from clickpath.llm import suffixes
+from clickpath.llm import suffix_dedup, suffixes
+from clickpath.llm.chunks import Chunk
 from clickpath.llm.repeats import remove_repeats, repeats_report
 from clickpath.llm.suffix_dedup import remove_repeated_bytes, repeated_windows, suffix_report
 
@@ -99,6 +101,48 @@ def test_byte_repeats_match_brute_force(spark, corpus, chunk_bytes):
     assert got == brute_bytes(rows)
 
 
+def hot_rows():
+    """A short line and a longer passage, each in many documents with contexts of their own."""
+    rng = random.Random(12)
+    prose = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    line, passage = prose(250), prose(450)
+    rows = [(1000 + i, prose(500) + line + prose(500)) for i in range(40)]
+    rows += [(2000 + i, prose(rng.randint(0, 300)) + passage + prose(rng.randint(0, 300))) for i in range(40)]
+    return rows + [(3000 + i, rows[50][1]) for i in range(4)] + [(None, rows[2][1])]
+
+
+@pytest.mark.parametrize("chunk_bytes", [700, 2 << 20])
+def test_hot_anchors_match_brute_force(spark, corpus, chunk_bytes):
+    rows = edge_rows() + hot_rows()
+    found = remove_repeated_bytes(corpus(rows), chunk_bytes=chunk_bytes, sort_bytes=8000).collect()
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in found), key=str)
+    assert got == brute_bytes(rows)
+
+
+def test_texts_of_a_hot_anchor_do_not_meet():
+    """What a bucket gets of an anchor with differing contexts is bounded and spread."""
+    n, buckets, sort_bytes = 400, 16, 8000
+    chunks = [Chunk(i, pa.array([a]), pa.array([b])) for i, (a, b) in enumerate(hot_rows()[:40])]
+    sent = pa.Table.from_pylist([x for c in chunks for x in suffix_dedup._send_anchors(n, buckets)(c)], schema=suffix_dedup._SENT_ARROW)
+    match = suffix_dedup._match_anchors(sort_bytes // (2 * n))
+    at = lambda t, b: t.filter(pa.array(np.array(t.column("bucket")) == b))
+    hits = [x for b in set(sent.column("bucket").to_pylist()) for x in match(at(sent, b))]
+    held = np.zeros(buckets, np.int64)
+    for c in chunks:
+        own = pa.Table.from_pylist([x for x in hits if x["chunk"] == c.number], schema=suffix_dedup._ANSWER_ARROW)
+        for x in suffix_dedup._send_spans(n, buckets)(c, own):
+            held[x["bucket"]] += len(x["texts"])
+    assert held.min() > 0 and held.max() < 2 * held.mean()
+
+
+def test_anchors_spread_over_the_buckets():
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(20000)) for _ in range(10)]
+    r = suffix_dedup._Runs(Chunk(0, pa.array(range(10)), pa.array(texts)), 400, 16)
+    held = np.bincount((r.key >> np.uint64(40)).astype(int), minlength=16)
+    assert held.min() > 0 and held.max() < 2 * held.mean()
+
+
 def test_empty_tables(spark, corpus):
     empty = corpus([(1, "x")]).where("doc_id < 0")
     assert repeats_report(empty).collect() == []
