@@ -20,8 +20,11 @@ The document by n-gram incidence matrix is never multiplied as a whole.
    of near copies takes a few rows and not all pairs.
 4. Blocks beyond ``block_grams`` n-grams are split: each part is multiplied with
    itself, then with the most central rows of all parts, then with the rows
-   that are still apart from the largest component. So no task holds a whole
-   hot group and no link between different components is lost.
+   that are still apart from the largest component. These rows come in slices
+   of about ``block_grams`` n-grams, so no task holds a whole hot group.
+   Components are found anew before each step and a task links different ones
+   only, so it emits fewer links than it has components and none between
+   different components is lost.
 
 Documents link when ``100 * overlap >= percent * union`` on exact integers.
 
@@ -322,15 +325,22 @@ def product_links(block: Block, percent: int, labels: np.ndarray | None = None)
     return links, labels
 
 
-def cross_links(block: Block, nodes: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links of other rows with the rows of a block."""
+def cross_links(
+    block: Block, labels: np.ndarray, nodes: list[int], sets: list[np.ndarray], their_labels: np.ndarray, percent: int
+) -> list[tuple[int, int]]:
+    """Links of other rows with the rows of a block that join different components."""
     links = []
-    for node, grams in zip(nodes, sets, strict=True):
+    labels, theirs = labels.copy(), their_labels.copy()
+    for k, (node, grams) in enumerate(zip(nodes, sets, strict=True)):
         size = len(grams)
-        apart = _in_range(block.sizes, size, percent) & (block.nodes != node)
+        apart = _in_range(block.sizes, size, percent) & (labels != theirs[k])
         if apart.any():
             hit = np.flatnonzero(apart & _linked(block.sizes, size, block.overlaps(grams), percent))
-            links += [(node, int(block.nodes[j])) for j in hit.tolist()]
+            for j in hit.tolist():
+                if (joined := labels[j]) != theirs[k]:
+                    links.append((node, int(block.nodes[j])))
+                    labels[labels == joined] = theirs[k]
+                    theirs[theirs == joined] = theirs[k]
     return links
 
 
@@ -361,7 +371,7 @@ def _central_rows(n: int, keep: int):
     def run(table: pa.Table) -> pa.Table:
         nodes, sets = _table_sets(table, n)
         top = np.argsort(-Block(nodes, sets).degrees(), kind="stable")[:keep]
-        return table.take(pa.array(np.sort(top))).select(["block", "node", "text"])
+        return table.take(pa.array(np.sort(top)))
 
     return run
 
@@ -372,31 +382,48 @@ def _cross_products(n: int, percent: int):
             return pa.Table.from_pylist([], schema=_EDGES_ARROW)
         nodes, sets = _table_sets(left, n)
         others, their_sets = _table_sets(right, n)
-        links = cross_links(Block(nodes, sets), others.tolist(), their_sets, percent)
+        labels, their_labels = (t.column("component").to_numpy() for t in (left, right))
+        links = cross_links(Block(nodes, sets), labels, others.tolist(), their_sets, their_labels, percent)
         return pa.Table.from_pylist([{"a": a, "b": b} for a, b in links], schema=_EDGES_ARROW)
 
     return run
 
 
-def _split_links(rows: DataFrame, own: DataFrame, n: int, percent: int, central: int = 8) -> DataFrame:
-    """Links of the split blocks (``block``, ``part``, ``parts``, ``node``, ``text``), beyond
+_SPLIT = "block long, part int, parts int, node long, grams long, component long, text string"
+
+
+def _split_links(rows: DataFrame, own: DataFrame, n: int, percent: int, block_grams: int, central: int = 8) -> DataFrame:
+    """Links of the split blocks (``block``, ``part``, ``parts``, ``node``, ``grams``, ``text``), with
     those inside their parts (``own``)."""
     spark = rows.sparkSession
-    parts = rows.select("block", "part", "node", "text")
-    fresh = lambda c: F.col(c).alias(c)  # noqa: E731 - own column identities, the sides share their origin
-    spread = lambda df: df.select(fresh("block"), F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), fresh("node"), fresh("text"))
-    type_ = "block long, node long, text string"
-    hubs = rows.groupBy("block", "part").applyInArrow(_central_rows(n, central), type_)
-    hubs = materialize(spark, hubs.join(rows.select("block", "parts").distinct(), "block"))
-    cross = lambda asked: parts.groupBy("block", "part").cogroup(spread(asked).groupBy("block", "part")).applyInArrow(_cross_products(n, percent), _EDGES)
-    linked = materialize(spark, own.unionByName(cross(hubs)))
+    columns = ("block", "part", "slice", "node", "component", "text")
+    key = ("block", "part", "slice")
+
+    def labelled(links: DataFrame) -> DataFrame:
+        found = rows.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        return materialize(spark, found.select("block", "part", "parts", "node", "grams", "component", "text"))
+
+    def cross(parts: DataFrame, asked: DataFrame) -> DataFrame:
+        """Links of ``asked`` rows, a slice of them at a time, with all parts of their block."""
+        # a block beyond block_grams is one row here
+        slices = asked.groupBy("block").agg(F.ceil(F.sum("grams") / F.lit(block_grams)).cast("int").alias("slices"))
+        slices = F.broadcast(materialize(spark, slices))
+        left = parts.join(slices, "block").withColumn("slice", F.explode(F.expr("sequence(0, slices - 1)")))
+        right = asked.drop("part").join(slices, "block").withColumn("slice", F.pmod(F.xxhash64("node", F.lit(1)), F.col("slices")).cast("int"))
+        right = right.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+        left, right = (df.select(*[F.col(c).alias(c) for c in columns]) for df in (left, right))  # own column identities
+        return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_cross_products(n, percent), _EDGES)
+
+    linked = materialize(spark, own)
+    parts = labelled(linked)
+    hubs = materialize(spark, parts.groupBy("block", "part").applyInArrow(_central_rows(n, central), _SPLIT))
+    linked = materialize(spark, linked.unionByName(cross(parts, hubs)))
     # rows outside the largest component of their block meet all parts
-    found = components(linked)
-    labelled = rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = labelled.groupBy("block", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("block").agg(F.max_by("component", F.struct("size", "component")).alias("largest"))
-    apart = labelled.join(largest, "block").where("component <> largest").select("block", "parts", "node", "text")
-    return linked.unionByName(cross(apart))
+    parts = labelled(linked)
+    sizes = parts.groupBy("block", "component").agg(F.count(F.lit(1)).alias("size"))
+    largest = materialize(spark, sizes.groupBy("block").agg(F.max_by("component", F.struct("size", "component")).alias("largest")))
+    apart = parts.join(F.broadcast(largest), "block").where("component <> largest").drop("largest")
+    return linked.unionByName(cross(parts, apart))
 
 
 def near_duplicates(
@@ -434,7 +461,7 @@ def near_duplicates(
     grams = blocks.groupBy("block").agg(F.sum("grams").alias("total"))
     grams = materialize(spark, grams)
     placed = blocks.join(grams, "block").withColumn("parts", F.ceil(F.col("total") / F.lit(block_grams)).cast("int"))
-    placed = materialize(spark, placed.select("node", "block", "parts"))
+    placed = materialize(spark, placed.select("node", "block", "parts", "grams"))
     rows = possible.select(F.col("doc_id").alias("node"), "text").join(placed, "node")
     whole = rows.where("parts = 1").withColumn("task", F.pmod(F.xxhash64("block"), F.lit(4 * buckets)))
     links = whole.groupBy("task").applyInArrow(_own_products(n, percent), _EDGES)
@@ -442,7 +469,7 @@ def near_duplicates(
         split = rows.where("parts > 1").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         split = materialize(spark, split)
         own = split.groupBy("block", "part").applyInArrow(_own_products(n, percent), _EDGES)
-        links = links.unionByName(_split_links(split, own, n, percent))
+        links = links.unionByName(_split_links(split, own, n, percent, block_grams))
     # rows that repeat an id are one document
     least = to_node.groupBy("doc_id").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
     same = to_node.join(least, "doc_id").select(F.col("node").alias("a"), "b")

@@ -7,6 +7,7 @@ import re
 
 import pytest
 
+from clickpath.llm import jaccard_join
 from clickpath.llm.components import components
 from clickpath.llm.jaccard_join import near_duplicates
 
@@ -69,6 +70,26 @@ def test_components_match_brute_force(spark, corpus, block_grams, chunk_bytes, p
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=str) == brute(rows, n, percent)
 
 
+def test_split_block_with_two_large_groups(spark, corpus):
+    """Near copies in a second large group of a split block are linked, but not all pairs of them."""
+    rng = random.Random(4)
+    groups = [[f"{c}{rng.randrange(10**6)}" for _ in range(60)] for c in "xy"]
+    rows, edited = [], []
+    for i in range(100):
+        words = list(groups[i >= 60])
+        words[rng.randrange(60)] = f"z{i}"
+        edited.append(" ".join(words))
+        rows.append((7, i % 4, 4, i, 57, edited[-1]))
+    corpus([(1, "x")])
+    split = spark.createDataFrame(rows, "block long, part int, parts int, node long, grams long, text string")
+    own = split.groupBy("block", "part").applyInArrow(jaccard_join._own_products(4, 80), jaccard_join._EDGES)
+    links = [(r.a, r.b) for r in jaccard_join._split_links(split, own, 4, 80, 1000).collect()]
+    assert all((a < 60) == (b < 60) for a, b in links)
+    found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {i: component for i, _, component in brute(list(enumerate(edited)), 4, 80)}
+    assert len(links) < 4 * len(rows)
+
+
 def test_empty_table(spark, corpus):
     assert near_duplicates(corpus([(1, "x")]).where("doc_id < 0")).collect() == []
 
