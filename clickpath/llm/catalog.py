@@ -8,6 +8,7 @@ from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination_report
 from clickpath.llm.hash_forest import neighbours_report
 from clickpath.llm.jaccard_join import near_duplicates
+from clickpath.llm.line_rules import quality_rules_report
 from clickpath.llm.mixing import mixing_report
 from clickpath.llm.oracles import ORACLE_SQL  # noqa: F401 - read by the entry file
 from clickpath.llm.personal_data import personal_data_report
@@ -16,6 +17,7 @@ from clickpath.llm.repeats import repeats_report
 from clickpath.llm.suffix_dedup import suffix_report
 from clickpath.llm.toxicity import toxicity_report
 from clickpath.llm.warc import archive_report
+from clickpath.llm.whitening import whitening_report
 
 
 #: payload bytes per archive shard (one sorted task and at least one file each)
@@ -62,6 +64,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats_report(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening_report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_personal_data": op2_personal_data,
@@ -73,4 +83,6 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_warc": op9_warc,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_line_rules": op12_line_rules,
 }

@@ -1,5 +1,7 @@
 """DuckDB statements with the rows of the registered corpus queries."""
 
+from clickpath.llm import line_rules
+
 OP1_SQL = r"""
 WITH dw AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -69,9 +71,44 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(r.y) AS com
 FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.x = d.doc_id GROUP BY 1, 2
 """
 
+_OP12_LINES = f"""
+  SELECT doc_id, line, w, len(regexp_extract_all(line, '{line_rules.ODD_MARKS}')) AS odd,
+         len(regexp_extract_all(line, '{line_rules.SEPARATORS}')) AS seps, len(regexp_extract_all(line, '{line_rules.MENU_WORDS}')) AS menus,
+         regexp_matches(line, '{line_rules.SENTENCE_MARKS}') AS marked, regexp_matches(line, '{line_rules.PHRASES}') AS phrase
+  FROM (SELECT doc_id, line, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS w
+        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)) WHERE w > 0
+"""
+
+OP12_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+l AS MATERIALIZED ({_OP12_LINES}),
+lost AS (
+  SELECT doc_id, sum(w) AS n FROM l
+  WHERE (odd >= {line_rules.ODD_LEAST} AND 100 * odd >= {line_rules.ODD_PERCENT} * w) OR (w >= {line_rules.LONG_LINE} AND NOT marked)
+     OR (w <= {line_rules.NAVIGATION_WORDS} AND 2 * menus >= w) OR (seps >= 2 AND 100 * seps >= {line_rules.SEPARATOR_PERCENT} * w)
+     OR (w <= {line_rules.BOILERPLATE_WORDS} AND phrase) GROUP BY doc_id),
+dup AS (SELECT doc_id, sum(c - 1) AS n FROM (SELECT doc_id, line, count(*) AS c FROM l GROUP BY doc_id, line) GROUP BY doc_id),
+g AS (
+  SELECT doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c FROM g),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM r WHERE c > 1) GROUP BY doc_id),
+a AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_lost_words
+  FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN lost USING (doc_id))
+SELECT *, n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.REPEAT_PERCENT} * n_words AS base_failed,
+       NOT (n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.REPEAT_PERCENT} * n_words)
+         AND 100 * n_lost_words <= {line_rules.LOSS_PERCENT} * n_words AS kept
+FROM a
+"""
+
 ORACLE_SQL = {
     "op1_decontaminate": OP1_SQL,
     "op5_ngram_jaccard_join": OP5_SQL,
     "op9_warc": OP9_SQL,
     "op10_substring_dedup": OP10_SQL,
+    "op12_line_rules": OP12_SQL,
 }
