@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination_report
+from clickpath.llm.hard_negatives import mining_report
 from clickpath.llm.hash_forest import neighbours_report
 from clickpath.llm.jaccard_join import near_duplicates
 from clickpath.llm.line_rules import quality_rules_report
@@ -72,6 +73,10 @@ def op12_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules_report(table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mining_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_personal_data": op2_personal_data,
@@ -85,4 +90,5 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_whitening": op11_whitening,
     "op12_line_rules": op12_line_rules,
+    "op13_hard_negatives": op13_hard_negatives,
 }

@@ -105,10 +105,31 @@ SELECT *, n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules
 FROM a
 """
 
+OP13_SQL = r"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
 ORACLE_SQL = {
     "op1_decontaminate": OP1_SQL,
     "op5_ngram_jaccard_join": OP5_SQL,
     "op9_warc": OP9_SQL,
     "op10_substring_dedup": OP10_SQL,
     "op12_line_rules": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
