@@ -38,6 +38,27 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM p LEFT JOIN f USING (payload_digest)
 """
 
+# bytes as two hex digits each; windows are compared by their MD5
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 399)) AS i FROM d WHERE len(h) >= 800),
+w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS g FROM s),
+r AS (SELECT doc_id, i FROM w WHERE g IN (SELECT g FROM w GROUP BY g HAVING count(*) > 1)),
+b AS (SELECT doc_id, i, coalesce(i > 400 + lag(i) OVER (PARTITION BY doc_id ORDER BY i), true) AS new FROM r),
+m AS (
+  SELECT doc_id, min(i) AS a, max(i) + 400 AS z
+  FROM (SELECT doc_id, i, sum(CAST(new AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM b) GROUP BY doc_id, run),
+p AS (
+  SELECT doc_id, a, z, coalesce(lag(z) OVER o, 0) AS kept_from, lead(a) OVER o IS NULL AS last FROM m WINDOW o AS (PARTITION BY doc_id ORDER BY a)),
+k AS (
+  SELECT doc_id, count(*) AS n_spans, sum(z - a) AS n_removed,
+         string_agg(substr(h, 2 * kept_from + 1, 2 * (a - kept_from)) || CASE WHEN last THEN substr(h, 2 * z + 1) ELSE '' END, '' ORDER BY a) AS kept
+  FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
 OP10_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -128,6 +149,7 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 ORACLE_SQL = {
     "op1_decontaminate": OP1_SQL,
     "op5_ngram_jaccard_join": OP5_SQL,
+    "op8_suffix_dedup": OP8_SQL,
     "op9_warc": OP9_SQL,
     "op10_substring_dedup": OP10_SQL,
     "op12_line_rules": OP12_SQL,

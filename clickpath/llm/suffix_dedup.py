@@ -15,10 +15,19 @@ backward and ``n - b`` bytes forward.
 A chunk sends equal runs once with a flag (see ``chunks``). Runs of one anchor
 whose contexts differ are different texts, so the first exchange also counts the
 distinct texts of every anchor. An anchor with more than ``sort_bytes`` of them is
-hot, and its texts never meet: each distinct window of its runs goes, as a BLAKE2b
-digest of 96 bits, to the bucket that the digest names, so the windows of one
-anchor spread over all buckets. Every byte covered by a repeated window is
-removed, whichever copy it is in.
+hot, and its texts never meet in one task: its windows are split by how far they reach
+before the anchor, into cells of ``w`` consecutive starts for falling ``w`` down to
+1. All windows of a cell share a core of ``n - w + 1`` bytes, the longer the
+narrower the cell, so windows are equal only if their cores are. One exchange counts
+the cores of all widths; a window whose core occurs once in some width is no repeat, and
+the others are sorted, like the rest, with the widest core that is not hot itself. A
+core of width 1 is the window, whose texts are all equal. Hashes choose buckets and
+drop what is unique; equality is decided by the sort alone, which verifies it
+against the bytes. Every byte covered by a repeated window is removed, whichever copy
+it is in.
+
+A chunk is at least one whole document: a task holds about 50 bytes for each byte of
+the longest one, which bounds documents to about 20 MB in an executor of 3 GB.
 
 Null and empty texts have no bytes; texts shorter than ``n`` bytes lose
 nothing; repeated rows are copies of each other; an empty table gives no
@@ -29,7 +38,6 @@ so it is binary.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -66,17 +74,19 @@ SORT_BYTES = 1 << 20
 #: buckets per shuffle partition of the session: they hold texts, not fingerprints
 BUCKETS_PER_TASK = 3
 
-#: kinds of answers: anchors that occur twice, windows of their texts, hot anchors, windows of their runs
-_TWICE, _SORTED, _HOT, _DIGESTS = 1, 2, 3, 4
-_DIGEST = np.dtype([("high", "<u8"), ("low", "<u4")])
+#: how much narrower the cells of a hot anchor's windows get from width to width
+NARROWING = 4
+
+#: kinds of answers: anchors that occur twice, windows of their texts, hot anchors; the same for cores of hot anchors
+_TWICE, _SORTED, _HOT, _CORE_TWICE, _CORE_SORTED, _CORE_HOT = 1, 2, 3, 4, 5, 6
 _SENT = "bucket int, chunk long, size long, prints binary, multi binary, texts binary"
 _SENT_ARROW = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("size", pa.int64()), ("prints", pa.binary()), ("multi", pa.binary()), ("texts", pa.binary())])
 _ANSWER = "kind int, bucket int, chunk long, size long, flags binary"
 _ANSWER_ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("size", pa.int64()), ("flags", pa.binary())])
-_SPANS = "kind int, bucket int, chunk long, size long, before binary, windows binary, multi binary, texts binary"
+_SPANS = "kind int, bucket int, chunk long, size long, prints binary, before binary, windows binary, multi binary, texts binary"
 _SPANS_ARROW = pa.schema([
     ("kind", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("size", pa.int64()),
-    ("before", pa.binary()), ("windows", pa.binary()), ("multi", pa.binary()), ("texts", pa.binary()),
+    ("prints", pa.binary()), ("before", pa.binary()), ("windows", pa.binary()), ("multi", pa.binary()), ("texts", pa.binary()),
 ])
 _RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary"
 _RESULT_ARROW = pa.schema([
@@ -104,6 +114,7 @@ class _Runs:
     def __init__(self, chunk: Chunk, n: int, buckets: int):
         seed = max(1, n // 3)
         total = len(chunk.data)
+        self.prefix = None
         if total < n:
             self.first = self.count = self.anchor = np.zeros(0, np.int64)
             self.key = self.text = np.zeros(0, U64)
@@ -133,28 +144,68 @@ class _Runs:
         self.anchor = own[at]
         # anchors have the smallest hashes, which would all fall into the first buckets: hashed anew
         self.key = keyed(mix(seeds[self.anchor] + U64(0x9E3779B97F4A7C15)), buckets)
-        place = (self.anchor - self.first).astype(U64) << U64(32) | self.count.astype(U64)
-        self.text = mix(prefix.segments(self.first, self.first + self.count + n - 1)) ^ mix(place)
+        self.prefix = prefix
+        self.text = _text_hashes(prefix, self.first, self.count, self.anchor, n)
+
+
+def _text_hashes(prefix: PrefixHash, first: np.ndarray, count: np.ndarray, anchor: np.ndarray, n: int) -> np.ndarray:
+    place = (anchor - first).astype(U64) << U64(32) | count.astype(U64)
+    return mix(prefix.segments(first, first + count + n - 1)) ^ mix(place)
+
+
+def cell_widths(n: int) -> list[int]:
+    """Widths of the cells, from below the widest run down to 1."""
+    widths = [n - max(1, n // 3) + 1]
+    while widths[-1] > 1:
+        widths.append(-(-widths[-1] // NARROWING))
+    return widths[1:]
+
+
+class _Cells:
+    """Runs cut into cells of ``width``: like ``_Runs``, with the keys of the cells' cores."""
+
+    def __init__(self, r: _Runs, chosen: np.ndarray, width: int, n: int, buckets: int):
+        most = r.anchor[chosen] - r.first[chosen]  # bytes before the anchor, falling along a run
+        least = most - r.count[chosen] + 1
+        cells = most // width - least // width + 1
+        run = np.repeat(np.arange(len(chosen)), cells)
+        cell = least[run] // width + np.arange(len(run)) - (np.cumsum(cells) - cells)[run]
+        high = np.minimum(most[run], cell * width + width - 1)
+        low = np.maximum(least[run], cell * width)
+        self.anchor = r.anchor[chosen][run]
+        self.first, self.count = self.anchor - high, high - low + 1
+        if not len(run):
+            self.key = self.text = np.zeros(0, U64)
+            return
+        start = self.anchor - cell * width
+        core = mix(r.prefix.segments(start, start + n - width + 1))
+        self.key = keyed(mix(core + U64(0xD1342543DE82EF95 * width % (1 << 64))), buckets)
+        self.text = _text_hashes(r.prefix, self.first, self.count, self.anchor, n)
+
+
+def _prints(chunk: Chunk, key: np.ndarray, text: np.ndarray) -> Iterator[dict]:
+    """Each distinct key once, whether it occurs twice or more here, and its number of texts."""
+    keys, counts = np.unique(key, return_counts=True)
+    pairs = np.unique(np.stack((key, text)), axis=1)[0]
+    texts = np.unique(pairs, return_counts=True)[1]
+    for bucket, lo, hi in bucket_slices(keys):
+        yield {
+            "bucket": bucket, "chunk": chunk.number, "size": chunk.size, "prints": pack40(keys[lo:hi]),
+            "multi": bits(counts[lo:hi] > 1), "texts": pack_ids(texts[lo:hi]),
+        }
 
 
 def _send_anchors(n: int, buckets: int):
     def send(chunk: Chunk) -> Iterator[dict]:
         r = _Runs(chunk, n, buckets)
-        keys, counts = np.unique(r.key, return_counts=True)
-        pairs = np.unique(np.stack((r.key, r.text)), axis=1)[0]
-        texts = np.unique(pairs, return_counts=True)[1]
-        for bucket, lo, hi in bucket_slices(keys):
-            yield {
-                "bucket": bucket, "chunk": chunk.number, "size": chunk.size, "prints": pack40(keys[lo:hi]),
-                "multi": bits(counts[lo:hi] > 1), "texts": pack_ids(texts[lo:hi]),
-            }
+        yield from _prints(chunk, r.key, r.text)
 
     return send
 
 
-def _match_anchors(most: int):
+def _match_anchors(most: int, kind_twice: int = _TWICE, kind_hot: int = _HOT):
     def match(table: pa.Table) -> Iterator[dict]:
-        """Flags the anchors that occur twice or more, apart if they have more than ``most`` texts."""
+        """Flags the keys that occur twice or more, apart if they have more than ``most`` texts."""
         prints = [unpack40(p) for p in table.column("prints").to_pylist()]
         lengths = [len(p) for p in prints]
         value = np.concatenate(prints)
@@ -167,90 +218,109 @@ def _match_anchors(most: int):
         twice, hot = np.zeros(len(value), bool), np.zeros(len(value), bool)
         hot[order] = (np.bincount(group, weights=texts[order]) > most)[group]
         twice[order] = (np.bincount(group, weights=1 + multi[order]) >= 2)[group]
-        yield from answer_rows(table, lengths, twice & ~hot, _TWICE)
-        yield from answer_rows(table, lengths, twice & hot, _HOT)
+        yield from answer_rows(table, lengths, twice & ~hot, kind_twice)
+        yield from answer_rows(table, lengths, twice & hot, kind_hot)
 
     return match
 
 
-def _answered_runs(r: _Runs, answers: pa.Table, kind: int) -> np.ndarray:
+def _answered_runs(r, answers: pa.Table, kind: int) -> np.ndarray:
     keys = np.unique(r.key)
     return np.flatnonzero(answered(keys, answers, kind)[np.searchsorted(keys, r.key)])
 
 
 class _Spans:
-    """Distinct texts of the runs whose anchors occur twice and are not hot, in bucket order."""
+    """Distinct texts of runs (or of cells of them), in bucket order."""
 
-    def __init__(self, chunk: Chunk, r: _Runs, answers: pa.Table, n: int):
-        chosen = _answered_runs(r, answers, _TWICE)
-        chosen = chosen[np.argsort(r.key[chosen], kind="stable")]
-        raw = chunk.data.tobytes()
-        seen: dict[tuple[int, int, bytes], int] = {}
+    def __init__(self, chunk: Chunk, first, count, anchor, key, n: int):
+        order = np.argsort(key, kind="stable")
+        raw = chunk.data.tobytes() if len(order) else b""
+        seen: dict[tuple[int, int, int, bytes], int] = {}
         self.runs: list[list[int]] = []  # first windows of the runs of each distinct text
         self.texts: list[tuple[int, int, bytes]] = []
-        self.bucket: list[int] = []
-        for first, count, anchor, bucket in zip(
-            r.first[chosen].tolist(), r.count[chosen].tolist(), r.anchor[chosen].tolist(),
-            (r.key[chosen] >> U64(FINGERPRINT_BITS)).tolist(), strict=True,
-        ):
-            text = (anchor - first, count, raw[first : first + count + n - 1])
-            at = seen.get(text)
+        self.keys: list[int] = []
+        for f, c, a, k in zip(first[order].tolist(), count[order].tolist(), anchor[order].tolist(), key[order].tolist(), strict=True):
+            text = (a - f, c, raw[f : f + c + n - 1])
+            at = seen.get((k, *text))
             if at is None:
-                seen[text] = len(self.texts)
+                seen[(k, *text)] = len(self.texts)
                 self.texts.append(text)
-                self.bucket.append(bucket)
-                self.runs.append([first])
+                self.keys.append(k)
+                self.runs.append([f])
             else:
-                self.runs[at].append(first)
+                self.runs[at].append(f)
 
     def slices(self) -> Iterator[tuple[int, int, int]]:
-        keys = np.array(self.bucket, U64) << U64(FINGERPRINT_BITS)
-        return bucket_slices(keys)
-
-
-class _Digests:
-    """Distinct windows of the runs with hot anchors by their digests, in bucket order."""
-
-    def __init__(self, chunk: Chunk, r: _Runs, answers: pa.Table, n: int, buckets: int):
-        chosen = _answered_runs(r, answers, _HOT)
-        raw = chunk.data.tobytes() if len(chosen) else b""
-        known: dict[bytes, bytes] = {}
-        found: list[bytes] = []
-        starts = [np.zeros(0, np.int64)]
-        for first, count in zip(r.first[chosen].tolist(), r.count[chosen].tolist(), strict=True):
-            text = raw[first : first + count + n - 1]
-            own = known.get(text)
-            if own is None:
-                own = known[text] = b"".join([blake2b(text[i : i + n], digest_size=_DIGEST.itemsize).digest() for i in range(count)])
-            found.append(own)
-            starts.append(np.arange(first, first + count))
-        values = np.frombuffer(b"".join(found), _DIGEST)
-        order = np.lexsort((values["low"], values["high"]))
-        values = values[order]
-        new = np.ones(len(values), bool)
-        new[1:] = values[1:] != values[:-1]
-        self.starts, self.group = np.concatenate(starts)[order], groups_of(new)
-        self.values = values[new]
-        self.multi = np.bincount(self.group, minlength=len(self.values)) > 1
-        self.bucket = ((self.values["high"] >> U64(32)) * U64(buckets)) >> U64(32)
-
-    def slices(self) -> Iterator[tuple[int, int, int]]:
-        return bucket_slices(self.bucket << U64(FINGERPRINT_BITS))
+        return bucket_slices(np.array(self.keys, U64))
 
+    def rows(self, chunk: Chunk, kind: int) -> Iterator[dict]:
+        for bucket, lo, hi in self.slices():
+            own = self.texts[lo:hi]
+            yield {
+                "kind": kind, "bucket": bucket, "chunk": chunk.number, "size": chunk.size, "prints": pack40(np.array(self.keys[lo:hi], U64)),
+                "before": np.array([t[0] for t in own], "<u4").tobytes(),
+                "windows": np.array([t[1] for t in own], "<u4").tobytes(),
+                "multi": bits(np.array([len(r) > 1 for r in self.runs[lo:hi]])),
+                "texts": b"".join(t[2] for t in own),
+            }
 
-def _match_digests(table: pa.Table) -> Iterator[dict]:
-    """Flags the windows that occur twice or more."""
-    sent = [np.frombuffer(t, _DIGEST) for t in table.column("texts").to_pylist()]
-    lengths = [len(v) for v in sent]
-    values = np.concatenate(sent)
-    multi = np.concatenate([unbits(m, k) for m, k in zip(table.column("multi").to_pylist(), lengths, strict=True)])
-    order = np.lexsort((values["low"], values["high"]))
-    new = np.ones(len(order), bool)
-    new[1:] = values[order][1:] != values[order][:-1]
-    group = groups_of(new)
-    twice = np.zeros(len(values), bool)
-    twice[order] = (np.bincount(group, weights=1 + multi[order]) >= 2)[group]
-    yield from answer_rows(table, lengths, twice, _DIGESTS)
+    def repeated(self, answers: pa.Table, kind: int) -> list[np.ndarray]:
+        """Starts of the windows that are flagged in the answers."""
+        got = _by_bucket(answers, kind)
+        starts = []
+        for bucket, lo, hi in self.slices():
+            if bucket not in got:
+                continue
+            sizes = [t[1] for t in self.texts[lo:hi]]
+            flags = unbits(got[bucket], sum(sizes))
+            at = 0
+            for k, w in zip(range(lo, hi), sizes, strict=True):
+                offsets = np.flatnonzero(flags[at : at + w])
+                at += w
+                if len(offsets):
+                    starts += [first + offsets for first in self.runs[k]]
+        return starts
+
+
+def _cold_spans(chunk: Chunk, r: _Runs, answers: pa.Table, n: int) -> _Spans:
+    """Runs whose anchors occur twice and are not hot."""
+    own = _answered_runs(r, answers, _TWICE)
+    return _Spans(chunk, r.first[own], r.count[own], r.anchor[own], r.key[own], n)
+
+
+class _Cores:
+    """Cells of hot anchors' runs in all widths, and all their cores as they are sent."""
+
+    def __init__(self, r: _Runs, answers: pa.Table, n: int, buckets: int):
+        self.runs, self.n, self.buckets = r, n, buckets
+        self.hot = _answered_runs(r, answers, _HOT)
+        self.cells = [_Cells(r, self.hot, width, n, buckets) for width in cell_widths(n)]
+        self.key, self.text = (np.concatenate([getattr(c, name) for c in self.cells]) for name in ("key", "text"))
+
+    def spans(self, chunk: Chunk, answers: pa.Table) -> _Spans:
+        """Each window in the widest cell whose core is not hot, without those whose core occurs once
+        in this width or a wider one."""
+        keys = np.unique(self.key)
+        twice, hot = (answered(keys, answers, kind) for kind in (_CORE_TWICE, _CORE_HOT))
+        found = [np.zeros((4, 0), np.int64)]
+        runs, rest = self.runs, self.hot
+        for width in cell_widths(self.n):
+            c = _Cells(runs, rest, width, self.n, self.buckets)
+            at = np.searchsorted(keys, c.key)
+            rest = np.flatnonzero(hot[at]) if width > 1 else np.zeros(0, np.int64)
+            # texts of a core of width 1 are all equal: as many as there are, they are one class
+            take = np.flatnonzero(twice[at] if width > 1 else twice[at] | hot[at])
+            found.append(np.stack((c.first[take], c.count[take], c.anchor[take], c.key[take].astype(np.int64))))
+            runs = _Part(c, runs.prefix)
+        first, count, anchor, key = np.concatenate(found, axis=1)
+        return _Spans(chunk, first, count, anchor, key.astype(U64), self.n)
+
+
+class _Part:
+    """Cells as the runs that the next narrower cells are cut from."""
+
+    def __init__(self, cells: _Cells, prefix: PrefixHash):
+        self.first, self.count, self.anchor, self.prefix = cells.first, cells.count, cells.anchor, prefix
 
 
 def _by_bucket(answers: pa.Table, kind: int) -> dict[int, bytes]:
@@ -263,71 +333,70 @@ def _send_spans(n: int, buckets: int):
         if answers.num_rows == 0:
             return
         r = _Runs(chunk, n, buckets)
-        s, d = _Spans(chunk, r, answers, n), _Digests(chunk, r, answers, n, buckets)
-        for bucket, lo, hi in d.slices():
-            yield {
-                "kind": _DIGESTS, "bucket": bucket, "chunk": chunk.number, "size": chunk.size,
-                "multi": bits(d.multi[lo:hi]), "texts": d.values[lo:hi].tobytes(),
-            }
-        for bucket, lo, hi in s.slices():
-            own = s.texts[lo:hi]
-            yield {
-                "kind": _SORTED, "bucket": bucket, "chunk": chunk.number, "size": chunk.size,
-                "before": np.array([t[0] for t in own], "<u4").tobytes(),
-                "windows": np.array([t[1] for t in own], "<u4").tobytes(),
-                "multi": bits(np.array([len(r) > 1 for r in s.runs[lo:hi]])),
-                "texts": b"".join(t[2] for t in own),
-            }
+        yield from _cold_spans(chunk, r, answers, n).rows(chunk, _SORTED)
+        cores = _Cores(r, answers, n, buckets)
+        for row in _prints(chunk, cores.key, cores.text) if len(cores.key) else ():
+            yield row | {"kind": _CORE_TWICE}
+
+    return send
+
+
+def _send_hot_spans(n: int, buckets: int):
+    def send(chunk: Chunk, answers: pa.Table) -> Iterator[dict]:
+        if _HOT in answers.column("kind").to_pylist():
+            yield from _Cores(_Runs(chunk, n, buckets), answers, n, buckets).spans(chunk, answers).rows(chunk, _CORE_SORTED)
 
     return send
 
 
-def _sort_spans(n: int):
+def _sort_spans(n: int, most: int):
+    cores = _match_anchors(most, _CORE_TWICE, _CORE_HOT)
+
     def answer(table: pa.Table) -> Iterator[dict]:
-        """Flags, for every window of every sent text or digest, that it occurs twice or more."""
-        kind = table.column("kind").to_numpy()
-        if (kind == _DIGESTS).any():
-            yield from _match_digests(table.filter(pa.array(kind == _DIGESTS)))
-            table = table.filter(pa.array(kind == _SORTED))
-        classes: dict[tuple[int, int, bytes], int] = {}
+        """Flags, for every window of every sent text, that it occurs twice or more; and the cores' flags."""
+        kinds = table.column("kind").to_numpy()
+        if (kinds == _CORE_TWICE).any():
+            yield from cores(table.filter(pa.array(kinds == _CORE_TWICE)))
+            table = table.filter(pa.array(kinds != _CORE_TWICE))
+        classes: dict[tuple[int, int, int, bytes], int] = {}
         copies: list[int] = []
         member: list[int] = []
-        rows: list[tuple[int, int]] = []
-        columns = [table.column(c) for c in ("before", "windows", "multi", "texts")]
+        rows: list[int] = []
+        columns = [table.column(c) for c in ("prints", "before", "windows", "multi", "texts")]
         for i in range(table.num_rows):
-            before, windows, multi, texts = (c[i].as_py() for c in columns)
+            prints, before, windows, multi, texts = (c[i].as_py() for c in columns)
             before, windows = np.frombuffer(before, "<u4").tolist(), np.frombuffer(windows, "<u4").tolist()
             at = 0
-            for b, w, m in zip(before, windows, unbits(multi, len(before)).tolist(), strict=True):
-                text = (b, w, texts[at : at + w + n - 1])
+            for key, b, w, m in zip(unpack40(prints).tolist(), before, windows, unbits(multi, len(before)).tolist(), strict=True):
+                text = (key, b, w, texts[at : at + w + n - 1])
                 at += w + n - 1
                 k = classes.setdefault(text, len(copies))
                 if k == len(copies):
                     copies.append(0)
                 copies[k] += 1 + m
                 member.append(k)
-            rows.append((len(before), sum(windows)))
-        flags = repeated_windows(list(classes), copies, n)
+            rows.append(len(before))
+        flags = repeated_windows([c[1:] for c in classes], copies, n, [c[0] for c in classes])
         at = 0
-        for (spans, _), bucket, chunk, size in zip(rows, *(table.column(c).to_pylist() for c in ("bucket", "chunk", "size")), strict=True):
-            own = [flags[k] for k in member[at : at + spans]]
+        for spans, kind, bucket, chunk, size in zip(rows, *(table.column(c).to_pylist() for c in ("kind", "bucket", "chunk", "size")), strict=True):
+            own = np.concatenate([flags[k] for k in member[at : at + spans]])
             at += spans
-            own = np.concatenate(own)
             if own.any():
-                yield {"kind": _SORTED, "bucket": bucket, "chunk": chunk, "size": size, "flags": bits(own)}
+                yield {"kind": kind, "bucket": bucket, "chunk": chunk, "size": size, "flags": bits(own)}
 
     return answer
 
 
-def repeated_windows(texts: list[tuple[int, int, bytes]], copies: list[int], n: int) -> list[np.ndarray]:
+def repeated_windows(texts: list[tuple[int, int, bytes]], copies: list[int], n: int, keys: list | None = None) -> list[np.ndarray]:
     """For distinct texts ``(bytes before the anchor, windows, text)`` that occur
-    ``copies`` times, the flags of the windows that occur twice or more."""
+    ``copies`` times, the flags of the windows that occur twice or more. Texts with different
+    ``keys`` (by default the anchor's substring) share no window."""
     flags = [np.full(w, c > 1) for (_, w, _), c in zip(texts, copies, strict=True)]
     seed = max(1, n // 3)
-    # texts alone with their anchor's substring are settled
-    groups: dict[bytes, list[int]] = {}
+    # texts alone with their key are settled
+    groups: dict = {}
     for k, (b, _, text) in enumerate(texts):
-        groups.setdefault(text[b : b + seed], []).append(k)
+        groups.setdefault(text[b : b + seed] if keys is None else keys[k], []).append(k)
     shared: list[int] = []
     size = 0
     for group in [*(g for g in groups.values() if len(g) > 1), None]:
@@ -373,26 +442,10 @@ def _remove(n: int, buckets: int):
         lost = np.zeros(len(chunk.data), bool)
         if answers.num_rows:
             r = _Runs(chunk, n, buckets)
-            s, d = _Spans(chunk, r, answers, n), _Digests(chunk, r, answers, n, buckets)
-            got = _by_bucket(answers, _DIGESTS)
-            repeated = np.zeros(len(d.values), bool)
-            for bucket, lo, hi in d.slices():
-                if bucket in got:
-                    repeated[lo:hi] = unbits(got[bucket], hi - lo)
-            starts = [d.starts[repeated[d.group]]]
-            got = _by_bucket(answers, _SORTED)
-            for bucket, lo, hi in s.slices():
-                if bucket not in got:
-                    continue
-                sizes = [t[1] for t in s.texts[lo:hi]]
-                flags = unbits(got[bucket], sum(sizes))
-                at = 0
-                for k, w in zip(range(lo, hi), sizes, strict=True):
-                    offsets = np.flatnonzero(flags[at : at + w])
-                    at += w
-                    if len(offsets):
-                        starts += [first + offsets for first in s.runs[k]]
-            lost = covered(np.concatenate(starts), n, len(chunk.data))
+            starts = _cold_spans(chunk, r, answers, n).repeated(answers, _SORTED)
+            starts += _Cores(r, answers, n, buckets).spans(chunk, answers).repeated(answers, _CORE_SORTED)
+            if starts:
+                lost = covered(np.concatenate(starts), n, len(chunk.data))
         for i, doc_id in enumerate(chunk.ids.to_pylist()):
             a, b = chunk.offsets[i], chunk.offsets[i + 1]
             own = lost[a:b]
@@ -418,10 +471,13 @@ def remove_repeated_bytes(docs: DataFrame, n: int = WINDOW, chunk_bytes: int = C
     buckets = BUCKETS_PER_TASK * tasks_for(spark)
     docs = prepare(docs)
     sent = from_chunks(docs, _send_anchors(n, buckets), _SENT, _SENT_ARROW, chunk_bytes)
-    hits = materialize(spark, at_buckets(sent, buckets, _match_anchors(sort_bytes // (2 * n)), _ANSWER, _ANSWER_ARROW))
+    most = sort_bytes // (2 * n)
+    hits = materialize(spark, at_buckets(sent, buckets, _match_anchors(most), _ANSWER, _ANSWER_ARROW))
     parts = chunked(docs, chunk_bytes)
     spans = with_answers(parts, hits, _send_spans(n, buckets), _SPANS, _SPANS_ARROW)
-    repeated = at_buckets(spans, buckets, _sort_spans(n), _ANSWER, _ANSWER_ARROW)
+    hits = hits.unionByName(materialize(spark, at_buckets(spans, buckets, _sort_spans(n, most), _ANSWER, _ANSWER_ARROW)))
+    spans = with_answers(parts, hits, _send_hot_spans(n, buckets), _SPANS, _SPANS_ARROW)
+    repeated = at_buckets(spans, buckets, _sort_spans(n, most), _ANSWER, _ANSWER_ARROW)
     return with_answers(parts, hits.unionByName(repeated), _remove(n, buckets), _RESULT, _RESULT_ARROW)
 
 

@@ -119,6 +119,32 @@ def test_hot_anchors_match_brute_force(spark, corpus, chunk_bytes):
     assert got == brute_bytes(rows)
 
 
+@pytest.mark.parametrize("sort_bytes", [800, 3200])
+def test_hot_cores_match_brute_force(spark, corpus, sort_bytes):
+    """So few texts may meet that windows descend to the narrowest cells; copies keep their contexts repeated."""
+    rows = edge_rows() + hot_rows() + [(4000 + i, t) for i, (_, t) in enumerate(hot_rows()[:60])]
+    found = remove_repeated_bytes(corpus(rows), chunk_bytes=5000, sort_bytes=sort_bytes).collect()
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in found), key=str)
+    assert got == brute_bytes(rows)
+
+
+def test_cells_share_their_cores():
+    n, buckets = 400, 4
+    assert suffix_dedup.cell_widths(n) == [67, 17, 5, 2, 1] and suffix_dedup.cell_widths(3) == [1]
+    chunk = Chunk(0, pa.array(range(40)), pa.array([t for _, t in hot_rows()[:40]]))
+    r = suffix_dedup._Runs(chunk, n, buckets)
+    raw = chunk.data.tobytes()
+    for width in suffix_dedup.cell_widths(n):
+        c = suffix_dedup._Cells(r, np.arange(len(r.first)), width, n, buckets)
+        assert c.count.sum() == r.count.sum() and c.count.max() <= width
+        cores: dict = {}
+        for first, count, anchor, key in zip(c.first.tolist(), c.count.tolist(), c.anchor.tolist(), c.key.tolist(), strict=True):
+            start = anchor - (anchor - first) // width * width
+            assert first + count - 1 <= start and start + n - width + 1 <= first + n
+            cores.setdefault(key, set()).add(raw[start : start + n - width + 1])
+        assert all(len(v) == 1 for v in cores.values())
+
+
 def test_texts_of_a_hot_anchor_do_not_meet():
     """What a bucket gets of an anchor with differing contexts is bounded and spread."""
     n, buckets, sort_bytes = 400, 16, 8000
