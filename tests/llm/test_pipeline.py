@@ -70,6 +70,16 @@ def test_stages_do_what_they_say(spark, folder):
         docs = spark.read.parquet(path)
 
 
+def test_near_duplicates_of_rows_with_own_ids(spark, folder):
+    """Ids that name their rows stand for themselves: the smallest of each group stays."""
+    docs = spark.read.parquet(f"{folder[0]}/documents.parquet").where("doc_id is not null and doc_id <> 1300")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert corpus_pipeline._ids_name_rows(docs) and not corpus_pipeline._ids_name_rows(docs.union(docs.limit(1)))
+    kept = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, folder[0]).collect())
+    groups = brute_groups(rows, corpus_pipeline.SHINGLE_WORDS, corpus_pipeline.SIMILARITY_PERCENT)
+    assert kept == sorted(i for i, _, g in groups if i == g) and len(kept) < len(rows)
+
+
 def test_run_returns_the_last_stage(spark, folder):
     out = corpus_pipeline.run(spark, folder[0])
     assert out.columns[:5] == COLUMNS
