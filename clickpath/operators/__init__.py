@@ -21,6 +21,7 @@ from clickpath.operators.categories import (
     pay_counts,
     rank_categories,
     session_category_counts,
+    session_kind_counts,
     top_categories,
     weighted_items,
 )
@@ -102,6 +103,7 @@ __all__ = [
     "session_category_counts",
     "session_counters",
     "session_details",
+    "session_kind_counts",
     "stat_from_counters",
     "step_bucket",
     "top_categories",

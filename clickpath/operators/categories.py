@@ -119,6 +119,18 @@ def session_category_counts(actions: DataFrame) -> DataFrame:
 COUNT_COLUMNS = ["click_count", "order_count", "pay_count"]
 
 
+def session_kind_counts(actions: DataFrame, column: str) -> DataFrame:
+    """``(session_id, category_id, <column>)`` of the raw log for one of ``COUNT_COLUMNS``: only the rows and
+    the id list of that kind are read."""
+    if column == "click_count":
+        ids = non_null(actions, "click_category_id").select("session_id", F.col("click_category_id").alias("category_id"))
+    else:
+        source = {"order_count": "order_category_ids", "pay_count": "pay_category_ids"}[column]
+        ids = non_null(actions, source).select("session_id", F.explode(F.split(source, ",")).alias("_id"))
+        ids = ids.select("session_id", parse_id("_id").alias("category_id")).where(F.col("category_id").isNotNull())
+    return ids.groupBy("session_id", "category_id").agg(F.count(F.lit(1)).alias(column))
+
+
 def weighted_items(sessions: DataFrame, counts: DataFrame) -> DataFrame:
     """:func:`session_category_counts` of the given sessions, with ``copies`` = how often
     the session is listed (counts are per listing).

@@ -27,7 +27,7 @@ bound, so it is broadcast and the action log is never shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpath.functions.dates import format_date, hour_text
@@ -61,15 +61,17 @@ def hour_quotas(counts: DataFrame, total: int = DEFAULT_TOTAL) -> DataFrame:
     step gathers the table into one partition.
     """
     days = counts.select(F.count_distinct("date")).scalar().cast("long")
+    out = quota_columns(counts.withColumn("day_sessions", F.sum("sessions").over(Window.partitionBy("date"))), total, days)
+    return out.select("date", "hour", "sessions", "day_sessions", "days", "day_quota", "hour_quota")
+
+
+def quota_columns(counts: DataFrame, total: int, days: Column) -> DataFrame:
+    """Adds ``days``, ``day_quota`` and ``hour_quota`` to rows with ``sessions`` and ``day_sessions``."""
     # `div` is Spark's exact integral division
-    day_quota = F.expr(f"CAST({int(total)} AS BIGINT) div days")
-    hour_quota = F.expr("least(sessions, (sessions * day_quota) div day_sessions)")
     return (
-        counts.withColumn("day_sessions", F.sum("sessions").over(Window.partitionBy("date")))
-        .withColumn("days", days)
-        .withColumn("day_quota", day_quota)
-        .withColumn("hour_quota", hour_quota)
-        .select("date", "hour", "sessions", "day_sessions", "days", "day_quota", "hour_quota")
+        counts.withColumn("days", days)
+        .withColumn("day_quota", F.expr(f"CAST({int(total)} AS BIGINT) div days"))
+        .withColumn("hour_quota", F.expr("least(sessions, (sessions * day_quota) div day_sessions)"))
     )
 
 

@@ -40,7 +40,7 @@ _USER_BITS = 29  # user ids below 2^29 share a 64-bit key with whole epoch secon
 _SECOND_LIMIT = 2**34
 
 
-def _first_user(t: Column, user: Column) -> Column:
+def first_user(t: Column, user: Column) -> Column:
     """User id of the earliest action; ties go to the smallest id.
 
     Implemented as the minimum of a (time, user) key, in two fixed-width
@@ -104,7 +104,7 @@ def aggregate_sessions(actions: DataFrame, with_lists: bool = True, flags: dict[
     """
     t = F.col("action_time")
     aggs = [
-        _first_user(t, F.col("user_id")).alias("user_id"),
+        first_user(t, F.col("user_id")).alias("user_id"),
         F.min(t).alias("start_time"),
         F.max(t).alias("end_time"),
         F.count(F.lit(1)).alias("step_length"),

@@ -34,9 +34,10 @@ from clickpath.operators.filters import (
     hit_flags,
     params_range,
 )
-from clickpath.operators.sampling import DEFAULT_SEED, DEFAULT_TOTAL, sample_details, sample_sessions
+from clickpath.operators.sampling import DEFAULT_SEED, DEFAULT_TOTAL, sample_details
 from clickpath.operators.sessions import LIST_COLUMNS, aggregate_sessions, attach_lists, attach_users, detail_record, render_sessions
 from clickpath.operators.stats import aggr_stat
+from clickpath.operators.threshold import threshold_sample
 from clickpath.session import checkpoint_dir, describe_jobs, remove_folder
 from clickpath.sources.sinks import write_parquet
 
@@ -129,7 +130,7 @@ def _run_analyses(spark, actions, users, out_dir, params, task_id, concurrent, s
         total = params.sample_total
         # the sample is at most `total` rows: written once
         describe_jobs(spark, "clickpath: sample")
-        sample = _materialize(spark, sample_sessions(sessions.drop(*flags), total, params.sample_seed), f"{scratch}/sample")
+        sample = _materialize(spark, threshold_sample(sessions.drop(*flags), total, params.sample_seed), f"{scratch}/sample")
         rows = _materialize(spark, sample_details(sample, actions, total), f"{scratch}/sample_rows")
         emit("session_random_extract_detail", detail_record(rows))
         # keyword / category sets of the sampled sessions from their own rows

@@ -8,6 +8,8 @@ name and with the same output columns.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -61,17 +63,23 @@ from clickpath.operators import (
     rank_categories,
     render_sessions,
     sample_details,
-    sample_sessions,
     session_category_counts,
     session_counters,
+    session_kind_counts,
     top_item_sessions,
     top_session_details,
     weighted_details,
     weighted_items,
 )
 from clickpath.operators.sessions import SESSION_COLUMNS, USER_ATTRIBUTES
+from clickpath.operators.hotkeys import attach_users_salted
+from clickpath.operators.incremental import total_counters, update_from
+from clickpath.operators.threshold import threshold_sample
+from clickpath.operators.topn import salt_buckets_of
 from clickpath.schemas import ACTION_COLUMNS
+from clickpath.session import checkpoint_dir, cut_lineage, remove_folder
 from clickpath.sources.adapter import load_actions, load_products, load_users
+from clickpath.sources.layout import actions_on_days, bucketed_details, write_bucketed, write_by_day
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -96,6 +104,7 @@ TOP_K = 10
 TOP_N = 10
 SCALED_VISIT_DIVISOR = 30
 PIVOT_TIME = " 12:00:00"
+PERIOD_DAYS, IDLE_DAYS = 7, 2
 
 # Field names of the reference's ``k=v|k=v`` session record (fixed values).
 RECORD_FIELDS = [
@@ -139,6 +148,11 @@ class _Tables:
         """:attr:`full` without the set columns: a fixed-width hash aggregate."""
         return attach_users(aggregate_sessions(self.actions, with_lists=False), self.users)
 
+    @cached_property
+    def written(self) -> DataFrame:
+        """:attr:`lean`, computed once."""
+        return cut_lineage(self.lean)
+
     @cached_property
     def details(self) -> DataFrame:
         """Actions of the sessions passing the default filter, weighted by ``copies``."""
@@ -150,6 +164,17 @@ class _Tables:
         return weighted_items(apply_filter(self.lean, DEFAULT_FILTER), session_category_counts(self.actions))
 
 
+    @cached_property
+    def written_items(self) -> DataFrame:
+        """:attr:`items`, computed once: one row per (session, category)."""
+        return cut_lineage(self.items)
+
+    def kind_counts(self, column: str) -> DataFrame:
+        """Counts of one kind per category, from the rows of that kind only."""
+        listed = apply_filter(self.lean, DEFAULT_FILTER)
+        return item_counts(weighted_items(listed, session_kind_counts(self.actions, column)), column)
+
+
 def _actions(spark, d, start=None, end=None):
     return load_actions(spark, d, start, end)
 
@@ -194,6 +219,19 @@ def q_action_range(spark, d):
     return _render_actions(action_range(_actions(spark, d, RANGE_START, RANGE_END), RANGE_START, RANGE_END))
 
 
+def q_action_days(spark, d):
+    """Actions of the days with more purchases than the average day: days from a table prune a log in day folders."""
+    t = _Tables(spark, d)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/clickpath-days-{uuid.uuid4().hex}"
+    try:
+        log = write_by_day(t.actions, path)
+        per_day = log.groupBy("date").agg(F.count("pay_category_ids").alias("n"))
+        days = per_day.where(F.col("n") > per_day.select(F.avg("n")).scalar())
+        return cut_lineage(_render_actions(actions_on_days(log, days)))
+    finally:
+        remove_folder(spark, path)
+
+
 def q_users(spark, d):
     return load_users(spark, d)
 
@@ -211,6 +249,17 @@ def q_session_full(spark, d):
     return render_sessions(_full(spark, d))
 
 
+def repeated_users(users: DataFrame) -> DataFrame:
+    """The user table with a second, older row for every third user."""
+    return users.unionByName(users.where("user_id % 3 = 0").withColumn("age", F.col("age") + 1))
+
+
+def q_session_full_deduped(spark, d):
+    t = _Tables(spark, d)
+    sessions = cut_lineage(aggregate_sessions(t.actions, with_lists=False))
+    return render_sessions(attach_users_salted(sessions, repeated_users(t.users)))
+
+
 def _filtered(spark, d, flt: SessionFilter) -> DataFrame:
     """One pass over the log decides (flags in the session aggregate); the sets are
     built for the passing sessions only."""
@@ -278,6 +327,24 @@ def q_session_counters(spark, d):
     return session_counters(_lean(spark, d))
 
 
+def q_incremental_counters(spark, d):
+    """Counters of the users' sessions, kept week by week: the log is replayed period by period."""
+    t = _Tables(spark, d)
+    actions = t.actions.withColumn("session_id", F.col("user_id").cast("string"))
+    first, last = actions.agg(F.min("action_time"), F.max("action_time")).first()
+    if first is None:
+        return session_counters(attach_users(aggregate_sessions(actions, with_lists=False), t.users))
+    edges = [dt.datetime.combine(first.date(), dt.time())]
+    while edges[-1] <= last:
+        edges.append(edges[-1] + dt.timedelta(days=PERIOD_DAYS))
+    state = f"{checkpoint_dir(spark).rstrip('/')}/clickpath-counters-{uuid.uuid4().hex}"
+    try:
+        update_from(spark, state, actions, t.users, edges, idle=dt.timedelta(days=IDLE_DAYS))
+        return cut_lineage(total_counters(spark, state, t.users, edges[:-1]))
+    finally:
+        remove_folder(spark, state)
+
+
 # --- sampling ---------------------------------------------------------------------
 def q_hour_counts(spark, d):
     return hour_counts(_lean(spark, d))
@@ -289,7 +356,7 @@ def q_sample_quota(spark, d):
 
 def _sample(spark, d):
     t = _Tables(spark, d)
-    drawn = sample_sessions(t.lean, SAMPLE_TOTAL, SAMPLE_SEED)
+    drawn = threshold_sample(t.written, SAMPLE_TOTAL, SAMPLE_SEED)
     return attach_lists(drawn, t.actions, max_broadcast_rows=SAMPLE_TOTAL)
 
 
@@ -300,7 +367,7 @@ def q_sample_sessions(spark, d):
 
 def q_sample_details(spark, d):
     t = _Tables(spark, d)
-    return detail_record(sample_details(sample_sessions(t.lean, SAMPLE_TOTAL, SAMPLE_SEED), t.actions, SAMPLE_TOTAL))
+    return detail_record(sample_details(threshold_sample(t.written, SAMPLE_TOTAL, SAMPLE_SEED), t.actions, SAMPLE_TOTAL))
 
 
 # --- details, categories, active sessions -------------------------------------------
@@ -309,20 +376,33 @@ def q_session_details(spark, d):
     return detail_record(t.details)
 
 
+def q_session_details_bucketed(spark, d):
+    """``session_details`` from tables bucketed by session."""
+    t = _Tables(spark, d)
+    names = [f"clickpath_{kind}_{uuid.uuid4().hex}" for kind in ("actions", "sessions")]
+    try:
+        log = write_bucketed(t.actions, names[0], salt_buckets_of(t.actions))
+        listed = write_bucketed(apply_filter(t.lean, DEFAULT_FILTER), names[1], salt_buckets_of(t.actions))
+        return cut_lineage(detail_record(bucketed_details(listed, log)))
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def q_category_ids(spark, d):
     return item_category_ids(_items(spark, d))
 
 
 def q_click_counts(spark, d):
-    return item_counts(_items(spark, d), "click_count")
+    return _Tables(spark, d).kind_counts("click_count")
 
 
 def q_order_counts(spark, d):
-    return item_counts(_items(spark, d), "order_count")
+    return _Tables(spark, d).kind_counts("order_count")
 
 
 def q_pay_counts(spark, d):
-    return item_counts(_items(spark, d), "pay_count")
+    return _Tables(spark, d).kind_counts("pay_count")
 
 
 def q_category_counts(spark, d):
@@ -330,7 +410,7 @@ def q_category_counts(spark, d):
 
 
 def q_category_counts_joined(spark, d):
-    return item_counts_by_joins(_items(spark, d))
+    return item_counts_by_joins(_Tables(spark, d).written_items)
 
 
 def q_top_categories(spark, d):
@@ -342,14 +422,14 @@ def q_category_session_clicks(spark, d):
 
 
 def q_top_sessions(spark, d):
-    items = _items(spark, d)
+    items = _Tables(spark, d).written_items
     return top_item_sessions(items, rank_categories(item_counts(items, *COUNT_COLUMNS), TOP_K), TOP_N, TOP_K)
 
 
 def q_top_session_details(spark, d):
     t = _Tables(spark, d)
-    hot = rank_categories(item_counts(t.items, *COUNT_COLUMNS), TOP_K)
-    ranked = top_item_sessions(t.items, hot, TOP_N, TOP_K, keep_copies=True)
+    hot = rank_categories(item_counts(t.written_items, *COUNT_COLUMNS), TOP_K)
+    ranked = top_item_sessions(t.written_items, hot, TOP_N, TOP_K, keep_copies=True)
     # ranked sessions carry their copies: their rows come from the action log directly
     return detail_record(top_session_details(ranked, t.actions, TOP_N, TOP_K), "category_id")
 
@@ -494,10 +574,12 @@ def q_relative_dates(spark, d):
 QUERIES: dict[str, QueryFn] = {
     "actions": q_actions,
     "action_range": q_action_range,
+    "action_days": q_action_days,
     "users": q_users,
     "products": q_products,
     "session_agg": q_session_agg,
     "session_full": q_session_full,
+    "session_full_deduped": q_session_full_deduped,
     **{name: _filter_query(name) for name in FILTERS},
     "filter_all_semi": q_filter_all_semi,
     "filter_params": q_filter_params,
@@ -508,11 +590,13 @@ QUERIES: dict[str, QueryFn] = {
     "aggr_stat_all": q_aggr_stat_all,
     "aggr_stat_filtered": q_aggr_stat_filtered,
     "session_counters": q_session_counters,
+    "incremental_counters": q_incremental_counters,
     "hour_counts": q_hour_counts,
     "sample_quota": q_sample_quota,
     "sample_sessions": q_sample_sessions,
     "sample_details": q_sample_details,
     "session_details": q_session_details,
+    "session_details_bucketed": q_session_details_bucketed,
     "category_ids": q_category_ids,
     "click_counts": q_click_counts,
     "order_counts": q_order_counts,

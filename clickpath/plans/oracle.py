@@ -380,7 +380,33 @@ def build() -> dict[str, str]:
         f"(SELECT * FROM session_full WHERE {_filter_sql(C.STAT_FILTER)})"
     )
 
+    sql["session_full_deduped"] = (
+        base[:-1]
+        + """, listed AS (SELECT * FROM users UNION ALL SELECT * REPLACE (age + 1 AS age) FROM users WHERE user_id % 3 = 0),
+one AS (SELECT * FROM listed QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY user_name, name, age, professional, city, sex) = 1)
+"""
+        + f"SELECT session_id, s.user_id, {_t('start_time')} AS start_time, {_t('end_time')} AS end_time, visit_length, step_length, "
+        "age, professional, city, sex FROM sessions s JOIN one ON s.user_id = one.user_id"
+    )
     sql["session_counters"] = base + _counters("session_full")
+    sql["incremental_counters"] = (
+        base[:-1]
+        + f""", bounds AS (SELECT date_trunc('day', min(action_time)) AS d0 FROM actions),
+timed AS (
+  SELECT user_id, action_time, lag(action_time) OVER (PARTITION BY user_id ORDER BY action_time) AS previous,
+         d0 + to_days(CAST({C.PERIOD_DAYS} * (date_diff('day', d0, date_trunc('day', action_time)) // {C.PERIOD_DAYS}) AS INTEGER)) AS period_start
+  FROM actions, bounds),
+parted AS (
+  SELECT *, sum(CASE WHEN previous < period_start - to_days({C.IDLE_DAYS}) THEN 1 ELSE 0 END)
+              OVER (PARTITION BY user_id ORDER BY action_time RANGE UNBOUNDED PRECEDING) AS part
+  FROM timed),
+parts AS (
+  SELECT user_id, date_diff('second', min(action_time), max(action_time)) AS visit_length, count(*) AS step_length
+  FROM parted GROUP BY user_id, part),
+parts_full AS (SELECT parts.* FROM parts JOIN users USING (user_id))
+"""
+        + _counters("parts_full")
+    )
     sql["hour_counts"] = base[:-1] + _quota_ctes(C.SAMPLE_TOTAL) + "\nSELECT date, hour, sessions FROM hc"
     sql["sample_quota"] = base[:-1] + _quota_ctes(C.SAMPLE_TOTAL) + "\nSELECT * FROM quotas"
     sql["sample_sessions"] = (
@@ -399,6 +425,13 @@ def build() -> dict[str, str]:
         "JOIN (SELECT session_id FROM sample) s ON a.session_id = s.session_id"
     )
 
+    sql["action_days"] = (
+        _with(_actions_cte())[:-1]
+        + """, per_day AS (SELECT date, count(pay_category_ids) AS n FROM actions GROUP BY date)
+"""
+        + f"SELECT {ACTION_RENDER} FROM actions WHERE date IN (SELECT date FROM per_day WHERE n > (SELECT avg(n) FROM per_day))"
+    )
+    sql["session_details_bucketed"] = det + f"SELECT {DETAIL_RENDER} FROM details"
     sql["session_details"] = det + f"SELECT {DETAIL_RENDER} FROM details"
     sql["category_ids"] = cat + "SELECT DISTINCT category_id FROM items"
     sql["click_counts"] = (

@@ -8,7 +8,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the analyses are tuned for. AQE re-plans joins at run time (broadcast
 # of small sides after measuring them, skew splitting, partition coalescing).
@@ -75,6 +75,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the checkpoint folder: later plans read it from there, and a
+    lost executor costs only its own tasks. Spark removes the files when nothing uses them any more
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder through the file system it is on."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
