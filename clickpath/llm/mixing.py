@@ -20,10 +20,12 @@ are raised to the power ``temper`` and normalised. Values missing from given tar
 weight 0. The draw is a hash of the id and a seed, so it repeats.
 
 Topics come from a column, if one is named. Else they are clusters of vocabulary: hashed
-words of ``LONG_WORD`` bytes or more, weighted by rarity, of ``SAMPLE_ROWS`` texts (those
-with the smallest hashes of id and text) are grouped by spherical k-means into ``TOPICS``
-centres, and every text belongs to the centre nearest to its words, the smaller number if
-tied, or to the last one if it has no such word.
+words of ``LONG_WORD`` bytes or more, weighted by rarity, of all texts are grouped by
+spherical k-means into ``TOPICS`` centres, and every text belongs to the centre nearest to
+its words, the smaller number if tied, or to the last one if it has no such word. The texts
+are read once for it: their counts per hashed place are a written table, and the rarity, each
+first centre and each round of the k-means are one pass over that table. Vectors lie on
+a grid on which products and sums are exact, so the order of rows and tasks does not matter.
 
 Defined results: null sources, languages and topics are values of their own; null and
 empty texts have no tokens, and are drawn like others of their cell; the weight of a cell
@@ -42,15 +44,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField
 
-from clickpath.llm.common import SPACE_WORDS, byte_chunks, extended, materialize, packed, text_bytes, word_hashes, words
+from clickpath.llm.common import (
+    SPACE_WORDS,
+    byte_chunks,
+    extended,
+    materialize,
+    packed,
+    remove_table,
+    text_bytes,
+    word_hashes,
+    words,
+    write_table,
+)
 
 TOPICS = 8
 LONG_WORD = 5
 SHARE = 0.5
 TEMPER = 0.5
 ROUNDS = 100
-#: texts that the topic centres are fitted on at most, and hashed word places
-SAMPLE_ROWS, PLACES = 4096, 512
+#: hashed word places
+PLACES = 512
+#: steps of a unit vector's entries: a product of two vectors is a multiple of 2**-52 near 1 at most
+GRID = 1 << 26
 #: texts whose words are counted together at most
 BLOCK_TEXTS = 512
 _BINS = 4096
@@ -80,6 +95,11 @@ def _place_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     return n, np.bincount(doc[long_] * PLACES + place, minlength=len(n) * PLACES).reshape(len(n), PLACES)
 
 
+def _unit(v: np.ndarray) -> np.ndarray:
+    """Rows scaled to length 1, or left zero, and rounded to the grid."""
+    return np.rint(v * (GRID / np.maximum(np.sqrt((v * v).sum(1)), 1e-300))[:, None]) / GRID
+
+
 @dataclass
 class Topics:
     """Rarity weights of the hashed words and unit centres."""
@@ -87,47 +107,107 @@ class Topics:
     rarity: np.ndarray
     centres: np.ndarray
 
-    def vectors(self, counts: np.ndarray) -> np.ndarray:
-        v = np.sqrt(counts) * self.rarity
-        return v / np.maximum(np.sqrt((v * v).sum(1)), 1e-300)[:, None]
+    def products(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unit vector of every text, and its products with the centres."""
+        v = _unit(np.sqrt(counts) * self.rarity)
+        return v, v @ self.centres.T
 
     def of(self, counts: np.ndarray) -> np.ndarray:
         last = len(self.centres) - 1
-        return np.where(counts.any(1), np.round(self.vectors(counts) @ self.centres.T, 12).argmax(1), last)
+        return np.where(counts.any(1), self.products(counts)[1].argmax(1), last)
+
+
+def _pack_counts(counts: np.ndarray) -> pa.Array:
+    """Counts of every text, of one byte each if they fit, else of four."""
+    narrow, wide = counts.astype(np.uint8), counts.astype("<u4")
+    return pa.array([(w if high else n).tobytes() for n, w, high in zip(narrow, wide, (counts > 255).any(1).tolist(), strict=True)], pa.binary())
+
+
+def _count_blocks(batch: pa.RecordBatch):
+    """Counts of a few texts at a time."""
+    for a in range(0, batch.num_rows, BLOCK_TEXTS):
+        data, offsets = text_bytes(batch.column("counts").slice(a, BLOCK_TEXTS))
+        size = np.diff(offsets)
+        wide = size > PLACES
+        inside = np.repeat(wide, size)
+        counts = np.empty((len(size), PLACES), np.int64)
+        counts[~wide] = data[~inside].reshape(-1, PLACES)
+        counts[wide] = np.frombuffer(data[inside].tobytes(), "<u4").reshape(-1, PLACES)
+        yield counts
+
+
+def _totals(rows: DataFrame, size: int, found) -> np.ndarray:
+    """Sums over all texts of the ``size`` whole numbers that ``found`` gives for a block of counts."""
+
+    def part(batches):
+        out = np.zeros(size, np.int64)
+        for batch in batches:
+            for counts in _count_blocks(batch):
+                out += found(counts)
+        some = np.flatnonzero(out)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(out[some])], ["at", "v"])
+
+    out = np.zeros(size, np.int64)
+    for r in rows.select("counts").mapInArrow(part, "at int, v long").groupBy("at").agg(F.sum("v").alias("v")).collect():
+        out[r["at"]] = r["v"]
+    return out
 
 
-def fit_topics(docs: DataFrame, topics: int = TOPICS, sample_rows: int = SAMPLE_ROWS, rounds: int = 20) -> Topics:
-    """Spherical k-means over a bounded sample of texts."""
+def _most_apart(rows: DataFrame, model: Topics) -> np.ndarray:
+    """Unit vector of the text least like all centres, that with the smallest hash if tied."""
+
+    def apart(batches):
+        for batch in batches:
+            if batch.num_rows:
+                near = np.concatenate([model.products(counts)[1].max(1) for counts in _count_blocks(batch)])
+                at = pa.array(np.lexsort((batch.column("h").to_numpy(), near))[:1])
+                yield pa.RecordBatch.from_arrays([pa.array(near).take(at), *(batch.column(c).take(at) for c in ("h", "counts"))], ["near", "h", "counts"])
+
+    first = rows.mapInArrow(apart, "near double, h long, counts binary").orderBy("near", "h", "counts").limit(1).toArrow()
+    counts = next(_count_blocks(first.combine_chunks().to_batches()[0]))
+    return model.products(counts)[0][0]
+
+
+def fit_topics(docs: DataFrame, topics: int = TOPICS, sample_rows: int | None = None, rounds: int = 20) -> Topics:
+    """Spherical k-means over all texts, or over ``sample_rows`` of them (those with the smallest hashes of id and text)."""
     own = docs.select(F.xxhash64(docs["doc_id"].cast("string"), docs["text"].cast("string")).alias("h"), docs["text"].cast("string").alias("text"))
-    cut = own.select("h").orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
 
     def count(batches):
         for batch in batches:
             for a, b, _, counts in _blocks(batch.column("text")):
-                yield pa.RecordBatch.from_arrays([batch.column("h").slice(a, b - a), pa.array([c.tobytes() for c in counts.astype("<u4")])], ["h", "counts"])
-
-    found = []
-    if cut is not None:  # rows that share a hash are equal: whichever of them stays
-        found = own.where(F.col("h") <= F.lit(cut)).mapInArrow(count, "h long, counts binary").orderBy("h").limit(sample_rows).collect()
-    counts = np.array([np.frombuffer(r["counts"], "<u4") for r in found], np.int64).reshape(-1, PLACES)
-    counts = counts[counts.any(1)]
-    rarity = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 0.1
+                some = np.flatnonzero(counts.any(1))
+                yield pa.RecordBatch.from_arrays([batch.column("h").slice(a, b - a).take(pa.array(some)), _pack_counts(counts[some])], ["h", "counts"])
+
+    counted = own.mapInArrow(count, "h long, counts binary")
+    if sample_rows is not None:
+        counted = counted.orderBy("h").limit(sample_rows)
+    rows, path = write_table(docs.sparkSession, counted, "vocabulary")
+    model = _clustered(rows, topics, rounds)
+    remove_table(docs.sparkSession, path)
+    return model
+
+
+def _clustered(rows: DataFrame, topics: int, rounds: int) -> Topics:
+    """Rarities and centres of the counted texts ``rows``: ``h`` and ``counts``."""
+    seen = _totals(rows, PLACES + 1, lambda counts: np.append((counts > 0).sum(0), len(counts)))
+    rarity = np.log((1 + seen[-1]) / (1 + seen[:-1])) + 0.1
     model = Topics(rarity, np.zeros((topics, PLACES)))
-    if not len(counts):
+    if not seen[-1]:
         return model
-    v = model.vectors(counts)
-    centres, near = [v[0]], v @ v[0]
-    while len(centres) < topics:  # the text least like all centres so far is the next
-        centres.append(v[near.argmin()])
-        near = np.maximum(near, v @ centres[-1])
-    centres = np.array(centres)
+    for k in range(topics):  # the text least like all centres so far is the next; none is like a zero centre
+        model.centres[k] = _most_apart(rows, model)
+
+    def sums(counts):
+        v, near = model.products(counts)
+        own = np.arange(topics)[:, None] == near.argmax(1)
+        return np.rint(own.astype(float) @ v * GRID).astype(np.int64).ravel()
+
     for _ in range(rounds):
-        own = (v @ centres.T).argmax(1)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, own, v)
-        size = np.sqrt((sums * sums).sum(1))
-        centres = np.where(size[:, None] > 0, sums / np.maximum(size, 1e-300)[:, None], centres)
-    model.centres = centres
+        total = _totals(rows, topics * PLACES, sums).reshape(topics, PLACES).astype(float)
+        moved = np.where(total.any(1)[:, None], _unit(total), model.centres)
+        if np.array_equal(moved, model.centres):
+            break
+        model.centres = moved
     return model
 
 

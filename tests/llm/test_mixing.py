@@ -130,3 +130,57 @@ def test_fitted_topics_follow_vocabulary(spark, corpus):
     assert np.array_equal(model.centres, again.centres)
     small = mixing.fit_topics(docs, topics=4, sample_rows=60)
     assert len(small.centres) == 4
+
+
+def plain_topics(rows, hashes, topics, rounds=20):
+    """Rarities, centres and topics of rows (id, text) by k-means over all of them; ``hashes`` settle ties."""
+    data = [(t or "").encode() for _, t in rows]
+    counts = np.concatenate([mixing._place_counts(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[1] for t in data])
+    order = [i for i in np.argsort(hashes, kind="stable").tolist() if counts[i].any()]
+    own = counts[order]
+    rarity = np.log((1 + len(own)) / (1 + (own > 0).sum(0))) + 0.1
+    v = np.sqrt(own) * rarity
+    v /= np.sqrt((v * v).sum(1))[:, None]
+    centres = v[:1]
+    while len(centres) < topics:
+        centres = np.concatenate((centres, v[[np.round(v @ centres.T, 9).max(1).argmin()]]))
+    for _ in range(rounds):
+        nearest = np.round(v @ centres.T, 9).argmax(1)
+        centres = np.array([v[nearest == k].sum(0) if (nearest == k).any() else c for k, c in enumerate(centres)])
+        centres /= np.sqrt((centres * centres).sum(1))[:, None]
+    nearest = np.full(len(rows), topics - 1)
+    nearest[order] = np.round(v @ centres.T, 9).argmax(1)
+    return rarity, centres, nearest
+
+
+def many_texts(seed=5):
+    """5,000 rows in five vocabularies, one of them in 15 rows only; some without long words, null or repeated."""
+    rng = random.Random(seed)
+    spoken = [["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(30)] for _ in range(5)]
+    kind = lambda i: 4 if i % 331 == 7 else i % 4
+    rows = [(i, " ".join(rng.choice(spoken[kind(i)]) for _ in range(rng.randint(8, 20)))) for i in range(4900)]
+    rows += [(3, rows[3][1])] * 60 + [(5000 + i, None if i % 2 else "a bc d") for i in range(37)]
+    return rows + [(6000, "zebra " * 70000), (None, rows[1][1]), (None, None)]
+
+
+def text_hashes(docs):
+    return [r[0] for r in docs.select(F.xxhash64(F.col("doc_id").cast("string"), "text")).collect()]
+
+
+def test_topics_are_fitted_to_all_texts(spark, corpus):
+    rows = many_texts()
+    docs = corpus(rows)
+    rarity, centres, nearest = plain_topics(rows, text_hashes(docs), 6)
+    model = mixing.fit_topics(docs, topics=6)
+    assert np.allclose(model.rarity, rarity, rtol=1e-12)
+    assert np.allclose(model.centres, centres, atol=1e-6)
+    assert np.array_equal(mixing.fit_topics(docs.repartition(9), topics=6).centres, model.centres)
+    got = mixing.describe(docs, model, keep_rows=False).select("doc_id", "mix_topic").collect()
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    assert sorted(map(tuple, got), key=key) == sorted(((i, f"={k}") for (i, _), k in zip(rows, nearest.tolist(), strict=True)), key=key)
+
+
+def test_no_text_has_a_long_word(spark, corpus):
+    for rows in ([], [(1, None), (2, "a b")]):
+        assert not mixing.fit_topics(corpus(rows)).centres.any()
+        assert {r.topic for r in mixing.mixing_report(corpus(rows)).collect()} == ({mixing.TOPICS - 1} if rows else set())
