@@ -7,11 +7,12 @@ import random
 import pytest
 
 import corpus_pipeline
-from clickpath.llm import personal_data
+from clickpath.llm import mixing, personal_data
 from clickpath.llm.catalog import QUERIES
 from clickpath.llm.oracles import ORACLE_SQL
 from tests.llm.test_decontaminate import brute as brute_contamination
 from tests.llm.test_jaccard import brute as brute_groups
+from tests.llm.test_mixing import many_texts, plain_topics, text_hashes
 from tests.llm.test_models import toxic_rows
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -103,3 +104,12 @@ def test_empty_documents(spark, folder, tmp_path):
 def test_catalog_has_all_operators():
     assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
+
+
+def test_mixing_stage_fits_topics_to_all_texts(spark, corpus):
+    rows = many_texts()
+    docs = corpus(rows, extra=False)
+    nearest = plain_topics(rows, text_hashes(docs), mixing.TOPICS)[2]
+    want = {row: f"={k}" for row, k in zip(rows, nearest.tolist(), strict=True)}
+    got = {(r.doc_id, r.text): r.topic for r in corpus_pipeline.mix_sources(spark, docs, "").collect()}
+    assert len(got) > 500 and got == {row: want[row] for row in got}
