@@ -14,7 +14,7 @@ from tests.conftest import SF001, SF01
 @pytest.mark.parametrize("folder", [SF001, SF01])
 def test_query_matches_oracle(spark, name, folder):
     with duckdb.connect() as con:
-        for t in ("documents", "benchmark", "pages"):
+        for t in ("documents", "benchmark", "pages", "embeddings"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
         rel = con.sql(ORACLE_SQL[name])
         columns, want = rel.columns, rel.fetchall()
