@@ -2,14 +2,14 @@
 
 Features of a text are the distinct hashes (32 bits) of its words, word pairs
 and skip-grams (words with one word between them), lower-cased. Training takes
-a bounded sample of labelled rows (``sample_rows``, by hash order of the id), dealt into
-shards of at most about ``shard_rows`` rows; each shard runs per-coordinate
+all labelled rows that may be used, dealt by a hash of the id into
+shards of about ``shard_rows`` labels; each shard runs per-coordinate
 FTRL with L1 and L2 terms in its own task, and the shards' weights are
-averaged. L1 leaves few non-zero weights, bounded by the features of the
-sample, so the model is small enough to broadcast. L1 also shrinks margins, so
-a fifth of the sample is kept from training and stretches them to
-probabilities (a logistic curve of two parameters). All rows are scored in one narrow
-pass over whole texts.
+averaged. L1 leaves few non-zero weights in a shard, so the model is small enough to
+broadcast. L1 also shrinks margins, so
+a fifth of those rows is kept from training and stretches them to
+probabilities (a logistic curve of two parameters, each step of its fit one sum over
+their margins). All rows are scored in one narrow pass over whole texts.
 
 Defined results: null and empty texts have no features and get the score of
 the bias alone; labels that are null or belong to no document are ignored; if
@@ -37,15 +37,17 @@ from clickpath.llm.common import (
     keep_rows,
     materialize,
     mix,
+    remove_table,
     text_bytes,
     word_hashes,
     words,
+    write_table,
 )
 
-#: labelled rows used for training at most
-SAMPLE_ROWS = 16_000
-#: labelled rows in one shard, each trained in its own task
+#: labels of one shard, each trained in its own task
 SHARD_ROWS = 4_000
+#: labels that are broadcast at most; more of them meet the texts in a shuffle
+BROADCAST_LABELS = 1 << 18
 CHUNK_BYTES = 2 << 20
 
 # word bytes: digits, letters and everything that is not ASCII
@@ -161,45 +163,55 @@ def logistic(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
 
-def stretch(margin: np.ndarray, label: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
-    """Slope and offset of a logistic curve from margins to labels (Newton steps)."""
-    if len(np.unique(label)) < 2:
+def stretch(rows: DataFrame, ridge: float = 1e-2) -> tuple[float, float]:
+    """Slope and offset of a logistic curve from margins (``score``) to ``label`` by Newton
+    steps, each of them one sum over ``rows``."""
+    if rows.select("label").distinct().limit(2).count() < 2:
         return 1.0, 0.0
-    x, w = np.stack((margin, np.ones(len(margin))), 1), np.array([1.0, 0.0])
+    x, w = F.col("score"), np.array([1.0, 0.0])
     for _ in range(50):
-        p = logistic(x @ w)
-        gradient = x.T @ (p - label) + ridge * (w - [1.0, 0.0])
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(2), gradient)
+        p = 1.0 / (1.0 + F.exp(-F.least(F.greatest(x * float(w[0]) + float(w[1]), F.lit(-30.0)), F.lit(30.0))))
+        off, bend = p - F.col("label"), p * (1.0 - p)
+        sums = rows.agg(*[F.sum(v) for v in (off * x, off, bend * x * x, bend * x, bend)]).first()
+        gradient = np.array(sums[:2]) + ridge * (w - [1.0, 0.0])
+        step = np.linalg.solve(np.array([sums[2:4], sums[3:5]]) + ridge * np.eye(2), gradient)
         w = w - np.clip(step, -1, 1)
         if np.abs(step).max() < 1e-8:
             break
     return max(float(w[0]), 1e-3), float(w[1])
 
 
-def sample_labels(labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """``(doc_id, label)`` of at most ``rows`` ids that training may use, by hash order."""
+def training_labels(labels: DataFrame, label: str) -> DataFrame:
+    """``(doc_id, label)`` of all ids that training may use."""
     own = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    own = own.groupBy("doc_id").agg(F.max("label").alias("label"))
-    return own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-
-
-def fit(
-    docs: DataFrame,
-    labels: DataFrame,
-    label: str = "toxic",
-    sample_rows: int = SAMPLE_ROWS,
-    shard_rows: int = SHARD_ROWS,
-    settings: Ftrl = Ftrl(),
-) -> Model:
-    """Train on the sampled labels; the driver gets the averaged non-zero weights
-    and the margins of the calibration fifth of the sample."""
+    return own.groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", shard_rows: int = SHARD_ROWS, settings: Ftrl = Ftrl()) -> Model:
+    """Train on all labels that may be used; the driver gets the averaged non-zero weights."""
     spark = docs.sparkSession
-    sample = materialize(spark, sample_labels(labels, label, sample_rows))
-    shards = max(1, -(-sample.count() // shard_rows))
-    picked = keep_rows(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most sample_rows rows
+    known = materialize(spark, training_labels(labels, label))
+    n = known.count()
+    shards = max(1, -(-n // shard_rows))
+    texts = keep_rows(docs, "doc_id", "text")
+    if n <= BROADCAST_LABELS:
+        known = F.broadcast(known)
+    elif docs.schema["doc_id"].dataType == labels.schema["doc_id"].dataType:
+        texts = texts.where(~held_out())  # these have no label here, and need not be shuffled
+    picked = texts.join(known, "doc_id")
     h = F.xxhash64("doc_id", F.lit(1))
     picked = picked.select("doc_id", "label", "text", F.pmod(h, F.lit(shards)).cast("int").alias("shard"), (F.pmod(F.shiftright(h, 20), F.lit(5)) == 0).alias("calibrate"))
-    picked = materialize(spark, picked)
+    picked, path = write_table(spark, picked, "labelled")
+    model = _averaged(picked, settings)
+    if model is not None:
+        margins = score(picked.where("calibrate"), model, ("label",), margins=True)
+        model.stretch, model.shift = stretch(materialize(spark, margins))
+    remove_table(spark, path)
+    return model or Model()
+
+
+def _averaged(picked: DataFrame, settings: Ftrl) -> Model | None:
+    """Mean of the weights of all shards, if they have rows."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
@@ -213,16 +225,12 @@ def fit(
         return pa.table({"feature": pa.array([*keys.tolist(), -1], pa.int64()), "weight": pa.array([*weights.tolist(), bias], pa.float64())})
 
     parts = picked.where("not calibrate").groupBy("shard").applyInArrow(run, "feature long, weight double")
-    total = parts.groupBy("feature").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n"))
-    found = sorted((r["feature"], r["weight"], r["n"]) for r in total.collect())
-    if not found:
-        return Model()
-    used = found[0][2]  # feature -1 is the bias, one of every shard with rows
-    model = Model(np.array([f for f, _, _ in found[1:]], np.uint32), np.array([w / used for _, w, _ in found[1:]]), found[0][1] / used)
-    margins = score(picked.where("calibrate"), model, ("label",), margins=True).collect()  # a fifth of the sample
-    if margins:
-        model.stretch, model.shift = stretch(np.array([r["score"] for r in margins]), np.array([float(r["label"]) for r in margins]))
-    return model
+    found = parts.groupBy("feature").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n")).toArrow().sort_by("feature")
+    if not found.num_rows:
+        return None
+    feature, weight = found.column("feature").to_numpy(), found.column("weight").to_numpy()
+    used = found.column("n")[0].as_py()  # feature -1 is the bias, one of every shard with rows
+    return Model(feature[1:].astype(np.uint32), weight[1:] / used, float(weight[0] / used))
 
 
 _models: dict[str, object] = {}

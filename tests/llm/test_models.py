@@ -62,6 +62,51 @@ def test_labels_of_held_out_rows_are_not_used(spark, corpus):
     assert scores[0] == scores[1]
 
 
+def late_toxic_rows(spark):
+    """26,000 rows, all labelled; toxic ones only after the first 16,000 of those that training may use, by hash of the id."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdef") for _ in range(5)) for _ in range(300)]
+    order = [r[0] for r in spark.range(26000).withColumnRenamed("id", "doc_id").where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    assert len(order) > 17000
+    toxic = {*order[16000:], *(i for i in range(26000) if i % 40 == 0)} - {*order[:16000]}
+    rows = [(i, " ".join([*rng.choices(words, k=rng.randint(4, 9)), *(["scum"] if i in toxic else [])])) for i in range(26000)]
+    return rows, {i: int(i in toxic) for i in range(26000)}
+
+
+def test_toxicity_learns_from_all_labels(spark, corpus, monkeypatch):
+    rows, truth = late_toxic_rows(spark)
+    docs, table = corpus(rows).cache(), spark.createDataFrame(list(truth.items()), "doc_id long, toxic int")
+    settings = toxicity.Ftrl(epochs=2, l1=1.0)
+    model = toxicity.fit(docs, table, settings=settings)
+    shards: dict = {}
+    h = F.xxhash64("doc_id", F.lit(1))
+    own = docs.where(~held_out()).select("doc_id", "text", h.alias("h")).orderBy("doc_id").collect()
+    count = -(-len(own) // toxicity.SHARD_ROWS)
+    for r in own:
+        shards.setdefault(r.h % count, []).append((r, truth[r.doc_id]))
+    total, bias, margin = {}, 0.0, []
+    for found in shards.values():
+        found = [(toxicity.distinct_features(np.frombuffer(r.text.encode(), np.uint8), np.array([0, len(r.text)]))[0], y) for r, y in found if (r.h >> 20) % 5]
+        keys, weights, b = toxicity.train([found[i] for i in np.random.default_rng(0).permutation(len(found))], settings)
+        bias += b / count
+        for k, w in zip(keys.tolist(), weights.tolist(), strict=True):
+            total[k] = total.get(k, 0.0) + w / count
+    assert len(shards) == count == 5
+    assert model.keys.tolist() == sorted(total)
+    assert np.allclose(model.weights, [total[k] for k in sorted(total)]) and np.isclose(model.bias, bias)
+    for r, y in (x for found in shards.values() for x in found):
+        if (r.h >> 20) % 5 == 0:
+            feature = toxicity.distinct_features(np.frombuffer(r.text.encode(), np.uint8), np.array([0, len(r.text)]))[0]
+            margin.append((bias + sum(total.get(f, 0.0) for f in feature.tolist()), y))
+    assert len(margin) > 3000
+    x, y = np.array(margin).T
+    p = toxicity.logistic(model.stretch * x + model.shift)  # at the best curve the gradient is zero
+    assert np.allclose([(p - y) @ x + 1e-2 * (model.stretch - 1), (p - y).sum() + 1e-2 * model.shift], 0, atol=1e-5)
+    monkeypatch.setattr(toxicity, "BROADCAST_LABELS", 0)
+    joined = toxicity.fit(docs, table, settings=settings)
+    assert np.array_equal(joined.keys, model.keys) and np.allclose(joined.weights, model.weights) and np.isclose(joined.shift, model.shift)
+
+
 @pytest.mark.parametrize("report", [toxicity.toxicity_report, quality.quality_report])
 def test_without_labels_scores_are_half(spark, corpus, report):
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")

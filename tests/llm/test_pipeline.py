@@ -13,7 +13,7 @@ from clickpath.llm.oracles import ORACLE_SQL
 from tests.llm.test_decontaminate import brute as brute_contamination
 from tests.llm.test_jaccard import brute as brute_groups
 from tests.llm.test_mixing import many_texts, plain_topics, text_hashes
-from tests.llm.test_models import toxic_rows
+from tests.llm.test_models import late_toxic_rows, toxic_rows
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -113,3 +113,10 @@ def test_mixing_stage_fits_topics_to_all_texts(spark, corpus):
     want = {row: f"={k}" for row, k in zip(rows, nearest.tolist(), strict=True)}
     got = {(r.doc_id, r.text): r.topic for r in corpus_pipeline.mix_sources(spark, docs, "").collect()}
     assert len(got) > 500 and got == {row: want[row] for row in got}
+
+
+def test_toxicity_stage_learns_from_all_labels(spark, corpus, tmp_path):
+    rows, truth = late_toxic_rows(spark)
+    spark.createDataFrame(list(truth.items()), "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id for r in corpus_pipeline.drop_toxic(spark, corpus(rows, extra=False), str(tmp_path)).collect()}
+    assert got == {i for i, toxic in truth.items() if not toxic}
