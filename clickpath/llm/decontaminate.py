@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from clickpath.llm.common import extended, keep_rows, runs
+from clickpath.llm.common import extended, keep_rows, released, runs
 
 NGRAM = 13
 #: item words in one automaton; bounds the broadcast (about 200 bytes a word)
@@ -231,7 +231,7 @@ def find_contamination(
     block: list | None = next(blocks, [])
     while block is not None:
         following = next(blocks, None)
-        found = found.mapInArrow(_scanner(sc.broadcast(block), n, keep, keep_text or following is not None), schema)
+        found = found.mapInArrow(released(_scanner(sc.broadcast(block), n, keep, keep_text or following is not None)), schema)
         block = following
     return found if keep_text else found.drop("text")
 

@@ -63,7 +63,20 @@ from clickpath.llm.chunks import (
     unpack_ids,
     with_answers,
 )
-from clickpath.llm.common import SPACE_WORDS, U64, PrefixHash, materialize, mix, tasks_for, text_bytes, window_starts, word_hashes, words
+from clickpath.llm.common import (
+    SPACE_WORDS,
+    U64,
+    PrefixHash,
+    materialize,
+    mix,
+    released_cogroup,
+    released_group,
+    tasks_for,
+    text_bytes,
+    window_starts,
+    word_hashes,
+    words,
+)
 from clickpath.llm.components import components
 
 NGRAM = 4
@@ -412,11 +425,11 @@ def _split_links(rows: DataFrame, own: DataFrame, n: int, percent: int, block_gr
         right = asked.drop("part").join(slices, "block").withColumn("slice", F.pmod(F.xxhash64("node", F.lit(1)), F.col("slices")).cast("int"))
         right = right.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
         left, right = (df.select(*[F.col(c).alias(c) for c in columns]) for df in (left, right))  # own column identities
-        return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_cross_products(n, percent), _EDGES)
+        return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(released_cogroup(_cross_products(n, percent)), _EDGES)
 
     linked = materialize(spark, own)
     parts = labelled(linked)
-    hubs = materialize(spark, parts.groupBy("block", "part").applyInArrow(_central_rows(n, central), _SPLIT))
+    hubs = materialize(spark, parts.groupBy("block", "part").applyInArrow(released_group(_central_rows(n, central)), _SPLIT))
     linked = materialize(spark, linked.unionByName(cross(parts, hubs)))
     # rows outside the largest component of their block meet all parts
     parts = labelled(linked)
@@ -464,11 +477,11 @@ def near_duplicates(
     placed = materialize(spark, placed.select("node", "block", "parts", "grams"))
     rows = possible.select(F.col("doc_id").alias("node"), "text").join(placed, "node")
     whole = rows.where("parts = 1").withColumn("task", F.pmod(F.xxhash64("block"), F.lit(4 * buckets)))
-    links = whole.groupBy("task").applyInArrow(_own_products(n, percent), _EDGES)
+    links = whole.groupBy("task").applyInArrow(released_group(_own_products(n, percent)), _EDGES)
     if placed.where("parts > 1").limit(1).count():
         split = rows.where("parts > 1").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         split = materialize(spark, split)
-        own = split.groupBy("block", "part").applyInArrow(_own_products(n, percent), _EDGES)
+        own = split.groupBy("block", "part").applyInArrow(released_group(_own_products(n, percent)), _EDGES)
         links = links.unionByName(_split_links(split, own, n, percent, block_grams))
     # rows that repeat an id are one document
     least = to_node.groupBy("doc_id").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")

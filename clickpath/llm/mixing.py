@@ -50,6 +50,7 @@ from clickpath.llm.common import (
     extended,
     materialize,
     packed,
+    released,
     remove_table,
     text_bytes,
     word_hashes,
@@ -148,7 +149,7 @@ def _totals(rows: DataFrame, size: int, found) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(out[some])], ["at", "v"])
 
     out = np.zeros(size, np.int64)
-    for r in rows.select("counts").mapInArrow(part, "at int, v long").groupBy("at").agg(F.sum("v").alias("v")).collect():
+    for r in rows.select("counts").mapInArrow(released(part), "at int, v long").groupBy("at").agg(F.sum("v").alias("v")).collect():
         out[r["at"]] = r["v"]
     return out
 
@@ -163,7 +164,7 @@ def _most_apart(rows: DataFrame, model: Topics) -> np.ndarray:
                 at = pa.array(np.lexsort((batch.column("h").to_numpy(), near))[:1])
                 yield pa.RecordBatch.from_arrays([pa.array(near).take(at), *(batch.column(c).take(at) for c in ("h", "counts"))], ["near", "h", "counts"])
 
-    first = rows.mapInArrow(apart, "near double, h long, counts binary").orderBy("near", "h", "counts").limit(1).toArrow()
+    first = rows.mapInArrow(released(apart), "near double, h long, counts binary").orderBy("near", "h", "counts").limit(1).toArrow()
     counts = next(_count_blocks(first.combine_chunks().to_batches()[0]))
     return model.products(counts)[0][0]
 
@@ -178,7 +179,7 @@ def fit_topics(docs: DataFrame, topics: int = TOPICS, sample_rows: int | None =
                 some = np.flatnonzero(counts.any(1))
                 yield pa.RecordBatch.from_arrays([batch.column("h").slice(a, b - a).take(pa.array(some)), _pack_counts(counts[some])], ["h", "counts"])
 
-    counted = own.mapInArrow(count, "h long, counts binary")
+    counted = own.mapInArrow(released(count), "h long, counts binary")
     if sample_rows is not None:
         counted = counted.orderBy("h").limit(sample_rows)
     rows, path = write_table(docs.sparkSession, counted, "vocabulary")
@@ -242,7 +243,7 @@ def describe(docs: DataFrame, topics: Topics | str | None = None, keep_rows: boo
         topic = _key(docs[model]).alias("mix_named")
         rows = docs.select(*([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if keep_rows else []), *[docs[c] for c in _COLUMNS], topic)
     kept = [c for c in rows.columns if c != "text"]
-    out = rows.mapInArrow(run, extended(rows, kept, StructField("mix_tokens", LongType()), StructField("mix_topic", IntegerType())))
+    out = rows.mapInArrow(released(run), extended(rows, kept, StructField("mix_tokens", LongType()), StructField("mix_topic", IntegerType())))
     out = out.withColumn("mix_topic", F.col("mix_named") if named else _key(F.col("mix_topic")))
     return out.withColumn("mix_source", _key(F.col("source"))).withColumn("mix_lang", _key(F.col("lang"))).drop("mix_named")
 

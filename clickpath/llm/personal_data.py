@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.llm.common import keep_rows
+from clickpath.llm.common import keep_rows, released
 
 KINDS = ["email", "ip", "card", "phone"]
 #: kinds that only the classifier can add
@@ -279,7 +279,7 @@ def fit(docs: DataFrame) -> Model:
             [pa.array([list(k) for k in seen], pa.list_(pa.int32())), pa.array(list(seen.values()), pa.int64())], ["pattern", "n"]
         )
 
-    found = keep_rows(docs, "text").mapInArrow(count, "pattern array<int>, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+    found = keep_rows(docs, "text").mapInArrow(released(count), "pattern array<int>, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
     rows = sorted((tuple(r["pattern"]), r["n"]) for r in found.collect())
     if not rows:
         return Model()
@@ -311,7 +311,7 @@ def find_spans(docs: DataFrame, model: Model) -> DataFrame:
 
     rows = keep_rows(docs, "doc_id", "text")
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {id_type}, spans array<struct<kind:string,start:int,end:int,base:boolean>>")
+    return rows.mapInArrow(released(run), f"doc_id {id_type}, spans array<struct<kind:string,start:int,end:int,base:boolean>>")
 
 
 def mask(text: str, spans: list[tuple[int, int, int, bool]]) -> str:
@@ -336,7 +336,7 @@ def redact(docs: DataFrame, model: Model, length: str | None = None) -> DataFram
             columns["text"] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = docs.mapInArrow(released(run), docs.schema)
     if length is not None:
         out = out.withColumn(length, F.when(F.col("text").isNotNull(), F.length("text")).cast(docs.schema[length].dataType))
     return out

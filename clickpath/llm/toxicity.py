@@ -37,6 +37,8 @@ from clickpath.llm.common import (
     keep_rows,
     materialize,
     mix,
+    released,
+    released_group,
     remove_table,
     text_bytes,
     word_hashes,
@@ -224,7 +226,7 @@ def _averaged(picked: DataFrame, settings: Ftrl) -> Model | None:
         keys, weights, bias = train([(found[i], int(y[i])) for i in order], settings)
         return pa.table({"feature": pa.array([*keys.tolist(), -1], pa.int64()), "weight": pa.array([*weights.tolist(), bias], pa.float64())})
 
-    parts = picked.where("not calibrate").groupBy("shard").applyInArrow(run, "feature long, weight double")
+    parts = picked.where("not calibrate").groupBy("shard").applyInArrow(released_group(run), "feature long, weight double")
     found = parts.groupBy("feature").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n")).toArrow().sort_by("feature")
     if not found.num_rows:
         return None
@@ -253,7 +255,7 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), ma
             scores = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(scores)], [*keep, "score"])
 
-    return rows.mapInArrow(run, extended(rows, keep, StructField("score", DoubleType())))
+    return rows.mapInArrow(released(run), extended(rows, keep, StructField("score", DoubleType())))
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:

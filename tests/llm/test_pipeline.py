@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import random
+import subprocess
+import sys
 
 import pytest
 
@@ -120,3 +123,11 @@ def test_toxicity_stage_learns_from_all_labels(spark, corpus, tmp_path):
     spark.createDataFrame(list(truth.items()), "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     got = {r.doc_id for r in corpus_pipeline.drop_toxic(spark, corpus(rows, extra=False), str(tmp_path)).collect()}
     assert got == {i for i, toxic in truth.items() if not toxic}
+
+
+def test_python_workers_give_memory_back():
+    helper = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "helpers", "worker_memory.py")
+    proc = subprocess.run([sys.executable, helper], capture_output=True, text=True, timeout=900, check=False)
+    assert proc.returncode == 0, proc.stderr[-3000:]
+    held = int(proc.stdout.split("largest ")[1])
+    assert held < 100  # a worker with the libraries holds about 60; with what its tasks had freed, 140
