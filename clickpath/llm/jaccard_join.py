@@ -2,7 +2,8 @@
 
 The document by n-gram incidence matrix is never multiplied as a whole.
 
-1. Documents with equal sets are one class, represented by the smallest id.
+1. Documents with equal sets are one class, represented by the smallest id;
+   only its text goes on, so copies cost neither signatures nor room on disk.
    A set that links with another one shares all but ``1 - t`` of its n-grams,
    so sets with more n-grams that no other set holds are out: half of the
    n-grams (by hash) go through an exchange of fingerprints, which tells the
@@ -26,6 +27,9 @@ The document by n-gram incidence matrix is never multiplied as a whole.
    only, so it emits fewer links than it has components and none between
    different components is lost.
 
+Finished steps leave the disks at once (``common.release_files``), and the texts
+that go on are a Parquet table, which is deleted at the end.
+
 Documents link when ``100 * overlap >= percent * union`` on exact integers.
 
 Defined results: null and empty texts have the empty set and link with nothing;
@@ -59,6 +63,7 @@ from clickpath.llm.chunks import (
     pack40,
     pack_ids,
     prepare,
+    unbits,
     unpack40,
     unpack_ids,
     with_answers,
@@ -69,13 +74,16 @@ from clickpath.llm.common import (
     PrefixHash,
     materialize,
     mix,
+    release_files,
     released_cogroup,
     released_group,
+    remove_table,
     tasks_for,
     text_bytes,
     window_starts,
     word_hashes,
     words,
+    write_table,
 )
 from clickpath.llm.components import components
 
@@ -85,10 +93,14 @@ PERCENT = 85
 BLOCK_GRAMS = 4_000_000
 _SEEDS = 8
 
-_SENT = "bucket int, chunk long, size long, prints binary, multi binary"
-_SENT_ARROW = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("size", pa.int64()), ("prints", pa.binary()), ("multi", pa.binary())])
-_ANSWER = "kind int, bucket int, chunk long, size long, flags binary"
-_ANSWER_ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("size", pa.int64()), ("flags", pa.binary())])
+_SENT = "bucket int, chunk long, size long, prints binary, multi binary, keys binary, ids binary"
+_SENT_ARROW = pa.schema(
+    [("bucket", pa.int32()), ("chunk", pa.int64()), ("size", pa.int64()), ("prints", pa.binary()), ("multi", pa.binary()), ("keys", pa.binary()), ("ids", pa.binary())]
+)
+_ANSWER = "kind int, bucket int, chunk long, size long, flags binary, firsts binary"
+_ANSWER_ARROW = pa.schema(
+    [("kind", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("size", pa.int64()), ("flags", pa.binary()), ("firsts", pa.binary())]
+)
 _SETS = "doc_id long, n_shingles long, key binary, text string"
 _SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("text", pa.string())])
 _SIGNED = "bucket int, prints binary, docs binary"
@@ -168,7 +180,8 @@ def signatures(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
 
 
 class _Profile:
-    """Sets of a chunk, and the keys of half of the n-grams of its distinct sets."""
+    """Sets of a chunk, the keys of half of the n-grams of its distinct sets, and the
+    digests of these sets with their smallest ids, by bucket."""
 
     def __init__(self, chunk: Chunk, n: int, buckets: int):
         self.sets = ngram_sets(chunk.data, chunk.offsets, n)
@@ -184,25 +197,76 @@ class _Profile:
         self.sizes = [len(h) for h in halves]
         half = keyed(mix(np.concatenate(halves)), buckets) if halves else np.zeros(0, U64)
         self.grams, self.inverse, self.counts = np.unique(half, return_inverse=True, return_counts=True)
+        digests = np.frombuffer(b"".join(self.keys[i] for i in self.distinct), "<u8").reshape(-1, 2)
+        own = keyed(digests[:, 0], buckets)
+        self.order = np.argsort(own, kind="stable")  # of ``distinct``
+        self.own, self.digests, self.ids = own[self.order], digests[self.order], chunk.keys[self.distinct][self.order]
 
 
 def _send_grams(n: int, buckets: int):
     def send(chunk: Chunk) -> Iterator[dict]:
         p = _Profile(chunk, n, buckets)
-        for bucket, lo, hi in bucket_slices(p.grams):
-            yield {"bucket": bucket, "chunk": chunk.number, "size": chunk.size, "prints": pack40(p.grams[lo:hi]), "multi": bits(p.counts[lo:hi] > 1)}
+        grams = {bucket: (lo, hi) for bucket, lo, hi in bucket_slices(p.grams)}
+        sets = {bucket: (lo, hi) for bucket, lo, hi in bucket_slices(p.own)}
+        for bucket in sorted(grams.keys() | sets.keys()):
+            lo, hi = grams.get(bucket, (0, 0))
+            first, last = sets.get(bucket, (0, 0))
+            yield {
+                "bucket": bucket,
+                "chunk": chunk.number,
+                "size": chunk.size,
+                "prints": pack40(p.grams[lo:hi]),
+                "multi": bits(p.counts[lo:hi] > 1),
+                "keys": p.digests[first:last].tobytes(),
+                "ids": p.ids[first:last].tobytes(),
+            }
 
     return send
 
 
+def _compare(table: pa.Table) -> Iterator[dict]:
+    """Flags the n-grams that occur twice or more, and of every set the one row that represents it."""
+    flags = {(r["bucket"], r["chunk"]): r["flags"] for r in match_twice(table)}
+    chunks = table.column("chunk").to_pylist()
+    ids = [np.frombuffer(i, np.int64) for i in table.column("ids").to_pylist()]
+    lengths = [len(i) for i in ids]
+    key = np.concatenate([np.frombuffer(k, "<u8").reshape(-1, 2) for k in table.column("keys").to_pylist()])
+    order = np.lexsort((np.repeat(chunks, lengths), np.concatenate(ids), key[:, 1], key[:, 0]))
+    new = np.ones(len(order), bool)
+    new[1:] = (key[order][1:] != key[order][:-1]).any(axis=1)
+    first = np.zeros(len(order), bool)
+    first[order[new]] = True
+    at = 0
+    for bucket, chunk, size, n in zip(table.column("bucket").to_pylist(), chunks, table.column("size").to_pylist(), lengths, strict=True):
+        own, shared = first[at : at + n], flags.get((bucket, chunk))
+        at += n
+        if shared is not None or own.any():
+            kind = 2 if shared is None else 1
+            yield {"kind": kind, "bucket": bucket, "chunk": chunk, "size": size, "flags": shared or b"", "firsts": bits(own)}
+
+
+def _represented(p: _Profile, answers: pa.Table) -> np.ndarray:
+    """Flags of the distinct sets of a chunk that represent their class."""
+    got = dict(zip(answers.column("bucket").to_pylist(), answers.column("firsts").to_pylist(), strict=True))
+    flags = np.zeros(len(p.distinct), bool)
+    for bucket, lo, hi in bucket_slices(p.own):
+        if bucket in got:
+            flags[p.order[lo:hi]] = unbits(got[bucket], hi - lo)
+    return flags
+
+
 def _describe(n: int, percent: int, buckets: int):
-    """Every document's set size and key; the text stays only where a link is possible."""
+    """Every document's set size and key; the text stays only with representatives that a link is possible for."""
 
     def describe(chunk: Chunk, answers: pa.Table) -> Iterator[dict]:
         p = _Profile(chunk, n, buckets)
         shared = answered(p.grams, answers, 1)[p.inverse]
         lonely = np.add.reduceat(np.append(~shared, False).astype(np.int64), np.cumsum([0, *p.sizes[:-1]])) if p.sizes else []
-        possible = {i for i, few, size in zip(p.distinct, lonely, p.sizes, strict=True) if not size or 100 * int(few) <= (100 - percent) * len(p.sets[i])}
+        possible = {
+            i
+            for i, first, few, size in zip(p.distinct, _represented(p, answers), lonely, p.sizes, strict=True)
+            if first and (not size or 100 * int(few) <= (100 - percent) * len(p.sets[i]))
+        }
         for i, doc_id in enumerate(chunk.ids.to_pylist()):
             text = chunk.document(i).decode() if i in possible else None
             yield {"doc_id": doc_id, "n_shingles": len(p.sets[i]), "key": p.keys[i], "text": text}
@@ -452,24 +516,38 @@ def near_duplicates(
     buckets = tasks_for(spark)
     docs = prepare(docs)
     sent = from_chunks(docs, _send_grams(n, buckets), _SENT, _SENT_ARROW, chunk_bytes)
-    shared = materialize(spark, at_buckets(sent, buckets, match_twice, _ANSWER, _ANSWER_ARROW))
-    sets = materialize(spark, with_answers(chunked(docs, chunk_bytes), shared, _describe(n, percent, buckets), _SETS, _SETS_ARROW))
-    possible = sets.where("text is not null").select("doc_id", "text")
-    sets = materialize(spark, sets.drop("text"))
+    shared = materialize(spark, at_buckets(sent, buckets, _compare, _ANSWER, _ANSWER_ARROW))
+    release_files(spark)
+    described, path = write_table(spark, with_answers(chunked(docs, chunk_bytes), shared, _describe(n, percent, buckets), _SETS, _SETS_ARROW), "sets")
+    del shared
+    release_files(spark)
+    try:
+        sets = materialize(spark, described.drop("text"))
+        label = _labels(sets, described.where("text is not null").select("doc_id", "n_shingles", "text"), n, percent, block_grams, chunk_bytes)
+    finally:
+        remove_table(spark, path)
+    release_files(spark)
+    return sets.select("doc_id", "n_shingles").join(label, "doc_id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def _labels(sets: DataFrame, possible: DataFrame, n: int, percent: int, block_grams: int, chunk_bytes: int) -> DataFrame:
+    """``component_id`` of every ``doc_id`` that has n-grams."""
+    spark = sets.sparkSession
+    buckets = tasks_for(spark)
     known = sets.where("key is not null and doc_id is not null")
     first = materialize(spark, known.groupBy("key").agg(F.min("doc_id").alias("node")), spread=True)
     member = materialize(spark, known.join(first, "key").select("doc_id", "n_shingles", "node"))
 
-    signed = from_chunks(possible, _send_signatures(n, percent, buckets), _SIGNED, _SIGNED_ARROW, chunk_bytes)
+    # the texts are those of representatives, so the ends of the stars are nodes
+    signed = from_chunks(possible.select("doc_id", "text"), _send_signatures(n, percent, buckets), _SIGNED, _SIGNED_ARROW, chunk_bytes)
     stars = at_buckets(signed, buckets, _stars(buckets), _STARS, _STARS_ARROW)
-    stars = at_buckets(stars, buckets, _merged_stars, _EDGES, _EDGES_ARROW)
-    to_node = member.select("doc_id", "node").distinct()
-    ends = stars.join(to_node.select(F.col("doc_id").alias("a"), F.col("node").alias("x")), "a")
-    ends = ends.join(to_node.select(F.col("doc_id").alias("b"), F.col("node").alias("y")), "b")
-    blocks = materialize(spark, components(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))))
+    blocks = materialize(spark, components(at_buckets(stars, buckets, _merged_stars, _EDGES, _EDGES_ARROW)))
+    release_files(spark)
 
     # texts of the representatives in candidate blocks, next to each other
-    weight = member.where("doc_id = node").groupBy("node").agg(F.max("n_shingles").alias("grams"))
+    weight = possible.groupBy(F.col("doc_id").alias("node")).agg(F.max("n_shingles").alias("grams"))
     blocks = blocks.withColumnRenamed("component", "block").join(weight, "node")
     grams = blocks.groupBy("block").agg(F.sum("grams").alias("total"))
     grams = materialize(spark, grams)
@@ -484,12 +562,11 @@ def near_duplicates(
         own = split.groupBy("block", "part").applyInArrow(released_group(_own_products(n, percent)), _EDGES)
         links = links.unionByName(_split_links(split, own, n, percent, block_grams))
     # rows that repeat an id are one document
+    to_node = member.select("doc_id", "node").distinct()
     least = to_node.groupBy("doc_id").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
     same = to_node.join(least, "doc_id").select(F.col("node").alias("a"), "b")
     found = materialize(spark, components(links.unionByName(same)))
+    release_files(spark)
     classes = to_node.groupBy("doc_id").agg(F.min("node").alias("node"))
     label = classes.join(found, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
-    label = materialize(spark, label)
-    return sets.select("doc_id", "n_shingles").join(label, "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    return materialize(spark, label)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import random
 import re
+import time
+from pathlib import Path
 
 import pytest
 
 from clickpath.llm import jaccard_join
+from clickpath.llm.common import materialize
 from clickpath.llm.components import components
 from clickpath.llm.jaccard_join import near_duplicates
 
@@ -111,3 +114,59 @@ def test_connected_components(spark):
             parent[y] = x
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: find(i) for i in parent}
+
+
+def copied_rows():
+    rng = random.Random(11)
+    texts = []
+    for _ in range(12):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        texts += [" ".join(words), " ".join([*words, "more"])]
+    rows = [(100 * copy + i, text) for copy in range(8) for i, text in enumerate(texts)]
+    return rng.sample(rows, len(rows)), len(texts)
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_finished_steps_leave_the_disk(spark, corpus, monkeypatch):
+    """When the signatures begin, the files of the n-gram exchange and of the texts' are gone."""
+    left, send = [], jaccard_join._send_signatures
+
+    def watched(*args):
+        own = shuffle_files(spark) - before
+        for _ in range(50):  # Spark removes them in a thread of its own
+            left[:] = [len(own & shuffle_files(spark))]
+            if not left[0]:
+                break
+            time.sleep(0.2)
+        return send(*args)
+
+    rows, _ = copied_rows()
+    docs = corpus(rows)
+    monkeypatch.setattr(jaccard_join, "_send_signatures", watched)
+    tables = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before, kept = shuffle_files(spark), set(tables.glob("sets-*"))
+    found = jaccard_join.near_duplicates(docs)
+    # the two joins of classes, of ids only, come between
+    assert left[0] <= 2 * 8 * 2
+    assert len({r.component_id for r in found.collect()}) == 12
+    assert set(tables.glob("sets-*")) == kept
+
+
+def test_copies_are_signed_once(spark, corpus, monkeypatch):
+    """Of equal sets in different chunks only the representative's text goes on."""
+    texts, chunks = [], jaccard_join.from_chunks
+
+    def watched(docs, fn, schema, *args):
+        if schema == jaccard_join._SIGNED:
+            texts.extend(r.doc_id for r in docs.collect())
+        return chunks(docs, fn, schema, *args)
+
+    rows, different = copied_rows()
+    monkeypatch.setattr(jaccard_join, "from_chunks", watched)
+    found = near_duplicates(materialize(spark, corpus(rows).repartition(6)), chunk_bytes=2000)
+    assert sorted(texts) == list(range(different))
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()), key=str) == brute(rows)
