@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.llm.common import materialize
+from clickpath.llm.common import materialize, release_files
 
 
 #: edges that one partition holds; the number of partitions follows the number of edges left
@@ -28,7 +28,7 @@ def _hand_over(edges: DataFrame, larger: bool, parts: int) -> DataFrame:
         both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
     if parts > 1:  # a single partition is joined in place
-        least = materialize(spark, least, spread=True)
+        least = materialize(spark, least.repartition(parts))
     joined = both.join(least, "a")
     if larger:
         out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -55,5 +55,7 @@ def components(edges: DataFrame) -> DataFrame:
         parts = max(1, -(-state[0] // PARTITION_EDGES))
         edges = edges.coalesce(parts)
         edges = materialize(spark, _hand_over(_hand_over(edges, True, parts), False, parts))
+        if parts > 1:  # else there is little to remove
+            release_files(spark)
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

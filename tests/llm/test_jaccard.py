@@ -9,6 +9,7 @@ from pathlib import Path
 
 import pytest
 
+from clickpath.llm import components as components_module
 from clickpath.llm import jaccard_join
 from clickpath.llm.common import materialize
 from clickpath.llm.components import components
@@ -170,3 +171,20 @@ def test_copies_are_signed_once(spark, corpus, monkeypatch):
     found = near_duplicates(materialize(spark, corpus(rows).repartition(6)), chunk_bytes=2000)
     assert sorted(texts) == list(range(different))
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()), key=str) == brute(rows)
+
+
+def test_minima_are_dealt_by_the_number_of_edges(spark, monkeypatch):
+    """Not over all shuffle partitions: these are many where the texts are large."""
+    dealt, keep = [], components_module.materialize
+
+    def watched(session, df, spread=False):
+        out = keep(session, df, spread)
+        if "m" in df.columns:
+            dealt.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(components_module, "materialize", watched)
+    monkeypatch.setattr(components_module, "PARTITION_EDGES", 10)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(30)], "a long, b long")
+    assert {r.component for r in components(edges).collect()} == {0}
+    assert dealt and max(dealt) <= 3 + 1
